@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def jaro_winkler(a: str, b: str, weight: float = 0.1, prefix: int = 4) -> float:
@@ -37,7 +38,7 @@ def jaro_winkler(a: str, b: str, weight: float = 0.1, prefix: int = 4) -> float:
     return jaro + same * weight * (1 - jaro) if jaro > 0.7 else jaro
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)])
 

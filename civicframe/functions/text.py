@@ -66,11 +66,11 @@ def first_match(x: Column, pattern: str) -> Column:
 
 def squeeze(x: Column) -> Column:
     """Runs of white space become one blank; no blank at the ends."""
-    return F.trim(F.regexp_replace(x, "[\\s ]+", " "))
+    return F.trim(F.regexp_replace(x, "[\\s\\u00a0]+", " "))
 
 
 def drop_blank(items: Column) -> Column:
-    return F.filter(F.transform(items, F.trim), lambda v: v != "")
+    return F.filter(F.transform(items, lambda v: F.trim(v)), lambda v: v != "")
 
 
 def tokens(x: Column, pattern: str = WORD_PATTERN) -> Column:

@@ -26,15 +26,13 @@ def _(t):
     # An export in which every file carries two platform rows above its header.
     path = scratch_path(t.spark, "platform-csv")
     cols = ["c_custkey", "c_name", "c_acctbal"]
-    body = t.customer.select(F.concat_ws(",", *cols).alias("value"))
     head = ["Export of the platform,,", "Id,Name,Balance", ",".join(cols)]
-    lines = body.groupBy(F.pmod(F.xxhash64("value"), F.lit(16)).alias("file")).agg(F.collect_list("value").alias("rows")) \
-        if False else body
-    tagged = lines.select("value", F.spark_partition_id().alias("part"))
+    tagged = t.customer.select(
+        F.concat_ws(",", *cols).alias("value"), F.pmod(F.xxhash64("c_custkey"), F.lit(16)).alias("part"))
     heads = tagged.select("part").distinct().select(
         "part", F.posexplode(F.array(*[F.lit(h) for h in head])).alias("pos", "value"))
-    ordered = tagged.select("part", F.lit(len(head)).alias("pos"), "value").unionByName(heads.select("part", "pos", "value"))
-    ordered.repartition("part").sortWithinPartitions("part", "pos").select("value", "part").write.partitionBy("part").text(path)
+    lines = tagged.withColumn("pos", F.lit(len(head))).unionByName(heads)
+    lines.repartition("part").sortWithinPartitions("part", "pos").drop("pos").write.partitionBy("part").text(path)
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
                            T.StructField("c_acctbal", T.DoubleType())])
     return files.read_platform_csv(t.spark, path, schema)
@@ -95,7 +93,7 @@ def _(t):
 UNESCAPE_SQL = "{x}"
 for _name, _char in html.NAMED_CHARACTERS.items():
     UNESCAPE_SQL = "replace(" + UNESCAPE_SQL + f", '{_name}', '{_char if _char != chr(39) else chr(39) * 2}')"
-SQUEEZE_SQL = r"trim(regexp_replace({x}, '[\s" + " " + r"]+', ' ', 'g'))"
+SQUEEZE_SQL = "trim(regexp_replace({x}, '[\\s\u00a0]+', ' ', 'g'))"
 
 
 def _text_sql(x: str) -> str:
@@ -255,10 +253,10 @@ def _(t):
 
 
 PHONE_SQL = text.PHONE_PATTERN
-_ONCE = f"regexp_replace({{x}}, '{PHONE_SQL}', '\\1(\\2) \\3-\\4\\5', 'g')"
+_ONCE = f"regexp_replace(@x@, '{PHONE_SQL}', '\\1(\\2) \\3-\\4\\5', 'g')"
 
 
-@query("h7_phone_format", "SELECT doc_id, md5(" + _ONCE.format(x=_ONCE.format(x="text")) + ") AS digest FROM documents")
+@query("h7_phone_format", "SELECT doc_id, md5(" + _ONCE.replace("@x@", _ONCE.replace("@x@", "text")) + ") AS digest FROM documents")
 def _(t):
     return t.documents.select("doc_id", F.md5(text.standard_phones(F.col("text")).cast("binary")).alias("digest"))
 

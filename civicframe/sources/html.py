@@ -13,7 +13,7 @@ from civicframe.functions.text import drop_blank, extract_all, squeeze
 
 # Character references that occur in ordinary page text.
 NAMED_CHARACTERS = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ",
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0",
     "&copy;": "©", "&middot;": "·", "&amp;": "&",
 }
 
@@ -39,7 +39,7 @@ def strip_tags(x: Column) -> Column:
 def tag_texts(html: Column, tag: str) -> Column:
     """Texts of all elements of one kind, without blanks."""
     inner = extract_all(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1)
-    return drop_blank(F.transform(inner, strip_tags))
+    return drop_blank(F.transform(inner, lambda v: strip_tags(v)))
 
 
 def body_text(html: Column) -> Column:
