@@ -19,6 +19,7 @@ from civicframe.functions.hashing import HASH_SPACE
 from civicframe.session import materialise, shuffle_width
 
 GROUP_ROWS = 1_000_000
+BOUNDED = float("inf")  # as a limit: the caller knows a bound (a calendar, a grid), nothing is counted
 SLICE = "__slice"
 
 
@@ -28,7 +29,9 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
-def small_groups(df: DataFrame, by: Sequence[str], limit: int | None) -> bool:
+def small_groups(df: DataFrame, by: Sequence[str], limit: float | None) -> bool:
+    if limit == BOUNDED:
+        return True
     return largest_group(df, by) <= (GROUP_ROWS if limit is None else limit)
 
 
@@ -37,7 +40,7 @@ def _ordering(order: Sequence) -> list[Column]:
 
 
 def sliced(df: DataFrame, by: Sequence[str], order: Sequence) -> DataFrame:
-    """Range-partition on (by, order), number the slices, and pin them with a checkpoint."""
+    """Range-partition on (by, order), number the slices, and pin them in a written table."""
     keys = [F.col(b) for b in by] + _ordering(order)
     spread = df.repartitionByRange(shuffle_width(df.sparkSession), *keys)
     return materialise(spread.withColumn(SLICE, F.spark_partition_id()))
@@ -70,26 +73,34 @@ def row_number_by(df, by, order, out="rn", limit=None) -> DataFrame:
     return joined.withColumn(out, position).drop("__local", "__before", SLICE)
 
 
-def running_totals(df, by, order, sums: dict[str, Column], inclusive=True, limit=None) -> DataFrame:
-    """Running sums under a total order, up to the current row or up to the row before it."""
+_COMBINE = {
+    "sum": (F.sum, lambda a, b: a + b),
+    "min": (F.min, lambda a, b: F.least(a, b)),
+    "max": (F.max, lambda a, b: F.greatest(a, b)),
+}
+
+
+def running_totals(df, by, order, sums: dict[str, Column], inclusive=True, limit=None, how="sum"):
+    """Running sums (or minima, maxima) under a total order, up to the current row or the one before."""
     end = W.currentRow if inclusive else -1
+    reduce_fn, combine = _COMBINE[how]
     if small_groups(df, by, limit):
         frame = W.partitionBy(*by).orderBy(*_ordering(order)).rowsBetween(W.unboundedPreceding, end)
-        return df.withColumns({k: F.sum(v).over(frame) for k, v in sums.items()})
+        return df.withColumns({k: reduce_fn(v).over(frame) for k, v in sums.items()})
     rows = sliced(df, by, order)
     keys = [*by, SLICE]
     frame = W.partitionBy(*keys).orderBy(*_ordering(order)).rowsBetween(W.unboundedPreceding, end)
-    local = rows.withColumns({f"__{k}": F.sum(v).over(frame) for k, v in sums.items()})
-    totals = rows.groupBy(*keys).agg(*[F.sum(v).alias(f"__t_{k}") for k, v in sums.items()])
+    local = rows.withColumns({f"__{k}": reduce_fn(v).over(frame) for k, v in sums.items()})
+    totals = rows.groupBy(*keys).agg(*[reduce_fn(v).alias(f"__t_{k}") for k, v in sums.items()])
     earlier = W.partitionBy(*by).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, *[F.sum(f"__t_{k}").over(earlier).alias(f"__o_{k}") for k in sums]
+        *keys, *[reduce_fn(f"__t_{k}").over(earlier).alias(f"__o_{k}") for k in sums]
     )
     joined = null_safe_join(local, offsets, keys)
     for k in sums:
-        both = F.col(f"__{k}").isNull() & F.col(f"__o_{k}").isNull()
-        total = F.coalesce(F.col(f"__{k}"), F.lit(0)) + F.coalesce(F.col(f"__o_{k}"), F.lit(0))
-        joined = joined.withColumn(k, F.when(~both, total))
+        here, before = F.col(f"__{k}"), F.col(f"__o_{k}")
+        both = F.when(here.isNotNull() & before.isNotNull(), combine(here, before))
+        joined = joined.withColumn(k, F.coalesce(both, here, before))
     drop = [f"__{k}" for k in sums] + [f"__o_{k}" for k in sums]
     return joined.drop(*drop, SLICE)
 
@@ -104,28 +115,31 @@ def running_sum_with_peers(df, by, order: Sequence[str], value: str, out: str, l
     return null_safe_join(df, totals, [*by, *order], "left")
 
 
-def _with_halo(df, by, order, reach: int, chunk: int) -> DataFrame:
-    """Cut each group into chunks of ``chunk`` rows; the last ``reach`` rows of a chunk are also
-    given to the next one, so that frames of that reach are complete inside a chunk."""
-    if reach > chunk:
+def _with_halo(df, by, order, back: int, ahead: int, chunk: int) -> DataFrame:
+    """Cut each group into chunks of ``chunk`` rows. The last ``back`` rows of a chunk are also given
+    to the next one and its first ``ahead`` rows to the one before, so frames are complete inside."""
+    if max(back, ahead) > chunk:
         raise ValueError("the frame is longer than a chunk")
     ranked = row_number_by(df, by, order, out="__rn", limit=0)
     pos = F.col("__rn") - 1
     home = F.floor(pos / chunk)
-    tail = (pos % chunk) >= chunk - reach
-    targets = F.when(tail, F.array(home, home + 1)).otherwise(F.array(home))
+    targets = F.array_compact(F.array(
+        home,
+        F.when((pos % chunk) >= chunk - back, home + 1),
+        F.when((pos % chunk) < ahead, home - 1),
+    ))
     return ranked.withColumn("__home", home).withColumn("__chunk", F.explode(targets))
 
 
-def over_recent_rows(df, by, order, reach: int, make, limit=None, chunk: int | None = None):
-    """Evaluate window columns that look at most ``reach`` rows back.
+def over_near_rows(df, by, order, back: int, make, limit=None, chunk=None, ahead: int = 0):
+    """Evaluate window columns that look at most ``back`` rows back and ``ahead`` rows on.
 
     ``make(window)`` returns the named columns for a window that is partitioned and ordered.
     """
     if small_groups(df, by, limit):
         return df.withColumns(make(W.partitionBy(*by).orderBy(*_ordering(order))))
-    size = chunk or max(100_000, reach)
-    halo = _with_halo(df, by, order, reach, size)
+    size = chunk or max(100_000, back, ahead)
+    halo = _with_halo(df, by, order, back, ahead, size)
     done = halo.withColumns(make(W.partitionBy(*by, "__chunk").orderBy("__rn")))
     return done.filter(F.col("__chunk") == F.col("__home")).drop("__rn", "__home", "__chunk")
 
@@ -135,7 +149,7 @@ def moving_average(df, by, order, value: str, rows: int, out: str, limit=None, c
     def make(w):
         return {out: F.avg(value).over(w.rowsBetween(-(rows - 1), 0))}
 
-    return over_recent_rows(df, by, order, rows - 1, make, limit, chunk)
+    return over_near_rows(df, by, order, rows - 1, make, limit, chunk)
 
 
 def lagged(df, by, order, value: str, k: int, out: str, limit=None, chunk=None):
@@ -143,7 +157,7 @@ def lagged(df, by, order, value: str, k: int, out: str, limit=None, chunk=None):
     def make(w):
         return {out: F.lag(value, k).over(w)}
 
-    return over_recent_rows(df, by, order, k, make, limit, chunk)
+    return over_near_rows(df, by, order, k, make, limit, chunk)
 
 
 def exact_quantiles(df, by, value: str, probs: dict[str, float], limit=None) -> DataFrame:
@@ -183,16 +197,19 @@ def exact_quantiles(df, by, value: str, probs: dict[str, float], limit=None) ->
     return ends.select(*by, *mixed)
 
 
-def lowest_by_hash(df, hashed: str, take: Column, by=(), tie=(), buckets: int = 4096) -> DataFrame:
-    """Per group, exactly the ``take`` rows with the smallest hash (``take`` may use ``group_n``).
+def flag_lowest_by_hash(df, hashed: str, take: Column, out: str, by=(), tie=(), carry=(),
+                        buckets: int = 4096) -> DataFrame:
+    """Per group, flag exactly the ``take`` rows with the smallest hash.
 
-    Hashes are uniform, so a histogram finds the bucket in which the cut falls. Rows below it are
-    kept by a filter; only the rows of that one bucket are ranked. No group is ever sorted whole.
+    ``take`` may use ``group_n`` and the ``carry`` columns, which are constant inside a group.
+    Hashes are uniform, so a histogram finds the bucket in which the cut falls: rows outside it are
+    flagged by a comparison, only the rows of that one bucket are ranked. No group is sorted whole.
     """
-    by = list(by)
+    by, names = list(by), df.columns
     width = HASH_SPACE // buckets
     rows = df.withColumn("__b", F.floor(F.col(hashed) / F.lit(width)).cast("int"))
-    hist = rows.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__c"))
+    constants = [F.max(c).alias(c) for c in carry]
+    hist = rows.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__c"), *constants)
     upto = W.partitionBy(*by).orderBy("__b").rowsBetween(W.unboundedPreceding, W.currentRow)
     cut = (
         hist.withColumn("__upto", F.sum("__c").over(upto))
@@ -204,17 +221,22 @@ def lowest_by_hash(df, hashed: str, take: Column, by=(), tie=(), buckets: int =
                 (F.col("__take") - F.col("__upto") + F.col("__c")).alias("__need"))
     )
     if by:
-        joined = null_safe_join(rows, cut, by)
+        joined = null_safe_join(rows, cut, by, "left")
     else:
-        found = cut.first()
-        if found is None:
-            return df.limit(0)
-        joined = rows.withColumns({"__edge": F.lit(found["__edge"]), "__need": F.lit(found["__need"])})
-    below = joined.filter(F.col("__b") < F.col("__edge"))
+        edge, need = cut.select("__edge", "__need").first() or (-1, 0)
+        joined = rows.withColumns({"__edge": F.lit(edge), "__need": F.lit(need)})
+    at_edge = F.coalesce(F.col("__b") == F.col("__edge"), F.lit(False))
+    clear = joined.filter(~at_edge).withColumn(
+        out, F.coalesce(F.col("__b") < F.col("__edge"), F.lit(False)))
     rank = F.row_number().over(W.partitionBy(*by).orderBy(hashed, *tie))
-    edge = joined.filter(F.col("__b") == F.col("__edge")).withColumn("__r", rank)
-    edge = edge.filter(F.col("__r") <= F.col("__need")).drop("__r")
-    return below.unionByName(edge).select(*df.columns)
+    close = joined.filter(at_edge).withColumn(out, rank <= F.col("__need"))
+    return clear.unionByName(close).select(*names, out)
+
+
+def lowest_by_hash(df, hashed: str, take: Column, by=(), tie=(), buckets: int = 4096) -> DataFrame:
+    """Per group, exactly the ``take`` rows with the smallest hash."""
+    flagged = flag_lowest_by_hash(df, hashed, take, "__low", by, tie, buckets=buckets)
+    return flagged.filter("__low").drop("__low")
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_salt=200_000):

@@ -11,6 +11,9 @@ FAMILIES = (
     "preparation",
     "tables_and_windows",
     "web_and_files",
+    "inference",
+    "series",
+    "extraction",
 )
 
 

@@ -39,7 +39,7 @@ USERS = f"""users AS (
          COALESCE(n_orders, 0) AS n_orders,
          COALESCE(spend, 0.0) AS spend,
          COALESCE(pre_spend, 0.0) AS pre_spend,
-         CASE WHEN COALESCE(post_orders, 0) > 5 THEN 1.0 ELSE 0.0 END AS converted
+         CAST(CASE WHEN COALESCE(post_orders, 0) > 5 THEN 1 ELSE 0 END AS DOUBLE) AS converted
   FROM customer LEFT JOIN (
     SELECT o_custkey, COUNT(*) AS n_orders,
            SUM(CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_totalprice END) / 1000.0 AS spend,
@@ -53,9 +53,12 @@ USERS_SPARK = USERS.format(
 )
 
 
-def users(t):
-    """The experiment's unit table."""
-    return t.sql(with_views("SELECT * FROM users", USERS_SPARK), "customer", "orders")
+def users(t, staged: bool = False):
+    """The experiment's unit table; ``staged`` writes it once for analyses that read it often."""
+    from civicframe.session import materialise
+
+    frame = t.sql(with_views("SELECT * FROM users", USERS_SPARK), "customer", "orders")
+    return materialise(frame) if staged else frame
 
 
 def candidates(t):

@@ -49,12 +49,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, which survives the loss of executors."""
-    spark = df.sparkSession
-    base = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the rows to a Parquet table in the shared folder and read them back.
+
+    The table survives the loss of executors, and later steps can prune its columns.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

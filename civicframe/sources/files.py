@@ -77,9 +77,10 @@ def append_rows(df: DataFrame, name: str) -> None:
 # ---------------------------------------------------------------- JSON
 
 def flatten_records(df: DataFrame, text: str, schema: str, fields: Sequence[str]) -> DataFrame:
-    """Parse nested JSON and select dotted paths as columns of the same dotted name."""
-    parsed = df.withColumn("__json", F.from_json(F.col(text), schema))
+    """Parse nested JSON once per row and select dotted paths as columns of the same dotted name."""
+    record = F.from_json(F.col(text), schema)
     others = [c for c in df.columns if c != text]
+    parsed = df.select(*others, F.explode(F.array(record)).alias("__json"))
     return parsed.select(*others, *[F.col(f"__json.{f}").alias(f) for f in fields])
 
 
