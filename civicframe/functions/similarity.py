@@ -28,7 +28,7 @@ def jaro_winkler(a: str, b: str, weight: float = 0.1, prefix: int = 4) -> float:
     if not m:
         return 0.0
     right = [ch for ch, hit in zip(b, used) if hit]
-    moved = sum(x != y for x, y in zip(left, right)) / 2
+    moved = sum(x != y for x, y in zip(left, right)) // 2
     jaro = (m / la + m / lb + (m - moved) / m) / 3
     same = 0
     for x, y in zip(a[:prefix], b[:prefix]):

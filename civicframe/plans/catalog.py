@@ -14,6 +14,7 @@ FAMILIES = (
     "inference",
     "series",
     "extraction",
+    "record_linkage",
 )
 
 
