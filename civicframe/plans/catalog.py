@@ -15,6 +15,7 @@ FAMILIES = (
     "series",
     "extraction",
     "record_linkage",
+    "networks",
 )
 
 
