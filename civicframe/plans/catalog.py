@@ -16,6 +16,7 @@ FAMILIES = (
     "extraction",
     "record_linkage",
     "networks",
+    "documents",
 )
 
 
