@@ -17,6 +17,7 @@ FAMILIES = (
     "record_linkage",
     "networks",
     "documents",
+    "places",
 )
 
 
