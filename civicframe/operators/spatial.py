@@ -267,21 +267,28 @@ def rasterize(pixels: DataFrame, polygons: DataFrame, ring: str, transform: Sequ
         F.coalesce(F.max_by(identity, order), F.lit(0)).alias("instance"))
 
 
-def connected_labels(vertices: DataFrame, edges: DataFrame, most: int = 100) -> DataFrame:
-    """Smallest vertex id of each component: take the smallest neighbouring label, then jump to the
-    label of the label, until nothing changes. The state is written each round."""
-    both = materialise(edges.select(F.explode(F.array(F.struct("src", "dst"), F.struct(
-        F.col("dst").alias("src"), F.col("src").alias("dst")))).alias("e")).select("e.*").distinct())
-    labels = materialise(vertices.select("id", F.col("id").alias("label")))
-    for _ in range(most):
-        near = both.join(labels.select(F.col("id").alias("dst"), "label"), "dst").groupBy(F.col("src").alias("id")).agg(F.min("label").alias("__m"))
-        hooked = labels.join(near, "id", "left").select("id", F.col("label").alias("__old"), F.least("label", F.coalesce("__m", "label")).alias("label"))
-        target = hooked.select(F.col("id").alias("label"), F.col("label").alias("__jump"))
-        jumped = materialise(hooked.join(target, "label", "left").select("id", "__old", F.least("label", F.coalesce("__jump", "label")).alias("label")))
-        labels = jumped.select("id", "label")
-        if jumped.filter("label <> __old").isEmpty():
-            return labels
-    raise RuntimeError("labels did not settle; raise the number of rounds")
+def connected_labels(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """Smallest vertex id of each component, by contraction.
+
+    Every vertex points at the smallest vertex among itself and its neighbours, then at the target
+    of its target; vertices with the same target merge, and the edges that remain between different
+    vertices form the next, smaller graph. It ends when no edge is left.
+    """
+    ends = F.explode(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    rest = materialise(edges.filter("src <> dst").select(ends.alias("e")).select("e.*").distinct())
+    labels = vertices.select("id", F.col("id").alias("label"))
+    while not rest.isEmpty():
+        low = rest.groupBy("src").agg(F.min("dst").alias("__m"))
+        first = materialise(low.select(F.col("src").alias("id"), F.least("src", "__m").alias("to")))
+        second = first.select(F.col("id").alias("to"), F.col("to").alias("__to2"))
+        target = materialise(first.join(second, "to").select("id", F.least("to", "__to2").alias("to")))
+        labels = materialise(labels.join(target.select(F.col("id").alias("label"), "to"), "label", "left").select(
+            "id", F.coalesce("to", "label").alias("label")))
+        src = target.select(F.col("id").alias("src"), F.col("to").alias("a"))
+        dst = target.select(F.col("id").alias("dst"), F.col("to").alias("b"))
+        rest = materialise(rest.join(src, "src").join(dst, "dst").filter("a <> b").select(
+            F.col("a").alias("src"), F.col("b").alias("dst")).distinct())
+    return labels
 
 
 def components(pixels: DataFrame, mask: Column) -> DataFrame:

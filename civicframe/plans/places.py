@@ -167,11 +167,19 @@ def _(t):
     return burned(t).select("row", "col", "class", "instance")
 
 
-MASKED = f"""{PIX}, m AS (SELECT row, col FROM pix WHERE event_type IN ('click', 'purchase')), nb AS (SELECT a.row * 4294967296 + a.col AS src, b.row * 4294967296 + b.col AS dst FROM m a JOIN m b ON abs(a.row - b.row) + abs(a.col - b.col) = 1 AND b.row BETWEEN a.row - 1 AND a.row + 1),
-r AS (SELECT row * 4294967296 + col AS id, row * 4294967296 + col AS lab FROM m UNION SELECT nb.dst, r.lab FROM r JOIN nb ON nb.src = r.id), lab AS (SELECT id, MIN(lab) AS lab FROM r GROUP BY id)"""
-
-
-@query("m9_components", f"WITH RECURSIVE {MASKED} SELECT CAST(id // 4294967296 AS INT) AS row, CAST(id % 4294967296 AS INT) AS col, dense_rank() OVER (ORDER BY lab) AS instance FROM lab")
+def components_sql(rounds: int = 40) -> str:
+    """Label propagation with pointer jumps, unrolled; far more rounds than a raster this size needs."""
+    parts = [f"WITH {PIX}, m AS MATERIALIZED (SELECT row AS r, col AS c, row * 4294967296 + col AS id FROM pix WHERE event_type IN ('click', 'purchase'))",
+             "nb AS MATERIALIZED (SELECT a.id AS src, b.id AS dst FROM m a JOIN m b ON b.r = a.r AND b.c = a.c + 1 UNION ALL SELECT b.id, a.id FROM m a JOIN m b ON b.r = a.r AND b.c = a.c + 1 "
+             "UNION ALL SELECT a.id, b.id FROM m a JOIN m b ON b.r = a.r + 1 AND b.c = a.c UNION ALL SELECT b.id, a.id FROM m a JOIN m b ON b.r = a.r + 1 AND b.c = a.c)",
+             "l0 AS MATERIALIZED (SELECT id, id AS lab FROM m)"]
+    for i in range(rounds):
+        parts.append(f"h{i} AS MATERIALIZED (SELECT l.id, LEAST(l.lab, COALESCE(MIN(x.lab), l.lab)) AS lab FROM l{i} l LEFT JOIN nb ON nb.src = l.id LEFT JOIN l{i} x ON x.id = nb.dst GROUP BY l.id, l.lab)")
+        parts.append(f"l{i + 1} AS MATERIALIZED (SELECT a.id, LEAST(a.lab, b.lab) AS lab FROM h{i} a JOIN h{i} b ON b.id = a.lab)")
+    return ", ".join(parts) + f" SELECT CAST(id // 4294967296 AS INT) AS row, CAST(id % 4294967296 AS INT) AS col, dense_rank() OVER (ORDER BY lab) AS instance FROM l{rounds}"
+
+
+@query("m9_components", components_sql())
 def _(t):
     labelled = sp.components(pixels(t), F.col("event_type").isin("click", "purchase"))
     return sp.instances(labelled)
