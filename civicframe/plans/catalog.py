@@ -18,6 +18,7 @@ FAMILIES = (
     "networks",
     "documents",
     "places",
+    "live",
 )
 
 
