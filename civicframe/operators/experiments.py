@@ -160,21 +160,23 @@ def aa_test(df: DataFrame, key: str, outcome: str, reps: int, seed: str) -> Data
     slim = df.select(key, outcome)
     spread = replicates(slim, key, reps, seed)
     flagged = scalable.flag_lowest_by_hash(
-        spread, "__h", F.floor(F.col("group_n") / 2), "aa", ["rep"], [key])
+        spread, "__h", F.floor(F.col("group_n") / 2), "aa", ["rep"], [key], buckets=scalable.hash_buckets(slim.count()))
     arms = flagged.withColumn("aa", F.col("aa").cast("int"))
     return ate(arms, "aa", [outcome], ["rep"]).select("rep", F.col("effect").alias("aa_effect"))
 
 
 def permutations(df: DataFrame, key: str, treat: str, reps: int, seed: str, within: Sequence[str] = ()) -> DataFrame:
     """Treatment labels redrawn ``reps`` times; the number treated stays fixed (in each block)."""
-    n1 = df.groupBy(*within).agg(F.sum(treat).cast("bigint").alias("__n1"))
+    n1 = df.groupBy(*within).agg(F.sum(treat).cast("bigint").alias("__n1"), F.count(F.lit(1)).alias("__n"))
+    typical = n1.agg(F.avg("__n")).first()[0] or 1.0
     if within:
-        rows = scalable.null_safe_join(df, n1, list(within))
+        rows = scalable.null_safe_join(df, n1.drop("__n"), list(within))
     else:
-        rows = df.withColumn("__n1", F.lit(n1.first()[0]))
+        rows = df.withColumn("__n1", F.lit(n1.first()["__n1"]))
     spread = replicates(rows, key, reps, seed)
     flagged = scalable.flag_lowest_by_hash(
-        spread, "__h", F.col("__n1"), "__d", ["rep", *within], [key], carry=["__n1"])
+        spread, "__h", F.col("__n1"), "__d", ["rep", *within], [key], carry=["__n1"],
+        buckets=scalable.hash_buckets(typical))
     return flagged.withColumn("d_perm", F.col("__d").cast("int")).drop("__d", "__n1", "__h")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from civicframe.functions.hashing import hash48
 from civicframe.operators import relational as rel
-from civicframe.session import materialise
+from civicframe.session import materialise, materialise_observed
 
 
 @dataclass(frozen=True)
@@ -84,17 +84,18 @@ def pagerank(g: Graph, damping: float = 0.85, iterations: int = 20, tol: float =
     nodes = materialise(g.vertices.join(out.select(F.col("src").alias("id"), "__out"), "id", "left"))
     n = nodes.count()
     ranks = nodes.select("id", "__out", F.lit(1.0 / n).alias("rank"))
-    for step in range(iterations):
-        dangling = ranks.agg(F.sum(F.when(F.col("__out").isNull(), F.col("rank")))).first()[0] or 0.0
+    lost = F.sum(F.when(F.col("__out").isNull(), F.col("rank")))
+    dangling = nodes.filter("__out IS NULL").count() / n
+    for _ in range(iterations):
         inflow = links.join(ranks.select(F.col("id").alias("src"), "rank"), "src").groupBy(
             F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("p")).alias("__in"))
         base = (1 - damping) / n + damping * dangling / n
         nxt = ranks.join(inflow, "id", "left").select(
             "id", "__out", (F.lit(base) + damping * F.coalesce("__in", F.lit(0.0))).alias("rank"), F.col("rank").alias("__old"))
-        nxt = materialise(nxt)
-        gap = nxt.agg(F.sum(F.abs(F.col("rank") - F.col("__old")))).first()[0] if tol else math.inf
-        ranks = nxt.drop("__old")
-        if gap <= tol * n:
+        # The dangling mass and the change are taken while the ranks are written.
+        nxt, seen = materialise_observed(nxt, lost=lost, gap=F.sum(F.abs(F.col("rank") - F.col("__old"))))
+        dangling, ranks = seen["lost"] or 0.0, nxt.drop("__old")
+        if tol and seen["gap"] <= tol * n:
             break
     return ranks.select("id", "rank")
 
@@ -107,9 +108,11 @@ def eigenvector(g: Graph, iterations: int = 100, tol: float = 0.0) -> DataFrame:
     for _ in range(iterations):
         pulled = edges.join(x.select(F.col("id").alias("src"), "x"), "src").groupBy(
             F.col("dst").alias("id")).agg(F.sum(F.col("w") * F.col("x")).alias("__in"))
-        raw = materialise(x.join(pulled, "id", "left").select(
-            "id", (F.col("x") + F.coalesce("__in", F.lit(0.0))).alias("y"), F.col("x").alias("__old")))
-        norm = math.sqrt(raw.agg(F.sum(F.col("y") * F.col("y"))).first()[0])
+        raw = x.join(pulled, "id", "left").select(
+            "id", (F.col("x") + F.coalesce("__in", F.lit(0.0))).alias("y"), F.col("x").alias("__old"))
+        # The squared length is taken while the vector is written; it scales the next reading.
+        raw, seen = materialise_observed(raw, ss=F.sum(F.col("y") * F.col("y")))
+        norm = math.sqrt(seen["ss"])
         nxt = raw.select("id", (F.col("y") / norm).alias("x"), "__old")
         gap = nxt.agg(F.sum(F.abs(F.col("x") - F.col("__old")))).first()[0] if tol else math.inf
         x = nxt.drop("__old")
@@ -144,8 +147,8 @@ def betweenness(g: Graph, k: int = 200, seed: str = "betweenness") -> DataFrame:
             seen = levels[-1].select("s", "v")
             if len(levels) > 1:
                 seen = seen.unionByName(levels[-2].select("s", "v"))
-        fresh = materialise(steps.join(seen, ["s", "v"], "left_anti"))
-        if fresh.isEmpty():
+        fresh, size = materialise_observed(steps.join(seen, ["s", "v"], "left_anti"), n=F.count(F.lit(1)))
+        if not size["n"]:
             break
         levels.append(fresh)
         if reached is not None:
@@ -208,30 +211,33 @@ def _move_round(edges, strength, labels, m2, seed, round_no) -> DataFrame:
 def communities(g: Graph, max_rounds: int = 12, max_levels: int = 5, seed: str = "communities") -> DataFrame:
     """Communities by modularity: parallel local moves, then the same on the graph of communities.
 
-    Only half of the vertices, chosen by a hash, may move in a round; a round is kept if modularity
-    rises. Two rounds without a gain end a level, a level without a gain ends the search.
+    Only half of the vertices, chosen by a hash, may move in a round. Two rounds in which hardly any
+    vertex moves end a level; a level that does not raise modularity is undone and ends the search.
     """
     edges = materialise(g.edges.select("src", "dst", "w"))
     mapping = materialise(g.vertices.select("id", F.col("id").alias("community")))
     m2 = edges.agg(F.sum("w")).first()[0]
     if not m2:
         return mapping
+    quality = None
     for level in range(max_levels):
         strength = materialise(edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k")))
         labels = strength.select("id", F.col("id").alias("community"))
-        quality, idle, gained = modularity(edges, labels), 0, False
+        idle = 0
         for round_no in range(max_rounds):
-            moved = materialise(_move_round(edges, strength, labels, m2, seed, f"{level}-{round_no}"))
-            proposal = moved.select("id", "community")
-            new_quality = modularity(edges, proposal)
-            if new_quality > quality + 1e-9:
-                labels, quality, gained, idle = proposal, new_quality, True, 0
-            else:
-                idle += 1
-                if idle == 2:
-                    break
-        if not gained:
+            moved, seen = materialise_observed(
+                _move_round(edges, strength, labels, m2, seed, f"{level}-{round_no}"),
+                moved=F.count_if(F.col("moved")), n=F.count(F.lit(1)))
+            labels = moved.select("id", "community")
+            idle = idle + 1 if seen["moved"] <= 0.001 * seen["n"] else 0
+            if idle == 2:
+                break
+        after = modularity(edges, labels)
+        if quality is None:
+            quality = modularity(edges, strength.select("id", F.col("id").alias("community")))
+        if after <= quality + 1e-9:
             break
+        quality = after
         step = labels.select(F.col("id").alias("community"), F.col("community").alias("__c"))
         mapping = materialise(mapping.join(step, "community", "left").select(
             "id", F.coalesce("__c", "community").alias("community")))

@@ -194,6 +194,52 @@ def ols_hc2(df: DataFrame, y: str | Column, terms: Terms) -> DataFrame:
     return df.sparkSession.createDataFrame(table, TIDY)
 
 
+def ols_absorbed(df: DataFrame, y: str | Column, terms: Terms, factor_col: str, cluster: str | None = None,
+                 cov: str = "classic") -> DataFrame:
+    """Least squares with one intercept per level of a factor, for any number of levels.
+
+    Moments are taken per level and their within-level parts added up, so no dummy is ever formed;
+    the table holds the terms only. ``cov``: "classic", "cluster" (CR1) or "hc2".
+    """
+    grams = moments(df, y, terms, [factor_col])
+    size = (len(terms) + 1) * (len(terms) + 2) // 2
+    total = grams.agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("levels"),
+        *[F.sum(F.col("cross")[i] * F.col("n")).alias(f"c{i}") for i in range(size)]).first()
+    n, k = total["n"], len(terms)
+    m = _symmetric([total[f"c{i}"] for i in range(size)], k + 1)
+    inv = np.linalg.pinv(m[:-1, :-1], rcond=1e-12, hermitian=True)
+    beta = inv @ m[:-1, -1]
+    rss, dof = max(m[-1, -1] - beta @ m[:-1, -1], 0.0), n - k - total["levels"]
+    r2 = 1.0 - rss / m[-1, -1] if m[-1, -1] > 0 else float("nan")
+    if cov == "classic":
+        return df.sparkSession.createDataFrame(tidy_rows(terms, beta, inv * rss / dof, dof, n, r2), TIDY)
+    means = grams.select(
+        factor_col, F.col("n").alias("__n"), *[F.col("means")[i].alias(f"__m{i}") for i in range(k + 1)])
+    keep = [factor_col] + ([cluster] if cluster and cluster != factor_col else [])
+    rows = _design(df, y, terms, keep).join(means, factor_col)
+    z = [F.col(f"x{i}") - F.col(f"__m{i}") for i in range(k)]
+    fitted = sum((F.lit(float(b)) * c for b, c in zip(beta, z)), F.lit(0.0))
+    rows = rows.withColumn("e", F.col("y") - F.col(f"__m{k}") - fitted)
+    if cov == "cluster":
+        scores = rows.groupBy(cluster).agg(*[F.sum(c * F.col("e")).alias(f"s{i}") for i, c in enumerate(z)])
+        pairs = _pairs([f"s{i}" for i in range(k)])
+        found = scores.agg(F.count(F.lit(1)).alias("g"), *[F.sum(F.col(a) * F.col(b)) for a, b in pairs]).first()
+        g = found["g"]
+        meat = _symmetric(list(found)[1:], k) * (g / (g - 1)) * ((n - 1) / dof)
+        return df.sparkSession.createDataFrame(tidy_rows(terms, beta, inv @ meat @ inv, dof, n, r2, normal=True), TIDY)
+    if cov != "hc2":
+        raise ValueError(f"unknown covariance {cov}")
+    leverage = 1.0 / F.col("__n")
+    for i in range(k):
+        for j in range(k):
+            leverage = leverage + F.lit(float(inv[i, j])) * z[i] * z[j]
+    weighted = rows.withColumn("w", F.col("e") * F.col("e") / (1.0 - leverage))
+    found = weighted.agg(*[F.sum(z[i] * z[j] * F.col("w")) for i in range(k) for j in range(i, k)]).first()
+    meat = _symmetric(list(found), k)
+    return df.sparkSession.createDataFrame(tidy_rows(terms, beta, inv @ meat @ inv, dof, n, r2), TIDY)
+
+
 def tidy_models(models: Mapping[str, DataFrame]) -> DataFrame:
     """Stack coefficient tables with the label of their model."""
     frames = [df.withColumn("model", F.lit(name)) for name, df in models.items()]

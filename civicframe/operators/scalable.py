@@ -8,6 +8,7 @@ of the earlier slices, of which there are at most as many as shuffle partitions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -30,6 +31,7 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
 
 
 def small_groups(df: DataFrame, by: Sequence[str], limit: float | None) -> bool:
+    """Whether no group exceeds the limit; counted only when the caller knows no bound."""
     if limit == BOUNDED:
         return True
     return largest_group(df, by) <= (GROUP_ROWS if limit is None else limit)
@@ -108,7 +110,8 @@ def running_totals(df, by, order, sums: dict[str, Column], inclusive=True, limit
 def running_sum_with_peers(df, by, order: Sequence[str], value: str, out: str, limit=None):
     """Running sum in which rows with equal order values share one total (the RANGE frame).
 
-    Peers are summed first, so the ordered step sees one row per (group, order value).
+    Peers are summed first, so the ordered step sees one row per (group, order value). When the
+    order is a calendar date that is a few thousand rows per group: pass ``limit=BOUNDED``.
     """
     peers = df.groupBy(*by, *order).agg(F.sum(value).alias("__peer"))
     totals = running_totals(peers, by, order, {out: F.col("__peer")}, limit=limit).drop("__peer")
@@ -197,6 +200,11 @@ def exact_quantiles(df, by, value: str, probs: dict[str, float], limit=None) ->
     return ends.select(*by, *mixed)
 
 
+def hash_buckets(rows_per_group: float) -> int:
+    """Buckets that balance the histogram against the rows ranked in the bucket of the cut."""
+    return 1 << min(max(int(math.log2(max(rows_per_group, 1.0)) / 2), 2), 16)
+
+
 def flag_lowest_by_hash(df, hashed: str, take: Column, out: str, by=(), tie=(), carry=(),
                         buckets: int = 4096) -> DataFrame:
     """Per group, flag exactly the ``take`` rows with the smallest hash.

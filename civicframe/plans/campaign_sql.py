@@ -79,17 +79,18 @@ WHERE id IN (SELECT id FROM ranked GROUP BY id ORDER BY MAX(cumulative_amount) D
 """, CANDIDATES, CONTRIBUTIONS).replace("\n\n, ranked", ",\nranked"))
 def _(t):
     people, gifts = views.candidates(t), views.contributions(t)
-    totals = gifts.groupBy(F.col("candidate_id").alias("id")).agg(F.sum("amount").alias("total"))
-    # Gifts are positive, so the largest running total is the sum: three keys are found first,
-    # and the ordered steps run over their rows only.
-    top = totals.orderBy(F.desc("total"), "id").limit(3).select("id")
-    rows = (
-        gifts.join(F.broadcast(top), gifts["candidate_id"] == top["id"], "left_semi")
-        .withColumnRenamed("candidate_id", "id")
-    )
-    running = scalable.running_sum_with_peers(rows, ["id"], ["gift_date"], "amount", "cumulative_amount")
+    totals = gifts.groupBy(F.col("candidate_id").alias("id")).agg(
+        F.sum("amount").alias("total"), F.count(F.lit(1)).alias("n"))
+    # Gifts are positive, so the largest running total is the sum: three keys are found first, the
+    # ordered steps run over their rows only, and their counts say whether a plain window will do.
+    top = totals.orderBy(F.desc("total"), "id").limit(3).collect()
+    rows = gifts.filter(F.col("candidate_id").isin([r["id"] for r in top])).withColumnRenamed("candidate_id", "id")
+    plain = max((r["n"] for r in top), default=0) <= scalable.GROUP_ROWS
     order = ["gift_date", "order_id", "line_no", "part_id", "amount"]
-    averaged = scalable.moving_average(running, ["id"], order, "amount", 30, "moving_avg")
+    averaged = scalable.moving_average(
+        rows, ["id"], order, "amount", 30, "moving_avg", limit=scalable.BOUNDED if plain else 0)
+    averaged = scalable.running_sum_with_peers(
+        averaged, ["id"], ["gift_date"], "amount", "cumulative_amount", limit=scalable.BOUNDED)
     return averaged.join(people.select("id", "name"), "id").select(
         "id", "name", F.col("gift_date").cast("string").alias("gift_date"), "amount",
         F.round("cumulative_amount", 2).alias("cumulative_amount"),

@@ -100,17 +100,13 @@ def blocked_users(t):
     return rel.value_ntile(views.users(t, staged=True), "baseline", 10, "block")
 
 
-def block_terms(df):
-    return reg.factor("block", reg.levels(df, "block"))
-
-
 @query("i5_cluster_robust_ols", last_coefficient(
     "blocked", "converted", [*BLOCK_DUMMIES, "baseline", "pre_spend", "treat"], cluster="cluster_id", digits=9,
     with_clause=over_users("", BLOCKED).rstrip() + ",\n"))
 def _(t):
     users = blocked_users(t)
-    terms = {**block_terms(users), "baseline": F.col("baseline"), "pre_spend": F.col("pre_spend"), "treat": F.col("treat")}
-    table = reg.ols_cluster(users, "converted", terms, "cluster_id").filter("term = 'treat'")
+    terms = {"baseline": F.col("baseline"), "pre_spend": F.col("pre_spend"), "treat": F.col("treat")}
+    table = reg.ols_absorbed(users, "converted", terms, "block", "cluster_id", "cluster").filter("term = 'treat'")
     return rounded(table, 9, "estimate", "std_error").select("estimate", "std_error")
 
 
@@ -160,7 +156,7 @@ def _(t):
     "blocked", "pre_spend", [*BLOCK_DUMMIES, "treat"], robust=True, with_clause=over_users("", BLOCKED).rstrip() + ",\n"))
 def _(t):
     users = blocked_users(t)
-    table = reg.ols_hc2(users, "pre_spend", {**block_terms(users), "treat": F.col("treat")}).filter("term = 'treat'")
+    table = reg.ols_absorbed(users, "pre_spend", {"treat": F.col("treat")}, "block", cov="hc2").filter("term = 'treat'")
     return rounded(table, 6, "estimate", "std_error").select("estimate", "std_error")
 
 

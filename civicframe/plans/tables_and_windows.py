@@ -336,7 +336,7 @@ CONTRIB = views.CONTRIBUTIONS
 @query("e1_running_sum", views.with_views("""SELECT candidate_id, CAST(gift_date AS VARCHAR) AS gift_date, amount,
 ROUND(SUM(amount) OVER (PARTITION BY candidate_id ORDER BY gift_date), 2) AS cumulative FROM contributions""", CONTRIB))
 def _(t):
-    out = scalable.running_sum_with_peers(views.contributions(t), ["candidate_id"], ["gift_date"], "amount", "cumulative")
+    out = scalable.running_sum_with_peers(views.contributions(t), ["candidate_id"], ["gift_date"], "amount", "cumulative", limit=scalable.BOUNDED)
     return out.select("candidate_id", F.col("gift_date").cast("string").alias("gift_date"), "amount", F.round("cumulative", 2).alias("cumulative"))
 
 

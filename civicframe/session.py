@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cpus: int = 8, app: str = "civicframe") -> SparkSession:
@@ -14,6 +14,7 @@ def local_session(cpus: int = 8, app: str = "civicframe") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
@@ -58,5 +59,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """Like :func:`materialise`, with aggregate metrics taken while the rows are written."""
+    seen = Observation(uuid.uuid4().hex)
+    table = materialise(df.observe(seen, *[c.alias(k) for k, c in metrics.items()]))
+    return table, seen.get
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out to all cores when the input has fewer splits than half of them.
+
+    Large inputs have many splits and pass unchanged; one small file would keep one core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicframe.functions.text import drop_blank, extract_all, squeeze
+from civicframe.session import spread
 
 # Character references that occur in ordinary page text.
 NAMED_CHARACTERS = {
@@ -163,7 +164,7 @@ def key_value_table(df: DataFrame, page: str, html: str, css_class: str) -> Data
                 ]
             yield pd.DataFrame(rows, columns=[page, "row_no", "X1", "X2"])
 
-    return df.select(page, html).mapInPandas(read, f"{page} {types[page]}, row_no int, X1 string, X2 string")
+    return spread(df.select(page, html)).mapInPandas(read, f"{page} {types[page]}, row_no int, X1 string, X2 string")
 
 
 def section_items(html: Column, list_title: str = "Areas of Interest",
@@ -185,7 +186,7 @@ def section_items(html: Column, list_title: str = "Areas of Interest",
 def profile_rows(df: DataFrame, html: str, title_pattern: str, email_pattern: str) -> DataFrame:
     """Fields of a profile page: title, e-mail, interests and their number."""
     text = body_text(F.col(html))
-    staged = df.withColumn("__text", text).withColumn("__items", section_items(F.col(html)))
+    staged = spread(df).withColumn("__text", text).withColumn("__items", section_items(F.col(html)))
     interests = F.concat("__items.areas", "__items.research")
     return staged.withColumns({
         "scraped_title": F.trim(F.regexp_extract("__text", title_pattern, 0)),
