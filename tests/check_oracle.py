@@ -77,7 +77,9 @@ def main():
                 n, problem = len(df.collect()), None
                 problem = None if n else "no rows"
         except Exception as error:  # report and go on
-            problem, n = f"{type(error).__name__}: {str(error)[:600]}", -1
+            text = str(error)
+            cause = " | ".join(line for line in text.splitlines() if "Caused by" in line or "Exception:" in line)
+            problem, n = f"{type(error).__name__}: {text[:300]} {cause[:600]}", -1
         kind = "sql " if name in oracles else "rows"
         print(f"{'FAIL' if problem else 'ok  '} {kind} {name} rows={n} {time.time() - start:.2f}s"
               + (f"  {problem}" if problem else ""), flush=True)
