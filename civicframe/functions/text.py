@@ -42,16 +42,12 @@ def urls(x: Column) -> Column:
 
 
 # Three digits, three digits, four digits; not part of a longer run of digits.
-PHONE_PATTERN = r"(^|[^0-9])\(?([0-9]{3})\)?[-. ]?([0-9]{3})[-. ]?([0-9]{4})($|[^0-9])"
+PHONE_PATTERN = r"(?<![0-9])\(?([0-9]{3})\)?[-. ]?([0-9]{3})[-. ]?([0-9]{4})(?![0-9])"
 
 
 def standard_phones(x: Column) -> Column:
-    """Rewrite phone numbers inside a text as (XXX) XXX-XXXX.
-
-    Two passes, because neighbouring numbers share the character between them.
-    """
-    once = F.regexp_replace(x, PHONE_PATTERN, r"$1($2) $3-$4$5")
-    return F.regexp_replace(once, PHONE_PATTERN, r"$1($2) $3-$4$5")
+    """Rewrite phone numbers inside a text as (XXX) XXX-XXXX."""
+    return F.regexp_replace(x, PHONE_PATTERN, "($1) $2-$3")
 
 
 def strong_password(x: Column) -> Column:

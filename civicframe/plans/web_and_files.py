@@ -252,7 +252,8 @@ def _(t):
     return t.pages.select("page_id", F.explode(text.urls(line)).alias("found"))
 
 
-PHONE_SQL = text.PHONE_PATTERN
+# The other engine has no look-around: it matches the neighbouring characters, in two passes.
+PHONE_SQL = r"(^|[^0-9])\(?([0-9]{3})\)?[-. ]?([0-9]{3})[-. ]?([0-9]{4})($|[^0-9])"
 _ONCE = f"regexp_replace(@x@, '{PHONE_SQL}', '\\1(\\2) \\3-\\4\\5', 'g')"
 
 
