@@ -2,8 +2,9 @@
 
 Records with the same field values form one profile, so a pair of profiles stands for
 ``n_a * n_b`` pairs of records. Inside a block only profiles that share the value of at least one
-field are paired; the pairs that share none are known by count (block totals minus pairs formed),
-which is all the mixture model needs of them.
+field are paired. A pair that shares none is by definition at level 0 of every field (two merely
+similar names are no evidence on their own), so the mixture model needs only the number of such
+pairs: block totals minus pairs formed.
 """
 
 from __future__ import annotations

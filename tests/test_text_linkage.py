@@ -91,8 +91,8 @@ def test_similarities(spark):
 
 def people(spark):
     base = spark.range(300).select(
-        "id", F.concat(F.lit("first"), (hash48("f", "id") % 23).cast("string")).alias("firstname"),
-        F.concat(F.lit("last"), (hash48("l", "id") % 41).cast("string")).alias("lastname"),
+        "id", F.substring(F.md5((hash48("f", "id") % 23).cast("string").cast("binary")), 1, 7).alias("firstname"),
+        F.substring(F.md5((hash48("l", "id") % 41 + 100).cast("string").cast("binary")), 1, 8).alias("lastname"),
         (1940 + hash48("y", "id") % 50).cast("int").alias("birthyear"),
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 10).alias("zipcode"))
     typo = hash48("typo", "id")
