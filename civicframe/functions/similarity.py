@@ -43,9 +43,12 @@ def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)])
 
 
-def with_jaro_winkler(pairs: DataFrame, left: str, right: str, out: str) -> DataFrame:
-    """Add the similarity of two text columns, computed once per distinct pair of values."""
-    values = pairs.select(F.col(left).alias("__x"), F.col(right).alias("__y")).distinct()
+def with_jaro_winkler(pairs: DataFrame, left: str, right: str, out: str, source: DataFrame | None = None) -> DataFrame:
+    """Add the similarity of two text columns, computed once per distinct pair of values.
+
+    ``source`` may name a written table with the same values, so that ``pairs`` is not run twice.
+    """
+    values = (pairs if source is None else source).select(F.col(left).alias("__x"), F.col(right).alias("__y")).distinct()
     scored = values.withColumn(out, jaro_winkler_udf("__x", "__y"))
     match = F.col(left).eqNullSafe(F.col("__x")) & F.col(right).eqNullSafe(F.col("__y"))
     return pairs.join(scored, match, "left").drop("__x", "__y")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from civicframe.functions import similarity as sim
 from civicframe.operators import relational as rel
 from civicframe.operators import scalable
+from civicframe.session import materialise
 
 
 def deterministic_match(a: DataFrame, b: DataFrame, keys: Sequence[str], key: str = "id") -> DataFrame:
@@ -56,7 +57,8 @@ def candidate_pairs(a: DataFrame, b: DataFrame, key: str, block: Sequence[str],
     no distinct is needed. Keys with many profiles are salted.
     """
     fields = [f for f in fields if f not in block]
-    left, right = profiles(a, key, block, fields, "a"), profiles(b, key, block, fields, "b")
+    left = materialise(profiles(a, key, block, fields, "a"))  # each side is read once per field
+    right = materialise(profiles(b, key, block, fields, "b"))
     out = None
     for i, field in enumerate(fields):
         keyed_l = left.filter(F.col(f"{field}_a").isNotNull()).withColumn("__v", F.col(f"{field}_a"))
@@ -81,11 +83,13 @@ class Comparison:
 
 
 def compare(pairs: DataFrame, specs: Sequence[Comparison]) -> DataFrame:
-    """Add one similarity per field."""
+    """Add one similarity per field. The pairs are written once; each name field reads its two columns."""
+    base = materialise(pairs)
+    pairs = base
     for s in specs:
         a, b, out = f"{s.field}_a", f"{s.field}_b", f"{s.field}_sim"
         if s.method == "jaro_winkler":
-            pairs = sim.with_jaro_winkler(pairs, a, b, out)
+            pairs = sim.with_jaro_winkler(pairs, a, b, out, source=base)
         elif s.method == "gauss":
             pairs = pairs.withColumn(out, sim.gaussian_similarity(F.col(a), F.col(b), s.offset, s.scale))
         elif s.method == "exact":
@@ -168,8 +172,6 @@ def posterior(model: MatchModel, specs: Sequence[Comparison]) -> Column:
 
 def probabilistic_pairs(a, b, key, block, specs: Sequence[Comparison]) -> tuple[DataFrame, MatchModel]:
     """Compared profile pairs with their posterior, and the fitted model."""
-    from civicframe.session import materialise
-
     fields = [s.field for s in specs]
     pairs = candidate_pairs(a, b, key, block, fields)
     levelled = materialise(agreement_levels(compare(pairs, specs), specs))

@@ -232,7 +232,7 @@ def random_split(df: DataFrame, key: str, shares: Mapping[str, float], seed: str
                            F.sum("__n").over(W.partitionBy()).alias("__total"))
     local = F.row_number().over(W.partitionBy("__b").orderBy("__h", key))
     # At most 4096 offset rows, whatever the data size.
-    ranked = hashed.withColumn("__r", local).join(F.broadcast(offsets.limit(buckets)), "__b")
+    ranked = hashed.withColumn("__r", local).join(F.broadcast(offsets), "__b")
     rank = F.col("__r") + F.col("__before")
     names, label, upto = list(shares), F.lit(None).cast("string"), 0.0
     edges = []

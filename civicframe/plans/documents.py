@@ -11,6 +11,7 @@ from civicframe.operators import models
 from civicframe.operators import relational as rel
 from civicframe.operators import textual as tx
 from civicframe.plans.registry import query
+from civicframe.session import materialise
 
 
 
@@ -51,7 +52,7 @@ def _(t):
 
 @query("j4_tfidf", f"WITH {TERMS} SELECT doc_id, term, ROUND(n * LN((SELECT COUNT(*) FROM documents) * 1.0 / df), 9) AS tfidf FROM dtm")
 def _(t):
-    out = tx.tfidf(counts(t), "doc_id", t.documents.count())
+    out = tx.tfidf(materialise(counts(t)), "doc_id", t.documents.count())
     return out.select("doc_id", "term", F.round("tfidf", 9).alias("tfidf"))
 
 
@@ -118,7 +119,7 @@ def _(t):
 
 @query("j11_topic_table")
 def _(t):
-    return tx.topic_table(embedding_topics(t), counts(t), "doc_id", 10)
+    return tx.topic_table(embedding_topics(t), materialise(counts(t)), "doc_id", 10)
 
 
 @query("j12_class_similarity", """WITH m AS (SELECT label AS class, list(x ORDER BY i) AS mean FROM (SELECT label, i, AVG(embedding[i]::DOUBLE) AS x FROM embeddings, range(1, 65) AS g(i) GROUP BY 1, 2) GROUP BY 1)
