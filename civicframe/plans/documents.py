@@ -11,7 +11,7 @@ from civicframe.operators import models
 from civicframe.operators import relational as rel
 from civicframe.operators import textual as tx
 from civicframe.plans.registry import query
-from civicframe.session import materialise
+from civicframe.session import materialise, spread
 
 
 
@@ -172,5 +172,5 @@ p AS (SELECT a.id AS id_a, b.id AS id_b, COUNT(*) AS shared FROM r a JOIN r b ON
 SELECT id_a, id_b, ga.n AS n_a, gb.n AS n_b, shared, ROUND(shared / (len(ga.l) + len(gb.l) - shared), 9) AS jaccard FROM p JOIN g ga ON ga.id = id_a JOIN g gb ON gb.id = id_b
 WHERE shared / (len(ga.l) + len(gb.l) - shared) >= 0.5""")
 def _(t):
-    items = t.documents.select("doc_id", F.explode(text.tokens(F.col("text"))).alias("item"))
+    items = spread(t.documents.select("doc_id", "text")).select("doc_id", F.explode(text.tokens(F.col("text"))).alias("item"))
     return tx.set_overlap(items, "doc_id", "item", 0.5).withColumn("jaccard", F.round("jaccard", 9))
