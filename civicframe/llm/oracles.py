@@ -2,6 +2,19 @@
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+SUBSTRING_DEDUP = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+starts AS (SELECT doc_id, unnest(range(1, greatest(len(w) - 33, 1))) AS i, w FROM d),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY array_to_string(list_slice(w, i, i + 34), ' ')) AS n FROM starts),
+gone AS (SELECT DISTINCT doc_id, i + unnest(range(0, 35)) AS p FROM windows WHERE n > 1),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS text
+         FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 QUALITY_RULES = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
 starts AS (SELECT doc_id, unnest(range(1, greatest(len(w) - 1, 1))) AS i, w FROM d),

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from civicframe.llm import mixing, oracles, packing, quality_rules
+from civicframe.llm import mixing, oracles, packing, quality_rules, substring_dedup
 from civicframe.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,12 @@ def register(sql: str | None = None):
     return wrap
 
 
+@register(oracles.SUBSTRING_DEDUP)
+def op1_substring_dedup(t: Tables) -> DataFrame:
+    rows = substring_dedup.remove_repeats(t.documents, length=35)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @register(oracles.QUALITY_RULES)
 def op3_quality_rules(t: Tables) -> DataFrame:
     return quality_rules.judge(t.documents).drop("host_rate")
