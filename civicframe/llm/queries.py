@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicframe.llm import mixing, oracles, packing, quality_rules, substring_dedup
+from civicframe.llm import mixing, oracles, packing, quality_rules, simhash_dedup, substring_dedup
 from civicframe.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op5_best_fit_packing(t: Tables) -> DataFrame:
     return packing.pack_documents(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register()
+def op8_simhash_near_dedup(t: Tables) -> DataFrame:
+    return simhash_dedup.near_duplicates(t.documents, shingle=3, distance=3)
+
+
 @register(oracles.MIXING)
 def op10_mixing(t: Tables) -> DataFrame:
     return mixing.plan_mix(t.documents).select("doc_id", "size", "source_size", "target", "taken")
