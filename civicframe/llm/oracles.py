@@ -39,6 +39,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged JOIN verdict ON judged.source IS NOT DISTINCT FROM verdict.source
 """
 
+LINE_DEDUP = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS body, unnest(range(0, len(string_split(text, chr(10))))) AS line
+           FROM documents WHERE text IS NOT NULL),
+tokens AS (SELECT doc_id, line, list_transform(regexp_extract_all(body, '[^\x20\x09-\x0D]+'),
+                  lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t FROM l),
+p AS (SELECT doc_id, line, t AS exact, len(t) AS n, [CAST(len(t) AS VARCHAR)] || t[1:3] AS leaf, least(len(t), 8) AS many FROM tokens WHERE len(t) > 0),
+different AS (SELECT leaf, exact, n, many, unnest(range(0, many)) AS field FROM (SELECT DISTINCT leaf, exact, n, many FROM p)),
+cells AS (SELECT leaf, exact, field, exact[CAST(floor(field * n / many) AS INT) + 1 : CAST(floor((field + 1) * n / many) AS INT)] AS value
+          FROM different WHERE floor((field + 1) * n / many) > 3),
+size AS (SELECT leaf, count(DISTINCT exact) AS lines FROM p GROUP BY leaf),
+constant AS (SELECT leaf, field, value FROM cells JOIN size USING (leaf) WHERE lines > 1
+             GROUP BY leaf, field, value, lines HAVING count(*) > 1 AND 2 * count(*) > lines),
+alike AS (SELECT cells.leaf, exact FROM cells LEFT JOIN constant USING (leaf, field, value) JOIN size ON size.leaf = cells.leaf WHERE lines > 1
+          GROUP BY cells.leaf, exact HAVING 2 * count(constant.field) >= count(*)),
+placed AS (SELECT p.doc_id, line, CASE WHEN alike.exact IS NULL THEN ['exact'] || p.exact ELSE ['leaf'] || p.leaf END AS template
+           FROM p LEFT JOIN alike ON alike.exact = p.exact),
+ranked AS (SELECT doc_id, line, row_number() OVER (PARTITION BY template ORDER BY doc_id, line) AS k,
+                  min(doc_id) OVER (PARTITION BY template) <> max(doc_id) OVER (PARTITION BY template) AS shared FROM placed),
+gone AS (SELECT doc_id, line FROM ranked WHERE shared AND k > 1),
+kept AS (SELECT doc_id, string_agg(body, chr(10) ORDER BY line) AS text FROM l ANTI JOIN gone USING (doc_id, line) GROUP BY doc_id),
+dropped AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_dropped,
+       md5(coalesce(kept.text, '')) AS text_md5
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN dropped USING (doc_id)
+"""
+
 MIXING = rf"""
 WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
                   CAST('0x' || substr(md5('mix:' || CAST(doc_id AS VARCHAR) || ':' || md5(text)), 1, 12) AS BIGINT) / 281474976710656.0 AS u

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicframe.llm import mixing, oracles, packing, quality_rules, simhash_dedup, substring_dedup
+from civicframe.llm import line_dedup, mixing, oracles, packing, quality_rules, simhash_dedup, substring_dedup
 from civicframe.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,12 @@ def op5_best_fit_packing(t: Tables) -> DataFrame:
     return packing.pack_documents(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register(oracles.LINE_DEDUP)
+def op7_line_dedup(t: Tables) -> DataFrame:
+    rows = line_dedup.drop_recurring_lines(t.documents)
+    return rows.select("doc_id", "n_lines", "n_dropped", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
+
+
 @register()
 def op8_simhash_near_dedup(t: Tables) -> DataFrame:
     return simhash_dedup.near_duplicates(t.documents, shingle=3, distance=3)
