@@ -80,8 +80,8 @@ def lowest_until(rows: DataFrame, group: str, key: str, size: str, budget: DataF
             break
         shift -= DIGIT_BITS
         bins = at.groupBy("g", "left", F.expr(f"shiftright({key}, {shift})").alias("bin")).agg(F.sum(size).alias("s"))
-        upto = F.sum("s").over(Window.partitionBy("g").orderBy("bin"))
-        cut = bins.withColumn("upto", upto).where((F.col("upto") >= F.col("left")) | (F.col("upto") == F.sum("s").over(Window.partitionBy("g"))))
+        upto, every = F.sum("s").over(Window.partitionBy("g").orderBy("bin")), F.sum("s").over(Window.partitionBy("g"))
+        cut = bins.withColumns({"upto": upto, "every": every}).where("upto >= left or upto = every")
         first = cut.groupBy("g").agg(F.min(F.struct("bin", (F.col("left") - F.col("upto") + F.col("s")).alias("left"))).alias("m"))
         state = materialise(first.select("g", F.col("m.bin").alias("prefix"), F.col("m.left").alias("left")))
     joined = rows.join(state, rows[group].eqNullSafe(state["g"]))
