@@ -55,6 +55,12 @@ def arrow_pass(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Recor
     return df.mapInArrow(run, schema)
 
 
+def texts_of(column: pa.Array, rows: int = 256) -> Iterator[str | None]:
+    """The values of a text column, a few hundred at a time as Python strings."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 def text_udf(schema: str, make: Callable[[], Callable[[str | None], tuple]]):
     """A column function from a text column to a struct; ``make()`` runs once per task.
 
@@ -70,7 +76,7 @@ def text_udf(schema: str, make: Callable[[], Callable[[str | None], tuple]]):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         step = make()
         for texts in batches:
-            columns = list(zip(*map(step, texts.to_pylist()), strict=True)) or [()] * len(fields)
+            columns = list(zip(*map(step, texts_of(texts)), strict=True)) or [()] * len(fields)
             yield pa.StructArray.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], fields=list(kind))
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import arrow_pass, pick
+from civicframe.llm.common import arrow_pass, pick, texts_of
 from civicframe.session import materialise, materialise_observed
 
 CAPACITY = 2048
@@ -69,7 +69,7 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, doc_id: str =
 
         def step(batch):
             out = {k: [] for k in ("doc_id", "row", "piece", "start", "length", "ids_crc32")}
-            for key, row, body in zip(batch["doc_id"].to_pylist(), batch["row"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            for key, row, body in zip(batch["doc_id"].to_pylist(), batch["row"].to_pylist(), texts_of(batch["text"]), strict=True):
                 ids = np.append(encode(body or ""), np.array([END], dtype="<u4"))
                 for k, (start, length) in enumerate(pieces(len(ids), capacity)):
                     crc = zlib.crc32(ids[start:start + length].tobytes())

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import WORD, arrow_pass, pick, shuffle_partitions
+from civicframe.llm.common import WORD, arrow_pass, pick, shuffle_partitions, texts_of
 from civicframe.llm.components import connected_components
 from civicframe.session import materialise
 
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
     def make():
         def step(batch):
-            found = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64)
+            found = np.array([fingerprint(t, shingle) for t in texts_of(batch["text"])], np.uint64)
             return {"doc_id": batch["doc_id"], "fp": found.view(np.int64)}
 
         return step

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import WORD, WordHashes, arrow_pass, mixed, pick, shuffle_partitions
+from civicframe.llm.common import WORD, WordHashes, arrow_pass, mixed, pick, shuffle_partitions, texts_of
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -120,7 +120,7 @@ def _half_windows(keyed: DataFrame, length: int, id_type: str, slices: int) -> D
 
         def step(batch):
             found = [], [], [], []
-            for i, text in enumerate(batch["text"].to_pylist()):
+            for i, text in enumerate(texts_of(batch["text"])):
                 words = WORD.findall(text or "")
                 if len(words) >= length:
                     halves = Rolling(hashes.of(words)).windows(half)
@@ -143,7 +143,7 @@ def _full_windows(with_seeds: DataFrame, length: int, id_type: str, slices: int)
 
         def step(batch):
             found = [], [], [], []
-            for i, (text, seeds) in enumerate(zip(batch["text"].to_pylist(), batch["seeds"], strict=True)):
+            for i, (text, seeds) in enumerate(zip(texts_of(batch["text"]), batch["seeds"], strict=True)):
                 rolling = Rolling(hashes.of(WORD.findall(text or "")))
                 halves, whole = rolling.windows(half), rolling.windows(length)
                 at = np.concatenate([x.values.to_numpy() for x in seeds])
@@ -247,7 +247,7 @@ def remove_repeats(docs: DataFrame, length: int = 35, doc_id: str = "doc_id", te
     def make():
         def step(batch):
             n_words, n_removed, kept = [], [], []
-            for text, starts in zip(batch["text"].to_pylist(), batch["starts"], strict=True):
+            for text, starts in zip(texts_of(batch["text"]), batch["starts"], strict=True):
                 words = WORD.findall(text or "")
                 n_words.append(len(words))
                 if starts.is_valid:
