@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicframe.llm import line_dedup, mixing, oracles, packing, quality_rules, simhash_dedup, substring_dedup
+from civicframe.llm import (
+    language_id,
+    line_dedup,
+    mixing,
+    oracles,
+    packing,
+    quality_rules,
+    simhash_dedup,
+    substring_dedup,
+    toxicity,
+)
 from civicframe.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +51,11 @@ def op5_best_fit_packing(t: Tables) -> DataFrame:
     return packing.pack_documents(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register()
+def op6_toxicity(t: Tables) -> DataFrame:
+    return toxicity.score_documents(t.documents, t.labels)
+
+
 @register(oracles.LINE_DEDUP)
 def op7_line_dedup(t: Tables) -> DataFrame:
     rows = line_dedup.drop_recurring_lines(t.documents)
@@ -52,6 +67,11 @@ def op8_simhash_near_dedup(t: Tables) -> DataFrame:
     return simhash_dedup.near_duplicates(t.documents, shingle=3, distance=3)
 
 
+@register()
+def op9_language_id(t: Tables) -> DataFrame:
+    return language_id.identify(t.documents)
+
+
 @register(oracles.MIXING)
 def op10_mixing(t: Tables) -> DataFrame:
     return mixing.plan_mix(t.documents).select("doc_id", "size", "source_size", "target", "taken")
