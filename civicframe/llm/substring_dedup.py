@@ -25,7 +25,7 @@ INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Slices of the hash range for each shuffle partition; a task holds one slice at a time.
 SLICES = 8
-SENT = "slice int, key binary, window binary, n binary, start binary, doc binary, doc_id array<{id}>, text_hash array<bigint>"
+SENT = "slice int, key binary, window binary, n binary, start binary, entries binary, id_hash binary, text_hash binary"
 
 
 class Rolling:
@@ -65,9 +65,10 @@ def is_smallest(values: np.ndarray, smallest: np.ndarray, width: int) -> np.ndar
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows with a key of their own: the id and a hash of the text. Equal rows share it and count as repeats."""
+    """Rows with a key of 128 bits: hashes of the id and of the text. Equal rows share it and count as repeats."""
     return pick(docs, doc_id=doc_id, text=text).select(
-        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+        "doc_id", F.xxhash64("doc_id", F.col("doc_id").isNull()).alias("id_hash"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
 
 
 def _sent(batch: pa.RecordBatch, slices: int, keys: list, windows: list, starts: list, rows: list) -> dict:
@@ -92,18 +93,18 @@ def _sent(batch: pa.RecordBatch, slices: int, keys: list, windows: list, starts:
     order = np.argsort(part.astype(np.uint32), kind="stable")
     used, first = np.unique(part[order], return_index=True)
     ends = np.append(first, len(order)).astype(np.int32)
-    pairs, doc = np.unique(part[order].astype(np.int64) * len(batch) + rows[order], return_inverse=True)
-    doc_ends = np.searchsorted(pairs, np.append(used.astype(np.int64) * len(batch), np.iinfo(np.int64).max)).astype(np.int32)
-    doc -= np.repeat(doc_ends[:-1], np.diff(ends))
-    member = pa.array(pairs % max(1, len(batch)))
+    pairs, begins = np.unique(part[order].astype(np.int64) * len(batch) + rows[order], return_index=True)
+    docs = np.searchsorted(pairs, np.append(used.astype(np.int64) * len(batch), np.iinfo(np.int64).max))
+    member = pairs % max(1, len(batch))
 
-    def packed(values: np.ndarray) -> pa.Array:
+    def packed(values: np.ndarray, ends: np.ndarray = ends) -> pa.Array:
         offsets = (ends.astype(np.int64) * values.itemsize).astype(np.int32)
         return pa.BinaryArray.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
-    lists = lambda name: pa.ListArray.from_arrays(pa.array(doc_ends), batch[name].take(member))
+    entries = np.diff(np.append(begins, len(order))).astype(np.int32)
     return {"slice": used.astype(np.int32), "key": packed(keys[order]), "window": packed(windows[order]), "n": packed(n[order]),
-            "start": packed(starts[order]), "doc": packed(doc.astype(np.int32)), "doc_id": lists("doc_id"), "text_hash": lists("text_hash")}
+            "start": packed(starts[order]), "entries": packed(entries, docs)} | {
+                name: packed(batch[name].to_numpy()[member], docs) for name in ("id_hash", "text_hash")}
 
 
 def _half(length: int) -> tuple[int, int]:
@@ -111,7 +112,7 @@ def _half(length: int) -> tuple[int, int]:
     return half, length - half + 1
 
 
-def _half_windows(keyed: DataFrame, length: int, id_type: str, slices: int) -> DataFrame:
+def _half_windows(keyed: DataFrame, length: int, slices: int) -> DataFrame:
     """The smallest half windows of every document, packed."""
     half, width = _half(length)
 
@@ -131,10 +132,10 @@ def _half_windows(keyed: DataFrame, length: int, id_type: str, slices: int) -> D
 
         return step
 
-    return arrow_pass(keyed, SENT.format(id=id_type), make)
+    return arrow_pass(keyed, SENT, make)
 
 
-def _full_windows(with_seeds: DataFrame, length: int, id_type: str, slices: int) -> DataFrame:
+def _full_windows(with_seeds: DataFrame, length: int, slices: int) -> DataFrame:
     """The windows of full length whose smallest half window is repeated, packed."""
     half, width = _half(length)
 
@@ -155,11 +156,11 @@ def _full_windows(with_seeds: DataFrame, length: int, id_type: str, slices: int)
 
         return step
 
-    return arrow_pass(with_seeds, SENT.format(id=id_type), make)
+    return arrow_pass(with_seeds, SENT, make)
 
 
 def _answer(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-    """Of one slice, the places of windows that occur twice or more: (doc_id, text_hash, starts) rows."""
+    """Of one slice, the places of windows that occur twice or more: (id_hash, text_hash, starts) rows."""
     table = pa.Table.from_batches(rows).combine_chunks()
     column = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
     key, window = column("key", np.uint64), column("window", np.uint32)
@@ -170,26 +171,22 @@ def _answer(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
     keep = order[np.repeat(total >= 2, np.diff(np.append(first, len(order))))]
     if not len(keep):
         return None
-    docs = pa.compute.list_value_length(table["doc_id"]).to_numpy()
-    entries = pa.compute.binary_length(table["doc"]).to_numpy() // 4
-    doc = (column("doc", np.int32) + np.repeat(np.cumsum(docs) - docs, entries))[keep]
+    entries = column("entries", np.int32)
+    doc = np.repeat(np.arange(len(entries)), entries)[keep]
     start = column("start", np.int32)[keep]
     order = np.lexsort((start, doc))
     doc, start = doc[order], start[order]
     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     ends = pa.array(np.append(first, len(doc)).astype(np.int32))
-    flat = {n: table[n].combine_chunks().flatten().take(pa.array(doc[first])) for n in ("doc_id", "text_hash")}
-    return pa.RecordBatch.from_arrays([flat["doc_id"], flat["text_hash"], pa.ListArray.from_arrays(ends, pa.array(start))],
-                                      names=["doc_id", "text_hash", "starts"])
+    keys = [pa.array(column(name, np.int64)[doc[first]]) for name in ("id_hash", "text_hash")]
+    return pa.RecordBatch.from_arrays([*keys, pa.ListArray.from_arrays(ends, pa.array(start))], names=["id_hash", "text_hash", "starts"])
 
 
-def _repeated(sent: DataFrame, id_type: str, parts: int) -> DataFrame:
-    """Per document, lists of the starts whose (key, window) occurs elsewhere too: doc_id, text_hash, starts (list of lists)."""
+def _repeated(sent: DataFrame, parts: int) -> DataFrame:
+    """Per document, lists of the starts whose (key, window) occurs elsewhere too: id_hash, text_hash, starts (list of lists)."""
     dealt = sent.repartition(parts, "slice").sortWithinPartitions("slice")
 
     def run(batches):
-        import pyarrow.compute  # noqa: F401
-
         at, held = None, []
         for batch in batches:
             slices = batch["slice"].to_numpy()
@@ -206,23 +203,17 @@ def _repeated(sent: DataFrame, id_type: str, parts: int) -> DataFrame:
         if held and (found := _answer(held)) is not None:
             yield found
 
-    found = dealt.mapInArrow(run, f"doc_id {id_type}, text_hash bigint, starts array<int>")
-    return found.groupBy("doc_id", "text_hash").agg(F.collect_set("starts").alias("starts"))
+    found = dealt.mapInArrow(run, "id_hash bigint, text_hash bigint, starts array<int>")
+    return found.groupBy("id_hash", "text_hash").agg(F.collect_set("starts").alias("starts"))
 
 
 def repeated_windows(docs: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(keyed, found): the documents with their keys, and (doc_id, text_hash, starts) of windows of ``length``
+    """(keyed, found): the documents with their keys, and (id_hash, text_hash, starts) of windows of ``length``
     words that also start elsewhere, in the same document or another. ``starts`` is a list of lists."""
-    keyed = _keyed(docs, doc_id, text)
-    id_type, parts = dict(keyed.dtypes)["doc_id"], shuffle_partitions(docs.sparkSession)
-    seeds = _repeated(_half_windows(keyed, length, id_type, parts * SLICES), id_type, parts)
-    with_seeds = _joined(keyed, seeds.withColumnRenamed("starts", "seeds"), "inner")
-    return keyed, _repeated(_full_windows(with_seeds, length, id_type, parts * SLICES), id_type, parts)
-
-
-def _joined(keyed: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    found = found.withColumnsRenamed({"doc_id": "d", "text_hash": "h"})
-    return keyed.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), how).drop("d", "h")
+    keyed, parts = _keyed(docs, doc_id, text), shuffle_partitions(docs.sparkSession)
+    seeds = _repeated(_half_windows(keyed, length, parts * SLICES), parts)
+    with_seeds = keyed.join(seeds.withColumnRenamed("starts", "seeds"), ["id_hash", "text_hash"])
+    return keyed, _repeated(_full_windows(with_seeds, length, parts * SLICES), parts)
 
 
 def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
@@ -241,7 +232,7 @@ def remove_repeats(docs: DataFrame, length: int = 35, doc_id: str = "doc_id", te
     table gives an empty table; other columns are not read.
     """
     keyed, found = repeated_windows(docs, length, doc_id, text)
-    marked = _joined(keyed, found, "left")
+    marked = keyed.join(found, ["id_hash", "text_hash"], "left")
     id_type = dict(keyed.dtypes)["doc_id"]
 
     def make():
