@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicframe.llm import (
+    exact_topk,
     language_id,
     line_dedup,
     mixing,
@@ -41,6 +42,11 @@ def op1_substring_dedup(t: Tables) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@register(oracles.EXACT_TOPK)
+def op2_exact_topk(t: Tables) -> DataFrame:
+    return exact_topk.top_k(t.embeddings, k=5, every=50)
+
+
 @register(oracles.QUALITY_RULES)
 def op3_quality_rules(t: Tables) -> DataFrame:
     return quality_rules.judge(t.documents).drop("host_rate")
