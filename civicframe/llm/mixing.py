@@ -71,26 +71,27 @@ def lowest_until(rows: DataFrame, group: str, key: str, size: str, budget: DataF
     so far; when no such bucket has more than RANKED_ROWS rows, or the bits end, its rows are ranked. Groups of any
     size are spread over all tasks.
     """
-    state = materialise(budget.select(F.col(group).alias("g"), F.lit(0).cast("bigint").alias("prefix"), F.col("budget").alias("left")))
+    rows = rows.select(F.col(group).alias("in_group"), F.col(key).alias("in_key"), F.col(size).alias("in_size"), F.struct(*tie).alias("tie"))
+    state = materialise(budget.select(F.col(group).alias("of"), F.lit(0).cast("bigint").alias("prefix"), F.col("budget").alias("left")))
     shift = KEY_BITS + DIGIT_BITS  # keys up to 2**48 included: the first digit has one value more
     while True:
-        at = rows.join(state, rows[group].eqNullSafe(state["g"]) & (F.expr(f"shiftright({key}, {shift})") == state["prefix"]))
-        largest = at.groupBy("g").count().agg(F.max("count")).first()[0] or 0
+        here = F.expr(f"shiftright(in_key, {shift})")
+        at = rows.join(state, F.col("in_group").eqNullSafe(F.col("of")) & (here == F.col("prefix")))
+        largest = at.groupBy("of").count().agg(F.max("count")).first()[0] or 0
         if largest <= RANKED_ROWS or shift == 0:
             break
         shift -= DIGIT_BITS
-        bins = at.groupBy("g", "left", F.expr(f"shiftright({key}, {shift})").alias("bin")).agg(F.sum(size).alias("s"))
-        upto, every = F.sum("s").over(Window.partitionBy("g").orderBy("bin")), F.sum("s").over(Window.partitionBy("g"))
-        cut = bins.withColumns({"upto": upto, "every": every}).where("upto >= left or upto = every")
-        first = cut.groupBy("g").agg(F.min(F.struct("bin", (F.col("left") - F.col("upto") + F.col("s")).alias("left"))).alias("m"))
-        state = materialise(first.select("g", F.col("m.bin").alias("prefix"), F.col("m.left").alias("left")))
-    joined = rows.join(state, rows[group].eqNullSafe(state["g"]))
-    here = F.expr(f"shiftright({key}, {shift})")
-    below = joined.where(here < F.col("prefix")).select(*tie)
-    order = Window.partitionBy("g").orderBy(key, *tie)
-    upto = F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    at_cut = joined.where(here == F.col("prefix")).withColumn("upto", upto).where(
-        2 * F.col("upto") - F.col(size) <= 2 * F.col("left")).select(*tie)
+        bins = at.groupBy("of", "left", F.expr(f"shiftright(in_key, {shift})").alias("bin")).agg(F.sum("in_size").alias("s"))
+        group_of = Window.partitionBy("of")
+        cut = bins.withColumns({"upto": F.sum("s").over(group_of.orderBy("bin")), "every": F.sum("s").over(group_of)}).where(
+            "upto >= left or upto = every")
+        first = cut.groupBy("of").agg(F.min(F.struct("bin", (F.col("left") - F.col("upto") + F.col("s")).alias("left"))).alias("m"))
+        state = materialise(first.select("of", F.col("m.bin").alias("prefix"), F.col("m.left").alias("left")))
+    joined = rows.join(state, F.col("in_group").eqNullSafe(F.col("of")))
+    below = joined.where(here < F.col("prefix")).select("tie.*")
+    order = Window.partitionBy("of").orderBy("in_key", "tie")
+    upto = F.sum("in_size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    at_cut = joined.where(here == F.col("prefix")).withColumn("upto", upto).where("2 * upto - in_size <= 2 * left").select("tie.*")
     return below.unionByName(at_cut)
 
 

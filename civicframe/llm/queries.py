@@ -12,6 +12,7 @@ from civicframe.llm import (
     exact_topk,
     language_id,
     line_dedup,
+    lm_scoring,
     mixing,
     oracles,
     packing,
@@ -52,6 +53,11 @@ def op3_quality_rules(t: Tables) -> DataFrame:
     return quality_rules.judge(t.documents).drop("host_rate")
 
 
+@register()
+def op4_lm_scoring(t: Tables) -> DataFrame:
+    return lm_scoring.score_documents(t.documents)
+
+
 @register()
 def op5_best_fit_packing(t: Tables) -> DataFrame:
     return packing.pack_documents(t.documents, public_tokenizers.path("byte_bpe_50k.json"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicframe.llm import mixing, packing, quality_rules
+from civicframe.llm import line_dedup, mixing, packing, quality_rules, simhash_dedup
 from civicframe.session import materialise
 
 
@@ -14,6 +14,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filter_documents(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of templates that recur across documents go, but for the first; n_chars follows the text."""
+    return line_dedup.clean_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays."""
+    return simhash_dedup.keep_one(docs, shingle=3, distance=3)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mix_documents(docs)
@@ -26,6 +36,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
+    ("line dedup", lines),
+    ("SimHash near-dedup", near_duplicates),
     ("mixing sources to target weights", mix),
     ("best-fit packing", pack),
 ]
