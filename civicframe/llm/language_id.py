@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from civicframe.llm.common import arrow_pass, pick, texts_of
 from civicframe.llm.sampling import bounded_sample, crc_of
-from civicframe.session import materialise
 
 WINDOW = 128
 EMBEDDING, FILTERS, WIDTHS = 8, 16, (2, 3, 4)
@@ -116,23 +115,33 @@ def windows(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return x.reshape(n, WINDOW), sizes
 
 
-def train(texts: list[str], languages: list[str], epochs: int = 3, batch: int = 64, seed: int = 7) -> ByteNet:
-    """Fit the network by Adam on some windows of each text, spread over all of it; half are cut short, as short texts are."""
+def _sample_windows(sample: DataFrame) -> DataFrame:
+    """(lang, doc_id, x): some windows of each text, spread over all of it, one after another."""
+
+    def make():
+        def step(batch):
+            found = []
+            for text in texts_of(batch["text"]):
+                x, _ = windows(text.encode("utf-8", "replace"))
+                found.append(x[np.unique(np.linspace(0, len(x) - 1, SAMPLE_WINDOWS).astype(int))].tobytes())
+            return {"lang": batch["lang"], "doc_id": batch["doc_id"], "x": found}
+
+        return step
+
+    return arrow_pass(sample, f"lang string, doc_id {dict(sample.dtypes)['doc_id']}, x binary", make)
+
+
+def train(x: np.ndarray, languages: list[str], epochs: int = 3, batch: int = 64, seed: int = 7) -> ByteNet:
+    """Fit the network by Adam on windows (n, WINDOW) with their languages; half are cut short, as short texts are."""
     rng = np.random.default_rng(seed)
     names = sorted(set(languages))
-    xs, ys = [], []
-    for text, language in zip(texts, languages, strict=True):
-        x, _ = windows(text.encode("utf-8", "replace"))
-        for k in np.unique(np.linspace(0, len(x) - 1, SAMPLE_WINDOWS).astype(int)) if len(x) else []:
-            row = x[k].copy()
-            if rng.random() < 0.5:
-                row[rng.integers(12, WINDOW):] = 0
-            xs.append(row)
-            ys.append(names.index(language))
     net = ByteNet.fresh(names, rng)
     if len(names) < 2:
         return net
-    x, y = np.stack(xs), np.array(ys)
+    short = rng.random(len(x)) < 0.5
+    ends = np.where(short, rng.integers(12, WINDOW, len(x)), WINDOW)
+    x = np.where(np.arange(WINDOW) < ends[:, None], x, 0).astype(np.uint8)
+    y = np.searchsorted(names, languages)
     weights = net.parameters()
     mean, square, t = [np.zeros_like(p) for p in weights], [np.zeros_like(p) for p in weights], 0
     for _ in range(epochs):
@@ -147,14 +156,18 @@ def train(texts: list[str], languages: list[str], epochs: int = 3, batch: int =
 
 
 def learn(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> ByteNet | None:
-    """Fit on a bounded sample of (doc_id, text, lang) rows that are labelled and not held out; None if there are none."""
+    """Fit on a bounded sample of (doc_id, text, lang) rows that are labelled and not held out; None if there are none.
+
+    The driver gets SAMPLE_WINDOWS windows of each document of the sample, never a text.
+    """
     known = docs.where("lang is not null and text <> ''").where(crc_of(F.col("doc_id")) % 5 != 0)
     n = known.select("lang").distinct().count()
     if not n:
         return None
     sample = bounded_sample(known, "lang", max(8, sample_documents // n), "language", "doc_id").select("doc_id", "text", "lang")
-    rows = sorted(map(tuple, materialise(sample).collect()), key=str)
-    return train([r[1] for r in rows], [r[2] for r in rows])
+    rows = sorted(map(tuple, _sample_windows(sample).collect()), key=str)
+    x = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(-1, WINDOW)
+    return train(x, [r[0] for r in rows for _ in range(len(r[2]) // WINDOW)])
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",

@@ -40,13 +40,13 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         return 0
     if len(words) <= shingle:
         return xxhash.xxh64_intdigest(" ".join(words), 42)
-    grams = map(" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))
-    digests = b"".join([xxhash.xxh64_digest(g, 42) for g in grams])
-    bits = np.zeros(64, np.int64)
-    hashes = np.frombuffer(digests, np.uint8).reshape(-1, BYTES)
-    for at in range(0, len(hashes), 4096):
-        bits += np.unpackbits(hashes[at:at + 4096], axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * bits > len(hashes)).tobytes(), "big")
+    bits, n = np.zeros(64, np.int64), len(words) - shingle + 1
+    for at in range(0, n, 4096):
+        part = words[at:at + 4096 + shingle - 1]
+        grams = map(" ".join, zip(*(part[k:] for k in range(shingle)), strict=False))
+        hashes = np.frombuffer(b"".join([xxhash.xxh64_digest(g, 42) for g in grams]), np.uint8)
+        bits += np.unpackbits(hashes.reshape(-1, BYTES), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * bits > n).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:

@@ -3,7 +3,7 @@
 The first level looks at windows of half the length, and of those only at the ones that are smallest by hash among the
 half windows inside some full window. Which they are depends on the words of that full window alone, so a
 full window that is repeated has a repeated half window. Only full windows over repeated half windows reach the
-second level. :func:`levels` goes on from there with twice the length each time, until no window is repeated.
+second level. :func:`longest_repeats` goes on from there with twice the length each time, until no window is repeated.
 
 A level compares windows by hash, 64 bits for half windows and 96 for full ones. Each batch of documents packs its
 hashes into one row for each slice of the hash range. It sends a hash once, with the count 2 if it has it several times,
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicframe.llm.common import WORD, WordHashes, arrow_pass, mixed, pick, shuffle_partitions, texts_of
+from civicframe.session import materialise
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -216,6 +217,50 @@ def repeated_windows(docs: DataFrame, length: int = 35, doc_id: str = "doc_id",
     return keyed, _repeated(_full_windows(with_seeds, length, parts * SLICES), parts)
 
 
+def _extended(keyed: DataFrame, found: DataFrame, length: int, slices: int) -> DataFrame:
+    """The windows of ``length`` words, both halves of which are among the found ones, packed."""
+    half = length // 2
+
+    def make():
+        hashes = WordHashes()
+
+        def step(batch):
+            out = [], [], [], []
+            for i, (text, starts) in enumerate(zip(texts_of(batch["text"]), batch["starts"], strict=True)):
+                at = np.unique(np.concatenate([x.values.to_numpy() for x in starts]))
+                at = at[np.isin(at + half, at)]
+                if len(at):
+                    rolling = Rolling(hashes.of(WORD.findall(text or "")))
+                    halves, whole = rolling.windows(half), rolling.windows(length)
+                    second = mixed(halves[at] ^ (halves[at + half] * BASE)) >> np.uint64(32)
+                    for part, values in zip(out, (whole[at], second, at, np.full(len(at), i)), strict=True):
+                        part.append(values)
+            return _sent(batch, slices, *out)
+
+        return step
+
+    return arrow_pass(keyed.join(found, ["id_hash", "text_hash"]), SENT, make)
+
+
+def longest_repeats(docs: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and the longest level (length, twice, four times, ...) at which a window of the row is repeated; 0: none.
+
+    Each level extends the windows repeated at the level before to twice their length, until none survives.
+    """
+    parts = shuffle_partitions(docs.sparkSession)
+    keyed, found = repeated_windows(docs, length, doc_id, text)
+    levels = keyed.select("id_hash", "text_hash").limit(0).withColumn("level", F.lit(0))
+    while True:
+        found = materialise(found)
+        if found.isEmpty():
+            break
+        levels = levels.unionByName(found.select("id_hash", "text_hash", F.lit(length).alias("level")))
+        length *= 2
+        found = _repeated(_extended(keyed, found, length, parts * SLICES), parts)
+    longest = levels.groupBy("id_hash", "text_hash").agg(F.max("level").alias("level"))
+    return keyed.join(longest, ["id_hash", "text_hash"], "left").select("doc_id", F.coalesce("level", F.lit(0)).alias("level"))
+
+
 def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
     """Which of n words lie in a window that begins at one of the starts."""
     steps = np.zeros(n + 1, np.int64)

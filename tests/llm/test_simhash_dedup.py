@@ -7,6 +7,7 @@ import numpy as np
 import xxhash
 
 from civicframe.llm import simhash_dedup as sd
+from tests.llm.fixtures import awkward, empty, rows_of
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -65,6 +66,15 @@ def test_edge_cases(spark):
                   (None, " ".join(base)), (7, " ".join(base * 300)), *near])
 
 
+def test_awkward_rows(spark):
+    docs = awkward(spark, extra=True)
+    got = sd.near_duplicates(docs)
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    assert rows_of(got) == slow_components([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert sd.keep_one(docs).columns == docs.columns
+    assert sd.keep_one(empty(spark)).count() == 0
+
+
 def test_empty_table(spark):
     check(spark, [])
 

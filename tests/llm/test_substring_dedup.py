@@ -53,3 +53,19 @@ def test_one_passage_in_many_documents_and_batches(spark):
 
 def test_empty_table(spark):
     assert rows_of(sub.remove_repeats(empty(spark))) == []
+
+
+def test_levels_go_on_until_none_survives(spark):
+    docs = awkward(spark, texts())
+    words = [(r["doc_id"], re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in docs.collect()]
+    expected = {i: 0 for i in range(len(words))}
+    length = 7
+    while True:
+        windows = Counter(tuple(w[i:i + length]) for _, w in words for i in range(len(w) - length + 1))
+        hit = [k for k, (_, w) in enumerate(words) if any(windows[tuple(w[i:i + length])] > 1 for i in range(len(w) - length + 1))]
+        if not hit:
+            break
+        expected |= dict.fromkeys(hit, length)
+        length *= 2
+    assert max(expected.values()) >= 56
+    assert rows_of(sub.longest_repeats(docs, 7)) == sorted(((words[k][0], n) for k, n in expected.items()), key=str)
