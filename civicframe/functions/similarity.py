@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,19 +41,23 @@ def jaro_winkler(a: str, b: str, weight: float = 0.1, prefix: int = 4) -> float:
 
 
 @F.pandas_udf(T.DoubleType())
-def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)])
-
+def jaro_winkler_udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Similarity of two columns; null with a null. A task scores each pair of values once while it remembers it."""
+    known: dict[tuple, float | None] = {}
+    for a, b in batches:
+        if len(known) > 500_000:
+            known.clear()
+        out = []
+        for pair in zip(a, b):
+            if pair not in known:
+                known[pair] = None if pair[0] is None or pair[1] is None else jaro_winkler(*pair)
+            out.append(known[pair])
+        yield pd.Series(out, dtype="float64")
 
-def with_jaro_winkler(pairs: DataFrame, left: str, right: str, out: str, source: DataFrame | None = None) -> DataFrame:
-    """Add the similarity of two text columns, computed once per distinct pair of values.
 
-    ``source`` may name a written table with the same values, so that ``pairs`` is not run twice.
-    """
-    values = (pairs if source is None else source).select(F.col(left).alias("__x"), F.col(right).alias("__y")).distinct()
-    scored = values.withColumn(out, jaro_winkler_udf("__x", "__y"))
-    match = F.col(left).eqNullSafe(F.col("__x")) & F.col(right).eqNullSafe(F.col("__y"))
-    return pairs.join(scored, match, "left").drop("__x", "__y")
+def with_jaro_winkler(pairs: DataFrame, left: str, right: str, out: str) -> DataFrame:
+    """Add the similarity of two text columns, where the rows are: no join, so no value can be a hot key."""
+    return pairs.withColumn(out, jaro_winkler_udf(left, right))
 
 
 def gaussian_similarity(a: Column, b: Column, offset: float = 0.0, scale: float = 1.0) -> Column:

@@ -1,10 +1,8 @@
 """Record linkage: blocking, comparison, Fellegi-Sunter weights, thresholds and resolution.
 
-Records with the same field values form one profile, so a pair of profiles stands for
-``n_a * n_b`` pairs of records. Inside a block only profiles that share the value of at least one
-field are paired. A pair that shares none is by definition at level 0 of every field (two merely
-similar names are no evidence on their own), so the mixture model needs only the number of such
-pairs: block totals minus pairs formed.
+Every record of one list is compared with every record of the other list in its block. Large blocks are cut
+into chunks on both sides, and every two chunks meet in a task of their own. Pairs are counted by agreement pattern
+before anything is fitted, so the model sees a table of patterns, whatever the number of pairs.
 """
 
 from __future__ import annotations
@@ -42,38 +40,20 @@ def block_report(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return both.withColumn("n_pairs", F.col("n_a") * F.col("n_b"))
 
 
-def profiles(df: DataFrame, key: str, block: Sequence[str], fields: Sequence[str], side: str) -> DataFrame:
-    """Distinct field values per block with their number of records and lowest id."""
-    cols = [*block, *[f for f in fields if f not in block]]
-    out = df.na.drop(subset=list(block)).groupBy(*cols).agg(
-        F.count(F.lit(1)).alias(f"n_{side}"), F.min(key).alias(f"{key}_{side}"))
-    return out.withColumnsRenamed({f: f"{f}_{side}" for f in fields if f not in block})
-
-
 def candidate_pairs(a: DataFrame, b: DataFrame, key: str, block: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Profile pairs of a block that share at least one field value.
-
-    One join per field; a pair is kept in the first join that finds it, so none is found twice and
-    no distinct is needed. Keys with many profiles are salted.
-    """
+    """All pairs of records in the same block: the block, and key and fields of both sides. Null blocks pair with nothing."""
     fields = [f for f in fields if f not in block]
-    left = materialise(profiles(a, key, block, fields, "a"))  # each side is read once per field
-    right = materialise(profiles(b, key, block, fields, "b"))
-    out = None
-    for i, field in enumerate(fields):
-        keyed_l = left.filter(F.col(f"{field}_a").isNotNull()).withColumn("__v", F.col(f"{field}_a"))
-        keyed_r = right.filter(F.col(f"{field}_b").isNotNull()).withColumn("__v", F.col(f"{field}_b"))
-        found = scalable.salted_join(keyed_l, keyed_r, [*block, "__v"]).drop("__v")
-        for earlier in fields[:i]:
-            same = F.coalesce(F.col(f"{earlier}_a") == F.col(f"{earlier}_b"), F.lit(False))
-            found = found.filter(~same)
-        out = found if out is None else out.unionByName(found)
-    return out.withColumn("n_pairs", F.col("n_a") * F.col("n_b"))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        cols = {f: f"{f}_{name}" for f in (key, *fields)}
+        return df.na.drop(subset=list(block)).select(*block, *cols).withColumnsRenamed(cols)
+
+    return scalable.salted_join(side(a, "a"), side(b, "b"), list(block))
 
 
 @dataclass(frozen=True)
 class Comparison:
-    """How a field is compared: 'jaro_winkler', 'gauss' or 'exact', and the cuts of its levels."""
+    """How a field is compared: 'jaro_winkler', 'levenshtein', 'gauss' or 'exact', and the cuts of its levels."""
 
     field: str
     method: str
@@ -83,13 +63,14 @@ class Comparison:
 
 
 def compare(pairs: DataFrame, specs: Sequence[Comparison]) -> DataFrame:
-    """Add one similarity per field. The pairs are written once; each name field reads its two columns."""
-    base = materialise(pairs)
-    pairs = base
+    """Add one similarity per field, in one pass over the pairs."""
     for s in specs:
         a, b, out = f"{s.field}_a", f"{s.field}_b", f"{s.field}_sim"
         if s.method == "jaro_winkler":
-            pairs = sim.with_jaro_winkler(pairs, a, b, out, source=base)
+            pairs = sim.with_jaro_winkler(pairs, a, b, out)
+        elif s.method == "levenshtein":
+            longest = F.greatest(F.length(a), F.length(b))
+            pairs = pairs.withColumn(out, F.when(longest == 0, 1.0).otherwise(1 - F.levenshtein(a, b) / longest))
         elif s.method == "gauss":
             pairs = pairs.withColumn(out, sim.gaussian_similarity(F.col(a), F.col(b), s.offset, s.scale))
         elif s.method == "exact":
@@ -119,13 +100,14 @@ class MatchModel:
 
 
 def pattern_counts(levelled: DataFrame, names: Sequence[str]) -> DataFrame:
-    return levelled.groupBy(*names).agg(F.sum("n_pairs").alias("n"))
+    return levelled.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
 
 
-def fit_patterns(patterns: np.ndarray, counts: np.ndarray, sizes: Sequence[int], tol=1e-9, most=500) -> MatchModel:
+def fit_patterns(patterns: np.ndarray, counts: np.ndarray, sizes: Sequence[int], tol: float | None = 1e-9, most=500) -> MatchModel:
     """EM for two classes with independent fields, on the table of agreement patterns.
 
-    It starts with matches that agree more often, so the classes cannot swap.
+    It starts with matches that agree more often, so the classes cannot swap. It ends when the likelihood settles, or after
+    ``most`` steps; with ``tol`` None after ``most`` steps exactly.
     """
     k, total = len(sizes), counts.sum()
     m = [np.array([0.1] + [0.9 / (s - 1)] * (s - 1)) for s in sizes]
@@ -145,20 +127,18 @@ def fit_patterns(patterns: np.ndarray, counts: np.ndarray, sizes: Sequence[int],
             m[j] = np.maximum(np.bincount(patterns[:, j], wm, s) / max(wm.sum(), 1e-300), 1e-9)
             u[j] = np.maximum(np.bincount(patterns[:, j], wu, s) / max(wu.sum(), 1e-300), 1e-9)
             m[j], u[j] = m[j] / m[j].sum(), u[j] / u[j].sum()
-        if loglik - last < tol * abs(loglik):
+        if tol is not None and loglik - last < tol * abs(loglik):
             break
         last = loglik
     return MatchModel(share, [list(map(float, v)) for v in m], [list(map(float, v)) for v in u], step)
 
 
-def fit_linkage(levelled: DataFrame, specs: Sequence[Comparison], total_pairs: int) -> MatchModel:
+def fit_linkage(levelled: DataFrame, specs: Sequence[Comparison], tol: float | None = 1e-9, most=500) -> MatchModel:
     """Fit the model to the pattern counts: at most product(levels) rows reach the driver."""
     names = [f"{s.field}_level" for s in specs]
-    sizes = [len(s.cuts) + 1 for s in specs]
-    rows = pattern_counts(levelled, names).collect()
-    patterns = np.array([[r[n] for n in names] for r in rows] + [[0] * len(names)])
-    counts = np.array([float(r["n"]) for r in rows] + [max(total_pairs - sum(r["n"] for r in rows), 0)], dtype=float)
-    return fit_patterns(patterns, counts, sizes)
+    rows = sorted(map(tuple, pattern_counts(levelled, names).collect()))
+    table = np.array(rows, dtype=np.int64).reshape(-1, len(names) + 1)
+    return fit_patterns(table[:, :-1], table[:, -1].astype(float), [len(s.cuts) + 1 for s in specs], tol, most)
 
 
 def posterior(model: MatchModel, specs: Sequence[Comparison]) -> Column:
@@ -170,39 +150,33 @@ def posterior(model: MatchModel, specs: Sequence[Comparison]) -> Column:
     return 1.0 / (1.0 + F.exp(-log_odds))
 
 
-def probabilistic_pairs(a, b, key, block, specs: Sequence[Comparison]) -> tuple[DataFrame, MatchModel]:
-    """Compared profile pairs with their posterior, and the fitted model."""
-    fields = [s.field for s in specs]
-    pairs = candidate_pairs(a, b, key, block, fields)
+def probabilistic_pairs(a, b, key, block, specs: Sequence[Comparison], tol: float | None = 1e-9, most=500) -> tuple[DataFrame, MatchModel]:
+    """Compared pairs with their posterior, and the fitted model."""
+    pairs = candidate_pairs(a, b, key, block, [s.field for s in specs])
     levelled = materialise(agreement_levels(compare(pairs, specs), specs))
-    total = block_report(a, b, block).agg(F.sum("n_pairs")).first()[0] or 0
-    model = fit_linkage(levelled, specs, total)
+    model = fit_linkage(levelled, specs, tol, most)
     return levelled.withColumn("posterior", posterior(model, specs)), model
 
 
-def weighted_threshold_curve(pairs: DataFrame, score: str, total_pairs: int, steps: int = 100) -> DataFrame:
-    """Record pairs with score >= t; the pairs never formed have score 0."""
+def threshold_curve(pairs: DataFrame, score: str, steps: int = 100) -> DataFrame:
+    """Pairs with score >= t for t = 0, 1 / steps, ..., 1."""
     x = F.col(score)
     base = F.floor(x * steps).cast("int")
     level = F.when((base + 1) / F.lit(float(steps)) <= x, base + 1).when(base / F.lit(float(steps)) > x, base - 1).otherwise(base)
-    counts = pairs.groupBy(F.least(level, F.lit(steps)).alias("step")).agg(F.sum("n_pairs").alias("c"))
+    counts = pairs.groupBy(F.least(level, F.lit(steps)).alias("step")).agg(F.count(F.lit(1)).alias("c"))
     grid = pairs.sparkSession.range(steps + 1).select(F.col("id").cast("int").alias("step"))
     above = W.partitionBy().orderBy(F.desc("step")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    table = grid.join(counts, "step", "left").select(
-        "step", (F.col("step") / float(steps)).alias("threshold"), F.sum(F.coalesce("c", F.lit(0))).over(above).alias("n"))
-    return table.select("threshold", F.when(F.col("step") == 0, F.lit(total_pairs)).otherwise(F.col("n")).alias("n"))
+    return grid.join(counts, "step", "left").select(
+        (F.col("step") / float(steps)).alias("threshold"), F.sum(F.coalesce("c", F.lit(0))).over(above).alias("n"))
 
 
 def quality_by_bin(pairs: DataFrame, score: str, texts: Sequence[str], numbers: Sequence[str], lowest=1e-6) -> DataFrame:
     """Mean edit distance and absolute difference per score bin (right-closed tenths, empty bins kept)."""
     edges = [i / 10 for i in range(11)]
     labels = [f"{x:.1f}-{y:.1f}" for x, y in zip(edges, edges[1:])]
-    n = F.sum("n_pairs")
-    aggs = [n.alias("n")]
-    for f in texts:
-        aggs.append((F.sum(F.levenshtein(f"{f}_a", f"{f}_b") * F.col("n_pairs")) / n).alias(f"mean_{f}"))
-    for f in numbers:
-        aggs.append((F.sum(F.abs(F.col(f"{f}_a") - F.col(f"{f}_b")) * F.col("n_pairs")) / n).alias(f"mean_{f}"))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.avg(F.levenshtein(f"{f}_a", f"{f}_b")).alias(f"mean_{f}") for f in texts]
+    aggs += [F.avg(F.abs(F.col(f"{f}_a") - F.col(f"{f}_b"))).alias(f"mean_{f}") for f in numbers]
     out = rel.bin_table(pairs.filter(F.col(score) > lowest), score, edges, labels, aggs)
     return out.withColumn("n", F.coalesce("n", F.lit(0)))
 
@@ -212,7 +186,7 @@ def decide(score: Column, upper: float, lower: float) -> Column:
 
 
 def best_partner(pairs: DataFrame, key: str, score: str, side: str = "a", least: float = 0.0) -> DataFrame:
-    """The best partner profile of each profile (ties to the lower id): a maximum, no sort."""
+    """The best partner of each record (ties to the lower id): a maximum, no sort."""
     other = "b" if side == "a" else "a"
     rank = F.struct(F.col(score).alias("score"), (-F.col(f"{key}_{other}")).alias("neg"))
     best = pairs.filter(F.col(score) >= least).groupBy(f"{key}_{side}").agg(F.max(rank).alias("__best"))
@@ -226,21 +200,10 @@ def mutual_best(pairs: DataFrame, key: str, score: str, least: float = 0.0) -> D
     return first.join(second, [f"{key}_a", f"{key}_b"])
 
 
-def links(pairs: DataFrame, a: DataFrame, b: DataFrame, key: str, block, fields, score: str, least: float) -> DataFrame:
-    """Record pairs of the profile pairs that reach the threshold: only links are ever expanded."""
-    fields = [f for f in fields if f not in block]
-    chosen = pairs.filter(F.col(score) >= least)
-    for side, frame in (("a", a), ("b", b)):
-        cols = {f: f"{f}_{side}" for f in fields}
-        records = frame.select(*block, F.col(key).alias(f"__{side}"), *fields).withColumnsRenamed(cols)
-        chosen = scalable.null_safe_join(chosen, records, [*block, *cols.values()])
-    return chosen.select(F.col("__a").alias(f"{key}_a"), F.col("__b").alias(f"{key}_b"), score)
-
-
 def link_scores(pairs: DataFrame, key: str, score: str, thresholds: Sequence[float], n_true: int) -> DataFrame:
     """Precision and recall of links at each threshold; the truth is an equal id.
 
-    Pairs are record pairs. All thresholds come from one pass.
+    All thresholds come from one pass.
     """
     true = F.col(f"{key}_a") == F.col(f"{key}_b")
     aggs, rows = [], []

@@ -247,21 +247,29 @@ def lowest_by_hash(df, hashed: str, take: Column, by=(), tie=(), buckets: int =
     return flagged.filter("__low").drop("__low")
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_salt=200_000):
-    """Inner equi-join that splits keys with many left rows over several salts.
+def _chunks(df: DataFrame, keys: Sequence[str], rows_per_chunk: int, out: str) -> DataFrame:
+    """Per key with more than ``rows_per_chunk`` rows, into how many chunks its rows are dealt."""
+    n = F.count(F.lit(1))
+    return df.groupBy(*keys).agg(n.alias("__n")).filter(F.col("__n") > rows_per_chunk).select(
+        *keys, F.ceil(F.col("__n") / rows_per_chunk).cast("int").alias(out))
 
-    Only hot keys are split; the matching right rows are copied once per salt of their key. The
-    table of hot keys has at most ``rows(left) / rows_per_salt`` rows.
+
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_salt=20_000):
+    """Inner equi-join that splits keys with many rows on either side.
+
+    The rows of a hot key are dealt into chunks on each side by a hash, and every chunk of one side meets
+    every chunk of the other, so no task sees more than ``rows_per_salt`` rows of a key from either side. A row is copied
+    once per chunk of its key on the other side. The tables of hot keys have at most ``rows / rows_per_salt`` rows.
     """
-    hot = (
-        left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > rows_per_salt)
-        .select(*keys, F.ceil(F.col("__n") / rows_per_salt).cast("int").alias("__salts"))
-    )
-    salts = F.coalesce(F.col("__salts"), F.lit(1))
-    row_hash = F.abs(F.xxhash64(*[F.col(c) for c in left.columns]) % F.lit(1 << 30))
-    l2 = left.join(hot, list(keys), "left").withColumn("__salt", (row_hash % salts).cast("int"))
-    r2 = right.join(hot, list(keys), "left").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    return l2.drop("__salts").join(r2.drop("__salts"), [*keys, "__salt"]).drop("__salt")
+    hot_l = _chunks(left, keys, rows_per_salt, "__cl")
+    hot_r = _chunks(right, keys, rows_per_salt, "__cr")
+    cells = hot_l.join(hot_r, list(keys), "full")
+
+    def dealt(df: DataFrame, own: str, own_cell: str, other: str, other_cell: str) -> DataFrame:
+        row_hash = F.abs(F.xxhash64(*[F.col(c) for c in df.columns]) % F.lit(1 << 30))
+        mine, theirs = F.coalesce(F.col(own), F.lit(1)), F.coalesce(F.col(other), F.lit(1))
+        return df.join(cells, list(keys), "left").withColumns({
+            own_cell: (row_hash % mine).cast("int"), other_cell: F.explode(F.sequence(F.lit(0), theirs - 1))}).drop("__cl", "__cr")
+
+    l2, r2 = dealt(left, "__cl", "__i", "__cr", "__j"), dealt(right, "__cr", "__j", "__cl", "__i")
+    return l2.join(r2, [*keys, "__i", "__j"]).drop("__i", "__j")

@@ -50,24 +50,26 @@ def _(t):
     return ln.block_report(*people(t), ["zipcode"])
 
 
-PAIRS = """pa AS (SELECT zipcode, firstname AS firstname_a, lastname AS lastname_a, birthyear AS birthyear_a, COUNT(*) AS n_a, MIN(id) AS id_a FROM a GROUP BY ALL),
-pb AS (SELECT zipcode, firstname AS firstname_b, lastname AS lastname_b, birthyear AS birthyear_b, COUNT(*) AS n_b, MIN(id) AS id_b FROM b GROUP BY ALL),
-pairs AS (SELECT *, n_a * n_b AS n_pairs FROM pa JOIN pb USING (zipcode) WHERE firstname_a = firstname_b OR lastname_a = lastname_b OR birthyear_a = birthyear_b)"""
+PAIRS = """pairs AS (SELECT a.zipcode, a.id AS id_a, a.firstname AS firstname_a, a.lastname AS lastname_a, a.birthyear AS birthyear_a,
+b.id AS id_b, b.firstname AS firstname_b, b.lastname AS lastname_b, b.birthyear AS birthyear_b FROM a JOIN b USING (zipcode))"""
 SIMS = """sims AS (SELECT *, jaro_winkler_similarity(firstname_a, firstname_b) AS firstname_sim, jaro_winkler_similarity(lastname_a, lastname_b) AS lastname_sim,
 pow(2, -pow(abs(birthyear_a - birthyear_b) / 2.0, 2)) AS birthyear_sim FROM pairs), scored AS (SELECT *, (firstname_sim + lastname_sim + birthyear_sim) / 3 AS score FROM sims)"""
 HEAD = f"WITH {A}, {B_DUCK}, {PAIRS}"
 
 
-def scored(t):
-    """Candidate pairs with the mean similarity as score."""
+LEVELS = "(firstname_sim >= 0.88)::INT + (firstname_sim >= 0.92)::INT AS firstname_level, (lastname_sim >= 0.88)::INT + (lastname_sim >= 0.92)::INT AS lastname_level, (birthyear_sim >= 0.6)::INT + (birthyear_sim >= 0.99)::INT AS birthyear_level"
+
+
+def scored(t, specs=SPECS):
+    """All pairs of a block with the mean similarity as score."""
     a, b = people(t)
-    pairs = ln.compare(ln.candidate_pairs(a, b, "id", ["zipcode"], FIELDS), SPECS)
+    pairs = ln.compare(ln.candidate_pairs(a, b, "id", ["zipcode"], FIELDS), specs)
     return pairs.withColumn("score", (F.col("firstname_sim") + F.col("lastname_sim") + F.col("birthyear_sim")) / 3)
 
 
-@query("c9_blocking_join", HEAD + " SELECT zipcode, firstname_a, lastname_a, birthyear_a, firstname_b, lastname_b, birthyear_b, id_a, id_b, n_pairs FROM pairs")
+@query("c9_blocking_join", HEAD + " SELECT zipcode, firstname_a, lastname_a, birthyear_a, firstname_b, lastname_b, birthyear_b, id_a, id_b FROM pairs")
 def _(t):
-    return ln.candidate_pairs(*people(t), "id", ["zipcode"], FIELDS).drop("n_a", "n_b")
+    return ln.candidate_pairs(*people(t), "id", ["zipcode"], FIELDS)
 
 
 @query("n3_comparison_vectors", HEAD + f", {SIMS} SELECT id_a, id_b, ROUND(firstname_sim, 6) AS firstname_sim, ROUND(lastname_sim, 6) AS lastname_sim, ROUND(birthyear_sim, 6) AS birthyear_sim, CAST(1 AS INT) AS zipcode_exact FROM scored")
@@ -76,35 +78,65 @@ def _(t):
     return rows.select("id_a", "id_b", *[F.round(f"{f}_sim", 6).alias(f"{f}_sim") for f in FIELDS], F.lit(1).alias("zipcode_exact"))
 
 
-@query("n4_posterior_pairs")
+EM_STEPS = 20
+
+
+def em_sql(steps: int) -> str:
+    """Two-class EM on the pattern counts, one common table expression per step.
+
+    ``p0`` holds the starting share and, per field and level, the probabilities among matches and among others.
+    """
+    short = ("f", "l", "y")
+    m0 = [0.1, 0.9 * 1 / 3, 0.9 * 2 / 3]
+    u0 = [0.9, 0.05, 0.05]
+    start = ", ".join(f"{v}::DOUBLE AS {c}{x}{k}" for c, vs in (("m", m0), ("u", u0)) for x in short for k, v in enumerate(vs))
+    out = [f"p0 AS MATERIALIZED (SELECT 0.05::DOUBLE AS share, {start})"]
+    names = dict(zip(short, FIELDS))
+
+    def product(c: str, lead: str) -> str:
+        return lead + "".join(f" * CASE {names[x]}_level WHEN 0 THEN {c}{x}0 WHEN 1 THEN {c}{x}1 ELSE {c}{x}2 END" for x in short)
+
+    for i in range(steps):
+        out.append(f"w{i} AS (SELECT *, {product('m', 'share')} AS pm, {product('u', '(1 - share)')} AS pu FROM patterns, p{i})")
+        parts = ["SUM(n * pm / (pm + pu)) / SUM(n) AS share"]
+        for c, weight in (("m", "n * pm / (pm + pu)"), ("u", "n * pu / (pm + pu)")):
+            for x in short:
+                raw = [f"greatest(COALESCE(SUM({weight}) FILTER (WHERE {names[x]}_level = {k}), 0) / SUM({weight}), 1e-9)" for k in range(3)]
+                parts += [f"{raw[k]} / ({' + '.join(raw)}) AS {c}{x}{k}" for k in range(3)]
+        out.append(f"p{i + 1} AS MATERIALIZED (SELECT {', '.join(parts)} FROM w{i})")
+    out.append(f"""posterior AS (SELECT id_a, id_b, ROUND(1 / (1 + {product('u', '(1 - share)')} / ({product('m', 'share')})), 6) AS posterior
+FROM levelled, p{steps})""")
+    return ", ".join(out)
+
+
+@query("n4_posterior_pairs", HEAD + f", {SIMS}, levelled AS MATERIALIZED (SELECT id_a, id_b, {LEVELS} FROM scored), patterns AS MATERIALIZED (SELECT firstname_level, lastname_level, birthyear_level, COUNT(*) AS n FROM levelled GROUP BY ALL), {em_sql(EM_STEPS)} SELECT id_a, id_b, posterior FROM posterior")
 def _(t):
-    pairs, _model = ln.probabilistic_pairs(*people(t), "id", ["zipcode"], SPECS)
-    return pairs.select("id_a", "id_b", "n_pairs", F.round("posterior", 6).alias("posterior"))
+    pairs, _model = ln.probabilistic_pairs(*people(t), "id", ["zipcode"], SPECS, tol=None, most=EM_STEPS)
+    return pairs.select("id_a", "id_b", F.round("posterior", 6).alias("posterior"))
 
 
-@query("n4_pattern_counts", HEAD + f", {SIMS} SELECT (firstname_sim >= 0.88)::INT + (firstname_sim >= 0.92)::INT AS firstname_level, (lastname_sim >= 0.88)::INT + (lastname_sim >= 0.92)::INT AS lastname_level, (birthyear_sim >= 0.6)::INT + (birthyear_sim >= 0.99)::INT AS birthyear_level, SUM(n_pairs)::BIGINT AS n FROM scored GROUP BY 1, 2, 3")
+@query("n4_pattern_counts", HEAD + f", {SIMS} SELECT {LEVELS}, COUNT(*) AS n FROM scored GROUP BY 1, 2, 3")
 def _(t):
     levelled = ln.agreement_levels(scored(t), SPECS)
     return ln.pattern_counts(levelled, [f"{f}_level" for f in FIELDS])
 
 
-@query("n5_threshold_curve", HEAD + f", {SIMS} SELECT i / 100.0::DOUBLE AS threshold, CAST(CASE WHEN i = 0 THEN (SELECT SUM(x.n * y.n) FROM (SELECT zipcode, COUNT(*) AS n FROM a GROUP BY 1) x JOIN (SELECT zipcode, COUNT(*) AS n FROM b GROUP BY 1) y USING (zipcode)) ELSE (SELECT COALESCE(SUM(n_pairs), 0) FROM scored WHERE score >= i / 100.0::DOUBLE) END AS BIGINT) AS n FROM range(101) AS g(i)")
+@query("n5_threshold_curve", HEAD + f", {SIMS} SELECT i / 100.0::DOUBLE AS threshold, (SELECT COUNT(*) FROM scored WHERE score >= i / 100.0::DOUBLE) AS n FROM range(101) AS g(i)")
 def _(t):
-    total = ln.block_report(*people(t), ["zipcode"]).agg(F.sum("n_pairs")).first()[0] or 0
-    return ln.weighted_threshold_curve(scored(t), "score", total)
+    return ln.threshold_curve(scored(t), "score")
 
 
-@query("n6_quality_by_bin", HEAD + f""", {SIMS}, q AS (SELECT CAST(CEIL(round(round(score, 9) * 10, 9)) AS INT) - 1 AS bin, SUM(n_pairs) AS n, SUM(levenshtein(firstname_a, firstname_b) * n_pairs) / SUM(n_pairs) AS f, SUM(levenshtein(lastname_a, lastname_b) * n_pairs) / SUM(n_pairs) AS l, SUM(abs(birthyear_a - birthyear_b) * n_pairs) / SUM(n_pairs) AS y FROM scored GROUP BY 1)
+@query("n6_quality_by_bin", HEAD + f""", {SIMS}, q AS (SELECT CAST(CEIL(round(round(score, 9) * 10, 9)) AS INT) - 1 AS bin, COUNT(*) AS n, AVG(levenshtein(firstname_a, firstname_b)) AS f, AVG(levenshtein(lastname_a, lastname_b)) AS l, AVG(abs(birthyear_a - birthyear_b)) AS y FROM scored WHERE round(score, 9) > 1e-6 GROUP BY 1)
 SELECT CAST(b AS INT) AS bin, COALESCE(n, 0)::BIGINT AS n, ROUND(f, 6) AS mean_firstname, ROUND(l, 6) AS mean_lastname, ROUND(y, 6) AS mean_birthyear FROM range(10) AS g(b) LEFT JOIN q ON b = bin""")
 def _(t):
     out = ln.quality_by_bin(rounded_scores(t), "score", ["firstname", "lastname"], ["birthyear"])
     return out.select("bin", "n", *[F.round(f"mean_{f}", 6).alias(f"mean_{f}") for f in FIELDS])
 
 
-@query("n7_two_cutoffs", HEAD + f", {SIMS} SELECT CASE WHEN score >= 0.9 THEN 'match' WHEN score >= 0.7 THEN 'review' ELSE 'non-match' END AS decision, SUM(n_pairs)::BIGINT AS n FROM scored GROUP BY 1")
+@query("n7_two_cutoffs", HEAD + f", {SIMS} SELECT CASE WHEN score >= 0.9 THEN 'match' WHEN score >= 0.7 THEN 'review' ELSE 'non-match' END AS decision, COUNT(*) AS n FROM scored GROUP BY 1")
 def _(t):
     decided = scored(t).withColumn("decision", ln.decide(F.col("score"), 0.9, 0.7))
-    return decided.groupBy("decision").agg(F.sum("n_pairs").alias("n"))
+    return decided.groupBy("decision").agg(F.count(F.lit(1)).alias("n"))
 
 
 BEST = "best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY id_a ORDER BY round(score, 9) DESC, id_b) AS ra, ROW_NUMBER() OVER (PARTITION BY id_b ORDER BY round(score, 9) DESC, id_a) AS rb FROM scored WHERE round(score, 9) >= 0.8)"
@@ -127,16 +159,41 @@ def _(t):
 THRESHOLDS = [0.6, 0.7, 0.8, 0.9, 0.95]
 
 
-@query("n9_precision_recall", HEAD + f""", {SIMS}, r AS (SELECT s.score, a.id AS id_a, b.id AS id_b FROM scored s JOIN a ON a.zipcode = s.zipcode AND a.firstname = firstname_a AND a.lastname = lastname_a AND a.birthyear = birthyear_a
-JOIN b ON b.zipcode = s.zipcode AND b.firstname = firstname_b AND b.lastname = lastname_b AND b.birthyear = birthyear_b)
-SELECT threshold, COUNT(*) FILTER (WHERE score >= threshold) AS n_links, COUNT(*) FILTER (WHERE score >= threshold AND id_a = id_b) AS n_true_links,
-ROUND(COUNT(*) FILTER (WHERE score >= threshold AND id_a = id_b) / COUNT(*) FILTER (WHERE score >= threshold), 9) AS "precision", ROUND(COUNT(*) FILTER (WHERE score >= threshold AND id_a = id_b) / (SELECT COUNT(*) FROM b), 9) AS recall
+PRECISION = f"""COUNT(*) FILTER (WHERE score >= threshold) AS n_links, COUNT(*) FILTER (WHERE score >= threshold AND id_a = id_b) AS n_true_links,
+ROUND(COUNT(*) FILTER (WHERE score >= threshold AND id_a = id_b) / nullif(COUNT(*) FILTER (WHERE score >= threshold), 0), 9) AS "precision", ROUND(COUNT(*) FILTER (WHERE score >= threshold AND id_a = id_b) / (SELECT COUNT(*) FROM b), 9) AS recall"""
+
+
+def precision_recall(t, specs):
+    out = ln.link_scores(scored(t, specs).select("id_a", "id_b", F.round("score", 9).alias("score")), "id", "score", THRESHOLDS, people(t)[1].count())
+    return out.withColumns({c: F.round(c, 9) for c in ("precision", "recall")})
+
+
+@query("n9_precision_recall", HEAD + f""", {SIMS}, r AS (SELECT round(score, 9) AS score, id_a, id_b FROM scored) SELECT threshold, {PRECISION}
 FROM r, (SELECT unnest({THRESHOLDS})::DOUBLE AS threshold) GROUP BY threshold""")
 def _(t):
-    a, b = people(t)
-    linked = ln.links(scored(t), a, b, "id", ["zipcode"], FIELDS, "score", min(THRESHOLDS))
-    out = ln.link_scores(linked, "id", "score", THRESHOLDS, b.count())
-    return out.withColumns({c: F.round(c, 9) for c in ("precision", "recall")})
+    return precision_recall(t, SPECS)
+
+
+# The same links when names are compared by another distance.
+METHODS = ("jaro_winkler", "levenshtein", "exact")
+METHOD_SQL = {
+    "jaro_winkler": "jaro_winkler_similarity({f}_a, {f}_b)",
+    "levenshtein": "1 - levenshtein({f}_a, {f}_b)::DOUBLE / greatest(length({f}_a), length({f}_b))",
+    "exact": "({f}_a = {f}_b)::INT",
+}
+
+
+@query("n9_distance_sensitivity", HEAD + ", r AS (" + " UNION ALL ".join(
+    f"""SELECT '{m}' AS method, id_a, id_b, round(({METHOD_SQL[m].format(f='firstname')} + {METHOD_SQL[m].format(f='lastname')}
+    + pow(2, -pow(abs(birthyear_a - birthyear_b) / 2.0, 2))) / 3, 9) AS score FROM pairs""" for m in METHODS)
+    + f") SELECT method, threshold, {PRECISION} FROM r, (SELECT unnest({THRESHOLDS})::DOUBLE AS threshold) GROUP BY method, threshold")
+def _(t):
+    out = None
+    for method in METHODS:
+        specs = [ln.Comparison("firstname", method), ln.Comparison("lastname", method), SPECS[2]]
+        rows = precision_recall(t, specs).withColumn("method", F.lit(method))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query("n9_key_set_sensitivity", f"WITH {A}, {B_DUCK}, " + ", ".join(

@@ -79,6 +79,9 @@ def test_salted_join(rows):
     right = rows.groupBy("g").agg(F.sum("v").alias("s"))
     plain = rows.join(right, "g")
     same(plain, sc.salted_join(rows, right, ["g"], rows_per_salt=50), ["id", "s"])
+    other = rows.select("g", F.col("id").alias("id2")).filter("id2 % 5 = 0")
+    both = rows.select("g", "id").join(other, "g")
+    same(both, sc.salted_join(rows.select("g", "id"), other, ["g"], rows_per_salt=40), ["id", "id2"])
 
 
 def test_ntiles(rows):

@@ -103,18 +103,19 @@ def people(spark):
 SPECS = (ln.Comparison("firstname", "jaro_winkler"), ln.Comparison("lastname", "jaro_winkler"), ln.Comparison("birthyear", "gauss", cuts=(0.6, 0.99)))
 
 
-def test_candidates_and_counts(spark):
+def test_every_pair_of_a_block_is_compared(spark):
     a, b = people(spark)
+    odd = spark.createDataFrame([(9001, "Quentin", "Zabriskie", 1700, 0)], "id bigint, firstname string, lastname string, birthyear int, zipcode bigint")
+    a = a.select(*odd.columns).unionByName(odd).unionByName(a.limit(1).select(*odd.columns).withColumn("zipcode", F.lit(None).cast("bigint")))
     fields = ["firstname", "lastname", "birthyear"]
     pairs = ln.candidate_pairs(a, b, "id", ["zipcode"], fields)
-    rows_a, rows_b = a.collect(), b.collect()
-    want = total = 0
-    for x, y in itertools.product(rows_a, rows_b):
-        if x["zipcode"] == y["zipcode"]:
-            total += 1
-            want += any(x[f] == y[f] for f in fields)
-    assert pairs.agg(F.sum("n_pairs")).first()[0] == want
-    assert ln.block_report(a, b, ["zipcode"]).agg(F.sum("n_pairs")).first()[0] == total
+    want = sorted((x["id"], y["id"]) for x, y in itertools.product(a.collect(), b.collect()) if x["zipcode"] == y["zipcode"])
+    got = sorted((r["id_a"], r["id_b"]) for r in pairs.collect())
+    assert got == want and any(x == 9001 for x, _ in got)  # this record differs from all others in every field
+    assert ln.block_report(a, b, ["zipcode"]).agg(F.sum("n_pairs")).first()[0] == len(want)
+    compared = ln.compare(pairs, SPECS)
+    one = compared.filter("id_a = 9001").first()
+    assert one["firstname_sim"] == pytest.approx(sim.jaro_winkler("Quentin", one["firstname_b"]))
 
 
 def test_posterior_separates_matches(spark):
@@ -126,9 +127,8 @@ def test_posterior_separates_matches(spark):
     assert means[True] > 0.8 > 0.3 > means[False]
     higher = scored.agg(F.corr("posterior", F.col("firstname_level") + F.col("lastname_level") + F.col("birthyear_level"))).first()[0]
     assert higher > 0.5
-    links = ln.links(pairs, a, b, "id", ["zipcode"], ["firstname", "lastname", "birthyear"], "posterior", 0.5)
-    curve = {r["threshold"]: r["n"] for r in ln.weighted_threshold_curve(pairs, "posterior", 10**6).collect()}
-    assert links.count() == curve[0.5] and curve[0.0] == 10**6
+    curve = {r["threshold"]: r["n"] for r in ln.threshold_curve(pairs, "posterior").collect()}
+    assert curve[0.5] == pairs.filter("posterior >= 0.5").count() and curve[0.0] == pairs.count()
     one_to_one = ln.mutual_best(pairs, "id", "posterior", 0.5)
     assert one_to_one.count() == one_to_one.select("id_a").distinct().count() == one_to_one.select("id_b").distinct().count()
 
