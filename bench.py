@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from civicframe.plans import catalog  # noqa: E402
-from civicframe.session import local_session  # noqa: E402
+from civicframe.session import local_session, stages  # noqa: E402
 
 HEADLINE = (
     "s1_top_occupations", "s2_party_share_large_gifts", "s3_recipients_most_states", "s4_cross_party_donors",
@@ -30,7 +30,8 @@ HEADLINE = (
 
 def run(spark, fn, directory: str) -> float:
     start = time.perf_counter()
-    fn(spark, directory).write.format("noop").mode("overwrite").save()
+    with stages(spark):
+        fn(spark, directory).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 

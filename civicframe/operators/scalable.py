@@ -273,3 +273,17 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per
 
     l2, r2 = dealt(left, "__cl", "__i", "__cr", "__j"), dealt(right, "__cr", "__j", "__cl", "__i")
     return l2.join(r2, [*keys, "__i", "__j"]).drop("__i", "__j")
+
+
+def chunked(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_chunk=20_000) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``__chunk`` to join on beside the keys, whatever the kind of join.
+
+    The left rows of a hot key are dealt into chunks by a hash; the right rows of the key are copied to each of them. A
+    left row has one chunk, so a left outer join stays one.
+    """
+    hot = _chunks(left, keys, rows_per_chunk, "__n_chunks")
+    row_hash = F.abs(F.xxhash64(*[F.col(c) for c in left.columns]) % F.lit(1 << 30))
+    many = F.coalesce(F.col("__n_chunks"), F.lit(1))
+    l2 = left.join(hot, list(keys), "left").withColumn("__chunk", (row_hash % many).cast("int")).drop("__n_chunks")
+    r2 = right.join(hot, list(keys), "left").withColumn("__chunk", F.explode(F.sequence(F.lit(0), many - 1))).drop("__n_chunks")
+    return l2, r2

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from civicframe.operators import scalable
 from civicframe.session import materialise
 
 # ---------------------------------------------------------------- geometry
@@ -96,37 +97,39 @@ def check_crs(a: DataFrame, b: DataFrame, col: str = "crs") -> None:
         raise ValueError(f"layers use different reference systems: {sorted(map(str, found))}")
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, ring: str, cell: float, x="x", y="y", how="left") -> DataFrame:
-    """Join points to the polygons they lie within; with ``left`` unmatched points stay.
+def _cell_join(points: DataFrame, cells: DataFrame, x: str, y: str, cell: float, test: Column, how: str) -> DataFrame:
+    """Join points to the shapes of their cell that pass the test; the points of a crowded cell are spread over several tasks.
 
-    A polygon occurs once per cell, a point has one cell, so a pair is found once.
+    A shape occurs once per cell and chunk, a point has one of each, so a pair is found once.
     """
-    cells = cover(polygons, ring, cell).withColumnsRenamed({"__cx": "__px", "__cy": "__py"})
-    px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    located = points.withColumns({"__cx": F.floor(px / cell), "__cy": F.floor(py / cell)})
-    on = (F.col("__cx") == F.col("__px")) & (F.col("__cy") == F.col("__py")) & within(px, py, F.col(ring))
-    return located.join(cells, on, how).drop("__cx", "__cy", "__px", "__py")
+    located = points.withColumns({"__cx": F.floor(F.col(x).cast("double") / cell), "__cy": F.floor(F.col(y).cast("double") / cell)})
+    left, right = scalable.chunked(located, cells, ["__cx", "__cy"])
+    right = right.withColumnsRenamed({"__cx": "__px", "__cy": "__py", "__chunk": "__pc"})
+    on = (F.col("__cx") == F.col("__px")) & (F.col("__cy") == F.col("__py")) & (F.col("__chunk") == F.col("__pc")) & test
+    return left.join(right, on, how).drop("__cx", "__cy", "__chunk", "__px", "__py", "__pc")
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, ring: str, cell: float, x="x", y="y", how="left") -> DataFrame:
+    """Join points to the polygons they lie within; with ``left`` unmatched points stay."""
+    test = within(F.col(x).cast("double"), F.col(y).cast("double"), F.col(ring))
+    return _cell_join(points, cover(polygons, ring, cell), x, y, cell, test, how)
 
 
 def points_near_lines(points: DataFrame, lines: DataFrame, path: str, d: float, cell: float, x="x", y="y", how="left") -> DataFrame:
     """Join points to the lines whose buffer of ``d`` contains them."""
-    cells = cover(lines, path, cell, margin=d).withColumnsRenamed({"__cx": "__px", "__cy": "__py"})
-    px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    located = points.withColumns({"__cx": F.floor(px / cell), "__cy": F.floor(py / cell)})
-    on = (F.col("__cx") == F.col("__px")) & (F.col("__cy") == F.col("__py")) & (distance_to_line(px, py, F.col(path)) <= d)
-    return located.join(cells, on, how).drop("__cx", "__cy", "__px", "__py")
+    test = distance_to_line(F.col(x).cast("double"), F.col(y).cast("double"), F.col(path)) <= d
+    return _cell_join(points, cover(lines, path, cell, margin=d), x, y, cell, test, how)
 
 
 def distance_join(a: DataFrame, b: DataFrame, d: float, a_xy=("ax", "ay"), b_xy=("bx", "by")) -> DataFrame:
-    """All pairs at most ``d`` apart: cells of width d, the smaller side copied to its nine neighbours."""
+    """All pairs at most ``d`` apart: cells of width d, the second side copied to its nine neighbours, crowded cells split on both sides."""
     ax, ay, bx, by = (F.col(c) for c in (*a_xy, *b_xy))
     shifts = F.sequence(F.lit(-1), F.lit(1))
     left = a.withColumns({"__cx": F.floor(ax / d), "__cy": F.floor(ay / d)})
     right = b.withColumn("__sx", F.explode(shifts)).withColumn("__sy", F.explode(shifts))
-    right = right.withColumns({"__px": F.floor(bx / d) + F.col("__sx"), "__py": F.floor(by / d) + F.col("__sy")})
-    gap = distance(ax, ay, bx, by)
-    on = (F.col("__cx") == F.col("__px")) & (F.col("__cy") == F.col("__py")) & (gap <= d)
-    return left.join(right, on).withColumn("distance", gap).drop("__cx", "__cy", "__sx", "__sy", "__px", "__py")
+    right = right.withColumns({"__cx": F.floor(bx / d) + F.col("__sx"), "__cy": F.floor(by / d) + F.col("__sy")}).drop("__sx", "__sy")
+    pairs = scalable.salted_join(left, right, ["__cx", "__cy"]).drop("__cx", "__cy")
+    return pairs.withColumn("distance", distance(ax, ay, bx, by)).filter(F.col("distance") <= d)
 
 
 def neighbourhood(a: DataFrame, key: str, b: DataFrame, d: float, weight: str | None = None) -> DataFrame:
@@ -252,19 +255,19 @@ def scale_by_max(pixels: DataFrame, value: str, by: Sequence[str] = ("raster_id"
 
 
 def rasterize(pixels: DataFrame, polygons: DataFrame, ring: str, transform: Sequence[float], cell: float,
-              burn: str, identity: str, order: str) -> DataFrame:
-    """Burn polygons into pixels whose centre they contain.
+              burn: str, identity: str, order: str, instance_class: int) -> DataFrame:
+    """Burn polygons into the pixels of every raster whose centre they contain.
 
-    The class is the largest one that covers the pixel, the instance the last shape in ``order``;
-    uncovered pixels get 0.
+    The class is the largest one that covers the pixel. The instance is the last shape in ``order`` among those of
+    ``instance_class``: shapes of other classes have no instances. Uncovered pixels get 0.
     """
     x, y = pixel_xy(transform, F.col("row"), F.col("col"))
-    keys = [c for c in ("raster_id", "row", "col") if c in pixels.columns]
+    keys = ["raster_id", "row", "col"]
     located = pixels.select(*keys).withColumns({"x": x, "y": y})
     hit = points_in_polygons(located, polygons.select(burn, identity, order, ring), ring, cell)
     return hit.groupBy(*keys).agg(
         F.coalesce(F.max(burn), F.lit(0)).alias("class"),
-        F.coalesce(F.max_by(identity, order), F.lit(0)).alias("instance"))
+        F.coalesce(F.max_by(identity, F.when(F.col(burn) == instance_class, F.col(order))), F.lit(0)).alias("instance"))
 
 
 def connected_labels(vertices: DataFrame, edges: DataFrame) -> DataFrame:
@@ -292,29 +295,30 @@ def connected_labels(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def components(pixels: DataFrame, mask: Column) -> DataFrame:
-    """4-connected components of the mask pixels: (row, col, component), numbered by first pixel.
+    """4-connected components of the mask pixels of each raster: (raster_id, row, col, component), named by their first pixel.
 
     Pixels of a row that touch form one run, so labels travel between runs; two runs are linked when
     a pixel of one lies above a pixel of the other, found by an equi-join on the position.
     """
-    on = pixels.filter(mask).select("row", "col")
-    start = F.col("col") - F.row_number().over(W.partitionBy("row").orderBy("col"))
+    place = ["raster_id", "row", "col"]
+    on = pixels.filter(mask).select(*place)
+    start = F.col("col") - F.row_number().over(W.partitionBy("raster_id", "row").orderBy("col"))
     grouped = on.withColumn("__g", start)
-    first = grouped.groupBy("row", "__g").agg(F.min("col").alias("__c"))
-    run = F.shiftleft(F.col("row").cast("bigint"), 32) + F.col("__c")
-    runs = materialise(grouped.join(first, ["row", "__g"]).select("row", "col", run.alias("run")))
-    below = runs.select((F.col("row") - 1).alias("row"), "col", F.col("run").alias("dst"))
-    links = runs.join(below, ["row", "col"]).select(F.col("run").alias("src"), "dst").distinct()
+    first = grouped.groupBy("raster_id", "row", "__g").agg(F.min("col").alias("__c"))
+    run = F.struct("raster_id", "row", F.col("__c").alias("col"))
+    runs = materialise(grouped.join(first, ["raster_id", "row", "__g"]).select(*place, run.alias("run")))
+    below = runs.select("raster_id", (F.col("row") - 1).alias("row"), "col", F.col("run").alias("dst"))
+    links = runs.join(below, place).select(F.col("run").alias("src"), "dst").distinct()
     labels = connected_labels(runs.select(F.col("run").alias("id")).distinct(), links)
-    return runs.join(labels, F.col("run") == F.col("id")).select("row", "col", F.col("label").alias("component"))
+    return runs.join(labels, F.col("run") == F.col("id")).select(*place, F.col("label").alias("component"))
 
 
 def instances(labelled: DataFrame, limit=None) -> DataFrame:
-    """Number components 1, 2, ... in order of their first pixel; only components are ranked."""
+    """Number the components of each raster 1, 2, ... in order of their first pixel; only components are ranked."""
     from civicframe.operators.scalable import row_number_by
 
-    numbers = row_number_by(labelled.select("component").distinct(), [], ["component"], "instance", limit)
-    return labelled.join(numbers, "component").select("row", "col", "instance")
+    numbers = row_number_by(labelled.select("raster_id", "component").distinct(), ["raster_id"], ["component"], "instance", limit)
+    return labelled.join(numbers, ["raster_id", "component"]).select("raster_id", "row", "col", "instance")
 
 
 def panoptic(cls: Column, instance: Column) -> Column:

@@ -119,19 +119,19 @@ def _(t):
     return sp.points_in_polygons(pts.drop("crs"), polys, "ring", 10.0, how="inner").agg(F.count(F.lit(1)).alias("n"))
 
 
-# One pixel per event, 100 columns wide.
-PIX = "pix AS (SELECT CAST(0 AS INT) AS raster_id, CAST(event_id // 100 AS INT) AS row, CAST(event_id % 100 AS INT) AS col, value, event_type FROM events)"
+# One pixel per event, 100 columns wide; every 5,000 events are a raster.
+PIX = "pix AS (SELECT event_id // 5000 AS raster_id, CAST(event_id % 5000 // 100 AS INT) AS row, CAST(event_id % 100 AS INT) AS col, value, event_type FROM events)"
 AFFINE = (1.0, 0.0, 0.0, 0.0, -1.0, 100.0)
 
 
 def pixels(t):
-    return t.events.select(F.lit(0).alias("raster_id"), F.floor(F.col("event_id") / 100).cast("int").alias("row"),
+    return t.events.select(F.floor(F.col("event_id") / 5000).alias("raster_id"), F.floor(F.col("event_id") % 5000 / 100).cast("int").alias("row"),
                            (F.col("event_id") % 100).cast("int").alias("col"), "value", "event_type")
 
 
-@query("a18_raster_window", f"WITH {PIX} SELECT CAST(row - 10 AS INT) AS row, CAST(col - 20 AS INT) AS col, value, CAST(col AS DOUBLE) AS x, CAST(100 - row AS DOUBLE) AS y FROM pix WHERE row BETWEEN 10 AND 41 AND col BETWEEN 20 AND 51")
+@query("a18_raster_window", f"WITH {PIX} SELECT raster_id, CAST(row - 10 AS INT) AS row, CAST(col - 20 AS INT) AS col, value, CAST(col AS DOUBLE) AS x, CAST(100 - row AS DOUBLE) AS y FROM pix WHERE row BETWEEN 10 AND 41 AND col BETWEEN 20 AND 51")
 def _(t):
-    return sp.raster_window(pixels(t), AFFINE, 10, 20, 32, 32).select("row", "col", "value", "x", "y")
+    return sp.raster_window(pixels(t), AFFINE, 10, 20, 32, 32).select("raster_id", "row", "col", "value", "x", "y")
 
 
 @query("m1_raster_bounds", f"WITH {PIX} SELECT raster_id, MAX(row) + 1 AS height, MAX(col) + 1 AS width, 0.0::DOUBLE AS left, 100.0::DOUBLE - (MAX(row) + 1) AS bottom, (MAX(col) + 1)::DOUBLE AS right, 100.0::DOUBLE AS top FROM pix GROUP BY raster_id")
@@ -139,15 +139,15 @@ def _(t):
     return sp.raster_bounds(pixels(t), AFFINE)
 
 
-@query("m2_scale_by_max", f"WITH {PIX} SELECT row, col, ROUND(value / greatest((SELECT MAX(value) FROM pix), 1), 9) AS scaled FROM pix")
+@query("m2_scale_by_max", f"WITH {PIX} SELECT raster_id, row, col, ROUND(value / greatest(MAX(value) OVER (PARTITION BY raster_id), 1), 9) AS scaled FROM pix")
 def _(t):
-    return sp.scale_by_max(pixels(t), "value").select("row", "col", F.round("scaled", 9).alias("scaled"))
+    return sp.scale_by_max(pixels(t), "value").select("raster_id", "row", "col", F.round("scaled", 9).alias("scaled"))
 
 
 # Shapes: each box is a building (class 2) of its nation; a strip per region is a road (class 1).
 SHAPES = f"""{BOXES}, shapes AS (SELECT 2 AS class, 100 + poly_id AS shape_id, poly_id AS ord, x0, y0, x1, y1 FROM boxes
 UNION ALL SELECT 1, 1 + r_regionkey, 1000 + r_regionkey, 0, 20.0 * r_regionkey + 10, 100, 20.0 * r_regionkey + 12 FROM region)"""
-BURN = f"""burn AS (SELECT row, col, COALESCE(MAX(class), 0) AS class, COALESCE(arg_max(shape_id, ord), 0) AS instance FROM pix LEFT JOIN shapes ON col + 0.5 > x0 AND col + 0.5 < x1 AND 99.5 - row > y0 AND 99.5 - row < y1 GROUP BY row, col)"""
+BURN = f"""burn AS (SELECT raster_id, row, col, COALESCE(MAX(class), 0) AS class, COALESCE(arg_max(shape_id, ord) FILTER (WHERE class = 2), 0) AS instance FROM pix LEFT JOIN shapes ON col + 0.5 > x0 AND col + 0.5 < x1 AND 99.5 - row > y0 AND 99.5 - row < y1 GROUP BY raster_id, row, col)"""
 
 
 def shapes(t):
@@ -159,24 +159,24 @@ def shapes(t):
 
 
 def burned(t):
-    return sp.rasterize(pixels(t), shapes(t), "ring", AFFINE, 10.0, "class", "shape_id", "ord")
+    return sp.rasterize(pixels(t), shapes(t), "ring", AFFINE, 10.0, "class", "shape_id", "ord", 2)
 
 
-@query("m8_rasterize", f"WITH {PIX}, {SHAPES}, {BURN} SELECT row, col, class, instance FROM burn")
+@query("m8_rasterize", f"WITH {PIX}, {SHAPES}, {BURN} SELECT raster_id, row, col, class, instance FROM burn")
 def _(t):
-    return burned(t).select("row", "col", "class", "instance")
+    return burned(t).select("raster_id", "row", "col", "class", "instance")
 
 
 def components_sql(rounds: int = 40) -> str:
     """Label propagation with pointer jumps, unrolled; far more rounds than a raster this size needs."""
-    parts = [f"WITH {PIX}, m AS MATERIALIZED (SELECT row AS r, col AS c, row * 4294967296 + col AS id FROM pix WHERE event_type IN ('click', 'purchase'))",
-             "nb AS MATERIALIZED (SELECT a.id AS src, b.id AS dst FROM m a JOIN m b ON b.r = a.r AND b.c = a.c + 1 UNION ALL SELECT b.id, a.id FROM m a JOIN m b ON b.r = a.r AND b.c = a.c + 1 "
-             "UNION ALL SELECT a.id, b.id FROM m a JOIN m b ON b.r = a.r + 1 AND b.c = a.c UNION ALL SELECT b.id, a.id FROM m a JOIN m b ON b.r = a.r + 1 AND b.c = a.c)",
+    parts = [f"WITH {PIX}, m AS MATERIALIZED (SELECT raster_id AS k, row AS r, col AS c, raster_id * 5000 + row * 100 + col AS id FROM pix WHERE event_type IN ('click', 'purchase'))",
+             "nb AS MATERIALIZED (SELECT a.id AS src, b.id AS dst FROM m a JOIN m b ON b.k = a.k AND b.r = a.r AND b.c = a.c + 1 UNION ALL SELECT b.id, a.id FROM m a JOIN m b ON b.k = a.k AND b.r = a.r AND b.c = a.c + 1 "
+             "UNION ALL SELECT a.id, b.id FROM m a JOIN m b ON b.k = a.k AND b.r = a.r + 1 AND b.c = a.c UNION ALL SELECT b.id, a.id FROM m a JOIN m b ON b.k = a.k AND b.r = a.r + 1 AND b.c = a.c)",
              "l0 AS MATERIALIZED (SELECT id, id AS lab FROM m)"]
     for i in range(rounds):
         parts.append(f"h{i} AS MATERIALIZED (SELECT l.id, LEAST(l.lab, COALESCE(MIN(x.lab), l.lab)) AS lab FROM l{i} l LEFT JOIN nb ON nb.src = l.id LEFT JOIN l{i} x ON x.id = nb.dst GROUP BY l.id, l.lab)")
         parts.append(f"l{i + 1} AS MATERIALIZED (SELECT a.id, LEAST(a.lab, b.lab) AS lab FROM h{i} a JOIN h{i} b ON b.id = a.lab)")
-    return ", ".join(parts) + f" SELECT CAST(id // 4294967296 AS INT) AS row, CAST(id % 4294967296 AS INT) AS col, dense_rank() OVER (ORDER BY lab) AS instance FROM l{rounds}"
+    return ", ".join(parts) + f" SELECT id // 5000 AS raster_id, CAST(id % 5000 // 100 AS INT) AS row, CAST(id % 100 AS INT) AS col, dense_rank() OVER (PARTITION BY id // 5000 ORDER BY lab) AS instance FROM l{rounds}"
 
 
 @query("m9_components", components_sql())
@@ -185,15 +185,15 @@ def _(t):
     return sp.instances(labelled)
 
 
-@query("m10_panoptic", f"WITH {PIX}, {SHAPES}, {BURN} SELECT row, col, CAST(CASE class WHEN 2 THEN 2000 + instance WHEN 1 THEN 1000 ELSE 0 END AS INT) AS panoptic FROM burn")
+@query("m10_panoptic", f"WITH {PIX}, {SHAPES}, {BURN} SELECT raster_id, row, col, CAST(CASE class WHEN 2 THEN 2000 + instance WHEN 1 THEN 1000 ELSE 0 END AS INT) AS panoptic FROM burn")
 def _(t):
-    return burned(t).select("row", "col", sp.panoptic(F.col("class"), F.col("instance")).alias("panoptic"))
+    return burned(t).select("raster_id", "row", "col", sp.panoptic(F.col("class"), F.col("instance")).alias("panoptic"))
 
 
-@query("m11_segmentation_scores", f"WITH {PIX}, {SHAPES}, {BURN}, p AS (SELECT class AS t, CASE WHEN {sql_hash48('seg', 'row', 'col')} % 10 = 0 THEN (class + 1) % 3 ELSE class END AS p FROM burn) " + " UNION ALL ".join(
+@query("m11_segmentation_scores", f"WITH {PIX}, {SHAPES}, {BURN}, p AS (SELECT class AS t, CASE WHEN {sql_hash48('seg', 'raster_id', 'row', 'col')} % 10 = 0 THEN (class + 1) % 3 ELSE class END AS p FROM burn) " + " UNION ALL ".join(
     f"SELECT CAST({c} AS INT) AS class, ROUND(COUNT(*) FILTER (WHERE t = {c} AND p = {c}) / COUNT(*) FILTER (WHERE t = {c} OR p = {c}), 9) AS iou, ROUND(AVG((t = p)::INT), 9) AS accuracy FROM p" for c in (0, 1, 2)))
 def _(t):
-    wrong = hash48("seg", "row", "col") % 10 == 0
+    wrong = hash48("seg", "raster_id", "row", "col") % 10 == 0
     rows = burned(t).withColumn("predicted", F.when(wrong, (F.col("class") + 1) % 3).otherwise(F.col("class")))
     out = sp.segmentation_scores(rows, "class", "predicted", [0, 1, 2])
     return out.withColumns({"iou": F.round("iou", 9), "accuracy": F.round("accuracy", 9)})

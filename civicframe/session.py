@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
-def local_session(cpus: int = 8, app: str = "civicframe") -> SparkSession:
-    """A local session for tests and the bench; clusters bring their own."""
-    spark = (
+def local_session(cpus: int = 8, app: str = "civicframe", shared: str | None = None) -> SparkSession:
+    """A local session for tests and the bench; clusters bring their own. ``shared`` names the folder for hand-off tables."""
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -21,8 +24,10 @@ def local_session(cpus: int = 8, app: str = "civicframe") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -40,13 +45,33 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     path = tempfile.mkdtemp(prefix="civicframe-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+_FOLDERS: list[str] = []  # of the open ``stages`` blocks, the innermost last
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder for a hand-off table."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a hand-off table: in the folder of the open ``stages`` block, else in the shared folder."""
+    folder = _FOLDERS[-1] if _FOLDERS else shared_dir(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def stages(spark: SparkSession, folder: str | None = None):
+    """Hand-off tables made inside the block go into a folder of their own below ``folder`` (default: the shared
+    folder) and are removed at its end. Write or collect the results inside the block.
+    """
+    own = f"{(folder or shared_dir(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
+    _FOLDERS.append(own)
+    try:
+        yield own
+    finally:
+        _FOLDERS.remove(own)
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

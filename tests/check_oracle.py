@@ -13,7 +13,7 @@ import duckdb
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry_points  # noqa: E402
-from civicframe.session import local_session  # noqa: E402
+from civicframe.session import local_session, stages  # noqa: E402
 
 
 def duck(directory: str):
@@ -70,12 +70,13 @@ def main():
             continue
         start = time.time()
         try:
-            df = fn(spark, directory)
-            if name in oracles:
-                problem, n = compare(df, con, oracles[name])
-            else:
-                n, problem = len(df.collect()), None
-                problem = None if n else "no rows"
+            with stages(spark):
+                df = fn(spark, directory)
+                if name in oracles:
+                    problem, n = compare(df, con, oracles[name])
+                else:
+                    n = len(df.collect())
+                    problem = None if n else "no rows"
         except Exception as error:  # report and go on
             text = str(error)
             cause = " | ".join(line for line in text.splitlines() if "Caused by" in line or "Exception:" in line)

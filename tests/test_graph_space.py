@@ -85,8 +85,9 @@ def test_propagation_keeps_constant_direction(graph):
 
 
 def test_components_match_search(spark):
-    px = spark.range(900).select((F.col("id") / 30).cast("int").alias("row"), (F.col("id") % 30).cast("int").alias("col"), (hash48("mask", "id") % 100 < 58).alias("on"))
-    cells = {(r["row"], r["col"]) for r in px.filter("on").collect()}
+    px = spark.range(900).select(F.floor(F.col("id") / 450).alias("raster_id"), (F.col("id") % 450 / 30).cast("int").alias("row"),
+                                 (F.col("id") % 30).cast("int").alias("col"), (hash48("mask", "id") % 100 < 58).alias("on"))
+    cells = {(r["raster_id"], r["row"], r["col"]) for r in px.filter("on").collect()}
     want, seen = {}, set()
     for start in sorted(cells):
         if start in seen:
@@ -94,17 +95,42 @@ def test_components_match_search(spark):
         queue = deque([start])
         seen.add(start)
         while queue:
-            r, c = queue.popleft()
-            want[(r, c)] = start
-            for nxt in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)):
+            k, r, c = queue.popleft()
+            want[(k, r, c)] = start
+            for nxt in ((k, r + 1, c), (k, r - 1, c), (k, r, c + 1), (k, r, c - 1)):
                 if nxt in cells and nxt not in seen:
                     seen.add(nxt)
                     queue.append(nxt)
-    got = {(r["row"], r["col"]): r["component"] for r in sp.components(px, F.col("on")).collect()}
-    groups = {}
-    for cell, comp in got.items():
-        groups.setdefault(comp, set()).add(want[cell])
-    assert set(got) == cells and all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want.values()))
+    labelled = sp.components(px, F.col("on"))
+    got = {(r["raster_id"], r["row"], r["col"]): tuple(r["component"]) for r in labelled.collect()}
+    assert got == want  # rasters with touching coordinates stay apart
+    numbers = {tuple(r[:3]): r["instance"] for r in sp.instances(labelled).collect()}
+    for k in (0, 1):
+        names = sorted({c for c in want.values() if c[0] == k})
+        assert all(numbers[cell] == names.index(c) + 1 for cell, c in want.items() if c[0] == k)
+
+
+def test_only_buildings_have_instances(spark):
+    px = spark.range(8).select((F.col("id") % 2).alias("raster_id"), F.lit(0).alias("row"), F.floor(F.col("id") / 2).cast("int").alias("col"))
+    ring = lambda a, b: sp.box(F.lit(a), F.lit(-2.0), F.lit(b), F.lit(2.0)).alias("ring")
+    shapes = spark.range(1).select(F.lit(2).alias("class"), F.lit(7).alias("shape"), F.lit(1).alias("ord"), ring(0.0, 2.0)).unionByName(
+        spark.range(1).select(F.lit(1).alias("class"), F.lit(9).alias("shape"), F.lit(2).alias("ord"), ring(1.0, 3.0)))
+    out = sp.rasterize(px, shapes, "ring", (1.0, 0.0, 0.0, 0.0, -1.0, 0.0), 1.0, "class", "shape", "ord", 2)
+    assert sorted(map(tuple, out.collect())) == sorted((k, 0, c, *v) for k in (0, 1) for c, v in enumerate([(2, 7), (2, 7), (1, 0), (0, 0)]))
+
+
+def test_crowded_cells_are_split(spark, monkeypatch):
+    from civicframe.operators import scalable
+    plain = scalable.chunked
+    monkeypatch.setattr(scalable, "chunked", lambda a, b, k: plain(a, b, k, rows_per_chunk=5))
+    pts = spark.range(60).select("id", (F.col("id") % 7 * 0.1).alias("x"), (F.col("id") % 5 * 0.1 + F.when(F.col("id") > 50, 9).otherwise(0)).alias("y"))
+    ring = spark.range(3).select("id", sp.box(F.lit(-1.0), F.lit(-1.0), F.lit(0.35) + F.col("id") * 0.1, F.lit(3.0)).alias("ring")).withColumnRenamed("id", "poly")
+    got = sorted(map(tuple, sp.points_in_polygons(pts, ring, "ring", 5.0).select("id", "poly").collect()), key=str)
+    want = []
+    for r in pts.collect():
+        hits = [p for p in range(3) if r["x"] < 0.35 + p * 0.1 and r["y"] < 3]
+        want += [(r["id"], p) for p in hits] or [(r["id"], None)]
+    assert got == sorted(want, key=str)
 
 
 def test_within_excludes_the_boundary(spark):

@@ -135,3 +135,13 @@ def test_bh_adjust_matches_definition(spark):
     for limit in (None, 0):
         got = {r["i"]: r["p_adjusted"] for r in ex.bh_adjust(df, "p", tie=["i"], limit=limit).collect()}
         assert got == pytest.approx(want)
+
+
+def test_stages_are_removed(spark, tmp_path):
+    from civicframe.plans import catalog
+    from civicframe.session import stages
+
+    with stages(spark, str(tmp_path)) as folder:
+        assert catalog.queries()["j4_tfidf"](spark, "/root/testdata/sf0.001").count() > 0
+        assert any(tmp_path.iterdir()) and folder.startswith(str(tmp_path))
+    assert not any(tmp_path.iterdir())
