@@ -7,6 +7,7 @@ the shared folder each round; the plan never grows.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -77,48 +78,60 @@ def degree_distribution(g: Graph) -> DataFrame:
     return rel.value_counts(degrees(g), ["degree"])
 
 
-def pagerank(g: Graph, damping: float = 0.85, iterations: int = 20, tol: float = 0.0) -> DataFrame:
-    """Power iteration from the uniform vector; dangling mass is spread evenly."""
+def pagerank(g: Graph, damping: float = 0.85, iterations: int | None = None, tol: float = 1e-10, relax: float = 0.75,
+             steps_per_job: int = 4) -> DataFrame:
+    """PageRank; the mass of vertices without out-links is spread evenly.
+
+    That spreading only scales the solution of r = (1 - d) / n + d P'r, so it is left out of the steps and the result is
+    scaled to sum 1. Steps go ``relax`` of the way, which damps the swing between the sides of bipartite graphs. They end
+    when the mean change of a step is at most ``tol / n``, or after ``iterations``. Several steps make one job.
+    """
     out = g.edges.groupBy("src").agg(F.sum("w").alias("__out"))
     links = materialise(g.edges.join(out, "src").select("src", "dst", (F.col("w") / F.col("__out")).alias("p")))
-    nodes = materialise(g.vertices.join(out.select(F.col("src").alias("id"), "__out"), "id", "left"))
-    n = nodes.count()
-    ranks = nodes.select("id", "__out", F.lit(1.0 / n).alias("rank"))
-    lost = F.sum(F.when(F.col("__out").isNull(), F.col("rank")))
-    dangling = nodes.filter("__out IS NULL").count() / n
-    for _ in range(iterations):
-        inflow = links.join(ranks.select(F.col("id").alias("src"), "rank"), "src").groupBy(
-            F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("p")).alias("__in"))
-        base = (1 - damping) / n + damping * dangling / n
-        nxt = ranks.join(inflow, "id", "left").select(
-            "id", "__out", (F.lit(base) + damping * F.coalesce("__in", F.lit(0.0))).alias("rank"), F.col("rank").alias("__old"))
-        # The dangling mass and the change are taken while the ranks are written.
-        nxt, seen = materialise_observed(nxt, lost=lost, gap=F.sum(F.abs(F.col("rank") - F.col("__old"))))
-        dangling, ranks = seen["lost"] or 0.0, nxt.drop("__old")
-        if tol and seen["gap"] <= tol * n:
+    n = g.vertices.count()
+    base = (1 - damping) / n if n else 0.0
+    ranks = g.vertices.select("id", F.lit(1.0 / max(n, 1)).alias("rank"))
+    done, total = 0, 1.0
+    while n and (iterations is None or done < iterations):
+        steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
+        for _ in range(steps):
+            inflow = links.join(ranks.select(F.col("id").alias("src"), "rank"), "src").groupBy(
+                F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("p")).alias("__in"))
+            step = F.lit(base) + damping * F.coalesce("__in", F.lit(0.0)) - F.col("rank")
+            ranks = ranks.select("id", "rank").join(inflow, "id", "left").select(
+                "id", (F.col("rank") + relax * step).alias("rank"), F.abs(step).alias("gap"))
+        ranks, seen = materialise_observed(ranks, gap=F.sum("gap"), total=F.sum("rank"))
+        done, total = done + steps, seen["total"]
+        if iterations is None and seen["gap"] <= tol:
             break
-    return ranks.select("id", "rank")
+    return ranks.select("id", (F.col("rank") / F.lit(total)).alias("rank"))
 
 
-def eigenvector(g: Graph, iterations: int = 100, tol: float = 0.0) -> DataFrame:
-    """Leading eigenvector of A + I (the shift keeps bipartite graphs from flipping), unit length."""
+def eigenvector(g: Graph, iterations: int | None = None, tol: float = 1e-10, steps_per_job: int = 4) -> DataFrame:
+    """Leading eigenvector of the adjacency, unit length, by power steps on A + s I.
+
+    The shift s is half the strength of the average neighbour, an estimate of the leading eigenvalue; it keeps bipartite graphs
+    from flipping. Steps end when no entry moves by more than ``tol``, or after ``iterations``. Several steps make one job.
+    """
     edges = g.edges.select("src", "dst", "w")
+    strength = materialise(edges.groupBy("src").agg(F.sum("w").alias("s")))
+    shift = (strength.agg(F.sum(F.col("s") * F.col("s")) / F.sum("s")).first()[0] or 0.0) / 2
     n = g.vertices.count()
-    x = g.vertices.withColumn("x", F.lit(1.0 / math.sqrt(n)))
-    for _ in range(iterations):
-        pulled = edges.join(x.select(F.col("id").alias("src"), "x"), "src").groupBy(
-            F.col("dst").alias("id")).agg(F.sum(F.col("w") * F.col("x")).alias("__in"))
-        raw = x.join(pulled, "id", "left").select(
-            "id", (F.col("x") + F.coalesce("__in", F.lit(0.0))).alias("y"), F.col("x").alias("__old"))
+    x, norm, done = g.vertices.withColumn("x", F.lit(1.0 / math.sqrt(max(n, 1)))), 1.0, 0
+    while n and shift and (iterations is None or done < iterations):
+        steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
+        y = x.select("id", (F.col("x") / F.lit(norm)).alias("x"))
+        start = y.select("id", F.col("x").alias("__start"))
+        for _ in range(steps):
+            pulled = edges.join(y.select(F.col("id").alias("src"), "x"), "src").groupBy(
+                F.col("dst").alias("id")).agg(F.sum(F.col("w") * F.col("x")).alias("__in"))
+            y = y.join(pulled, "id", "left").select("id", (F.lit(shift) * F.col("x") + F.coalesce("__in", F.lit(0.0))).alias("x"))
         # The squared length is taken while the vector is written; it scales the next reading.
-        raw, seen = materialise_observed(raw, ss=F.sum(F.col("y") * F.col("y")))
-        norm = math.sqrt(seen["ss"])
-        nxt = raw.select("id", (F.col("y") / norm).alias("x"), "__old")
-        gap = nxt.agg(F.sum(F.abs(F.col("x") - F.col("__old")))).first()[0] if tol else math.inf
-        x = nxt.drop("__old")
-        if gap <= tol * n:
+        x, seen = materialise_observed(y.join(start, "id"), ss=F.sum(F.col("x") * F.col("x")))
+        norm, done = math.sqrt(seen["ss"]), done + steps
+        if iterations is None and x.agg(F.max(F.abs(F.col("x") / norm - F.col("__start")))).first()[0] <= tol:
             break
-    return x.withColumnRenamed("x", "centrality")
+    return x.select("id", (F.col("x") / F.lit(norm)).alias("centrality"))
 
 
 def sample_sources(g: Graph, k: int, seed: str) -> DataFrame:
@@ -208,11 +221,12 @@ def _move_round(edges, strength, labels, m2, seed, round_no) -> DataFrame:
     return best.select(F.col("src").alias("id"), target.alias("community"), (target != F.col("own")).alias("moved"))
 
 
-def communities(g: Graph, max_rounds: int = 12, max_levels: int = 5, seed: str = "communities") -> DataFrame:
+def communities(g: Graph, seed: str = "communities") -> DataFrame:
     """Communities by modularity: parallel local moves, then the same on the graph of communities.
 
     Only half of the vertices, chosen by a hash, may move in a round. Two rounds in which hardly any
-    vertex moves end a level; a level that does not raise modularity is undone and ends the search.
+    vertex moves end a level, as do eight rounds that move no fewer; a level that does not raise modularity is
+    undone and ends the search.
     """
     edges = materialise(g.edges.select("src", "dst", "w"))
     mapping = materialise(g.vertices.select("id", F.col("id").alias("community")))
@@ -220,17 +234,19 @@ def communities(g: Graph, max_rounds: int = 12, max_levels: int = 5, seed: str =
     if not m2:
         return mapping
     quality = None
-    for level in range(max_levels):
+    for level in itertools.count():
         strength = materialise(edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k")))
         labels = strength.select("id", F.col("id").alias("community"))
-        idle = 0
-        for round_no in range(max_rounds):
+        idle, fewest, since = 0, math.inf, 0
+        for round_no in itertools.count():
             moved, seen = materialise_observed(
                 _move_round(edges, strength, labels, m2, seed, f"{level}-{round_no}"),
                 moved=F.count_if(F.col("moved")), n=F.count(F.lit(1)))
             labels = moved.select("id", "community")
             idle = idle + 1 if seen["moved"] <= 0.001 * seen["n"] else 0
-            if idle == 2:
+            since = 0 if seen["moved"] < fewest else since + 1
+            fewest = min(fewest, seen["moved"])
+            if idle == 2 or since == 8:
                 break
         after = modularity(edges, labels)
         if quality is None:

@@ -2,6 +2,7 @@
 
 from collections import deque
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,13 +61,37 @@ def test_betweenness_is_exact_with_all_sources(graph):
 
 
 def test_pagerank_and_eigenvector(graph):
-    ranks = {r["id"]: r["rank"] for r in gr.pagerank(graph, iterations=60).collect()}
+    ranks = {r["id"]: r["rank"] for r in gr.pagerank(graph).collect()}
     assert sum(ranks.values()) == pytest.approx(1.0)
     assert ranks[3] > ranks[1] > ranks[9]
-    x = {r["id"]: r["centrality"] for r in gr.eigenvector(graph, iterations=40).collect()}
+    x = {r["id"]: r["centrality"] for r in gr.eigenvector(graph).collect()}
     assert x[3] == pytest.approx(x[4], rel=1e-3) and x[3] > x[1] > x[9]
 
 
+@pytest.mark.parametrize("fixed", [False, True])
+def test_centralities_reach_their_limit(spark, fixed):
+    """On the whole trade graph of sf0.001, two-sided and with isolates, against dense solutions."""
+    from civicframe.plans import networks
+    from civicframe.sources.tables import Tables
+
+    g = networks.trade_graph(Tables(spark, "/root/testdata/sf0.001")).staged()
+    ids = sorted(r["id"] for r in g.vertices.collect())
+    at = {v: i for i, v in enumerate(ids)}
+    a = np.zeros((len(ids), len(ids)))
+    for r in g.edges.collect():
+        a[at[r["src"]], at[r["dst"]]] = r["w"]
+    steps = networks.STEPS if fixed else None
+    out = a.sum(axis=1)
+    walk = np.divide(a, out[:, None], out=np.full_like(a, 1 / len(ids)), where=out[:, None] > 0)
+    exact = np.linalg.solve(np.eye(len(ids)) - 0.85 * walk.T, np.full(len(ids), 0.15 / len(ids)))
+    got = {r["id"]: r["rank"] for r in gr.pagerank(g, iterations=steps).collect()}
+    assert max(abs(got[v] / exact[at[v]] - 1) for v in ids) < 1e-6
+    values, vectors = np.linalg.eigh(a)
+    lead = np.abs(vectors[:, -1])
+    got = {r["id"]: r["centrality"] for r in gr.eigenvector(g, iterations=steps).collect()}
+    assert max(abs(got[v] - lead[at[v]]) for v in ids) < 1e-6
+
+
 def test_communities_find_triangles(spark, graph):
     labels = {r["id"]: r["community"] for r in gr.communities(graph).collect()}
     assert labels[1] == labels[2] == labels[3]
