@@ -163,7 +163,7 @@ def test_set_overlap_is_exact(spark):
     assert got == pytest.approx(want) and len(want) > 5
 
 
-def test_cosine_pairs_are_exact(spark):
+def test_cosine_pairs_find_their_pairs(spark):
     dims = [(0.2 + 3.0 / (d + 1)) * hash_normal("v", F.floor(F.col("id") / 3), F.lit(d)) + 0.2 * hash_normal("w", "id", F.lit(d)) for d in range(6)]
     df = spark.range(150).select("id", F.array(*dims).alias("v")).cache()
     rows = [(r["id"], np.array(r["v"])) for r in df.collect()]
@@ -172,6 +172,40 @@ def test_cosine_pairs_are_exact(spark):
     assert got == want and len(want) > 5
 
 
+def test_near_vectors_meet_few_others(spark):
+    """Candidates stay far below all pairs, and pairs just at the threshold are found at the stated rate."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = rng.normal(size=(500, 64))
+    other -= (other * x[:500]).sum(axis=1, keepdims=True) * x[:500]
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    x = np.vstack([x, 0.901 * x[:500] + math.sqrt(1 - 0.901**2) * other])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, v array<double>")
+    got = {(r["id_a"], r["id_b"]) for r in textual.cosine_pairs(df, "id", "v", 0.9, recall=0.999).collect()}
+    close = np.triu(x @ x.T >= 0.9, 1)
+    want = set(zip(*(a.tolist() for a in np.nonzero(close))))
+    assert got <= want and len(want - got) <= 3 and len(want) >= 500
+    bands = textual._bands(df, "v", 11, 40, 11).groupBy("table", "band").count()
+    met = bands.agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0]
+    assert met < 0.05 * 40 * 2000 * 1999 / 2
+
+
+def test_every_document_has_a_topic_row(spark):
+    docs = spark.range(40).withColumnRenamed("id", "k")
+    vectors = spark.range(30).select(F.col("id").alias("k"), F.array(F.col("id") % 3 * 1.0, F.col("id") % 2 * 1.0).alias("e"))
+    rows = textual.embedding_topics(docs, vectors, "k", "e", 3).collect()
+    assert len(rows) == 40 and all((r["topic"] is None) == (r["k"] >= 30) for r in rows)
+
+
+def test_topic_vocabulary_has_no_limit(spark):
+    """More terms than the default limit of the vectorizer; the rarest stays."""
+    words = spark.range(270_000).select((F.col("id") % 3000).alias("d"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij").alias("w"))
+    docs = words.groupBy("d").agg(F.concat_ws(" ", F.collect_list(F.concat(F.lit("zz"), "w"))).alias("t"))
+    model = textual.TopicModel(docs, "d", "t", k=2, min_df=1, iterations=1)
+    assert len(model.vocabulary) == 270_000
+
+
 def test_terms(spark):
     df = spark.createDataFrame([(1, "The Cat, the été c4t cat"), (2, "cat_a dog"), (3, "dog")], "d int, t string")
     counts = {(r["d"], r["term"]): r["n"] for r in textual.dtm(df, "d", "t", ["the"], min_df=1).collect()}
