@@ -164,21 +164,21 @@ def value_labels(df: DataFrame, col: str, labels: DataFrame, out: str) -> DataFr
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row per variable: type, missing and distinct counts, from a single aggregation."""
+    """One row per variable: type, missing and distinct counts.
+
+    Values are counted per (variable, value) first, with counts combined before the shuffle, then per variable.
+    """
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for c in cols:
-        aggs += [F.count(c).alias(f"{c}__seen"), F.count_distinct(c).alias(f"{c}__distinct")]
-    wide = df.agg(*aggs)
-    records = F.array(*[
-        F.struct(
-            F.lit(c).alias("variable"), F.lit(types[c]).alias("type"), F.col("n").alias("n_rows"),
-            (F.col("n") - F.col(f"{c}__seen")).alias("n_missing"),
-            F.col(f"{c}__distinct").alias("n_distinct"),
-        ) for c in cols
-    ])
-    return wide.select(F.inline(records))
+    plus_zero = {"double", "float"}  # so that the two zeros are one value
+    cells = F.array(*[F.struct(F.lit(c).alias("variable"), (
+        F.col(c) + 0.0 if types[c] in plus_zero else F.col(c)).cast("string").alias("value")) for c in cols])
+    values = df.select(F.inline(cells)).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = values.groupBy("variable").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_missing"),
+        F.count("value").alias("n_distinct"))
+    known = df.sparkSession.createDataFrame([(c, types[c]) for c in cols], "variable string, type string")
+    return known.join(counted, "variable", "left").na.fill(0, ["n_rows", "n_missing", "n_distinct"])
 
 
 def codebook(df: DataFrame, descriptions: Mapping[str, tuple[str, str]]) -> DataFrame:

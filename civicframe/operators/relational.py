@@ -23,6 +23,22 @@ def suffixed_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how="inner",
     return a.join(b, list(keys), how)
 
 
+RELATIONSHIPS = ("one-to-one", "one-to-many", "many-to-one", "many-to-many")
+
+
+def related_join(a: DataFrame, b: DataFrame, keys: Sequence[str], relationship: str, how: str = "left") -> DataFrame:
+    """Equi-join that declares how often a key may occur on each side; an error when a side that says one has a key twice.
+
+    Null keys match nothing and are not checked.
+    """
+    if relationship not in RELATIONSHIPS:
+        raise ValueError(f"unknown relationship {relationship}")
+    for frame, side, once in ((a, "left", relationship.startswith("one")), (b, "right", relationship.endswith("one"))):
+        if once and not frame.na.drop(subset=list(keys)).groupBy(*keys).count().filter("count > 1").isEmpty():
+            raise ValueError(f"{relationship}: a key occurs more than once on the {side}")
+    return a.join(b, list(keys), how)
+
+
 def full_join_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Full outer joins on a composite key, keys coalesced."""
     out = frames[0]

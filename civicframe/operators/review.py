@@ -85,10 +85,10 @@ def audit_statistics(df: DataFrame, correct: str, failure: str) -> DataFrame:
     counts = df.groupBy(F.col(failure).alias("failure_mode")).agg(
         F.count(correct).alias("n"), F.sum(correct).alias("ok"))
     named = F.col("failure_mode").isNotNull() & (F.col("failure_mode") != "")
-    rank = F.struct(F.col("n"), -F.ascii("failure_mode"))
+    rank = F.struct((-F.col("n")).alias("n"), "failure_mode")
     return counts.agg(
         F.sum("n").alias("n_audited"), (F.sum("ok") / F.sum("n")).alias("share_correct"),
-        F.max_by(F.when(named, F.col("failure_mode")), F.when(named, rank)).alias("modal_failure"))
+        F.min_by(F.when(named, F.col("failure_mode")), F.when(named, rank)).alias("modal_failure"))
 
 
 def confusion(df: DataFrame, gold: str, pred: str, by: Sequence[str] = (), nulls: str | None = None) -> DataFrame:

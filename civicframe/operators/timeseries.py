@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from civicframe.operators import regression as reg
 from civicframe.operators import scalable
+from civicframe.session import materialise_observed
 
 
 def detrend(df: DataFrame, series: Sequence[str], t: str, y: str, out="residual") -> DataFrame:
@@ -166,19 +167,30 @@ def decompose(df: DataFrame, series: Sequence[str], t: str, y: str, period: int
         "__trend", "__seen", "__gap", "season")
 
 
-def two_way_demean(df: DataFrame, unit: str, time: str, cols: Sequence[str]) -> DataFrame:
-    """Balanced panel: subtract unit and time means and add the grand mean, from small joined tables."""
-    by_unit = df.groupBy(unit).agg(*[F.avg(c).alias(f"__u_{c}") for c in cols])
-    by_time = df.groupBy(time).agg(*[F.avg(c).alias(f"__t_{c}") for c in cols])
-    grand = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    joined = df.join(by_unit, unit).join(by_time, time)
-    return joined.select(unit, time, *[
-        (F.col(c) - F.col(f"__u_{c}") - F.col(f"__t_{c}") + F.lit(grand[c])).alias(c) for c in cols])
+def two_way_demean(df: DataFrame, unit: str, time: str, cols: Sequence[str], tol: float = 1e-10, sweeps: int | None = None) -> DataFrame:
+    """Residuals of the columns after unit and time effects.
 
-
-def two_way_effect(df: DataFrame, unit: str, time: str, y: str, d: str) -> DataFrame:
-    """Two-way fixed-effects slope with a standard error clustered by unit."""
-    flat = two_way_demean(df, unit, time, [y, d])
+    Means of units, then of times, are subtracted in turn until no time mean moves any more beside the spread of
+    its column, or for ``sweeps`` rounds. A balanced panel settles in the first round, one with gaps in some more.
+    """
+    done = 0
+    while sweeps is None or done < sweeps:
+        by_unit = df.groupBy(unit).agg(*[F.avg(c).alias(f"__u_{c}") for c in cols])
+        half = df.join(by_unit, unit).select(unit, time, *[(F.col(c) - F.col(f"__u_{c}")).alias(c) for c in cols])
+        by_time = half.groupBy(time).agg(*[F.avg(c).alias(f"__t_{c}") for c in cols])
+        df, seen = materialise_observed(
+            half.join(by_time, time).select(unit, time, *[(F.col(c) - F.col(f"__t_{c}")).alias(c) for c in cols], *[f"__t_{c}" for c in cols]),
+            **{f"move{i}": F.max(F.abs(F.col(f"__t_{c}"))) for i, c in enumerate(cols)},
+            **{f"spread{i}": F.max(F.abs(F.col(c))) for i, c in enumerate(cols)})
+        df, done = df.drop(*[f"__t_{c}" for c in cols]), done + 1
+        if sweeps is None and all((seen[f"move{i}"] or 0.0) <= tol * (seen[f"spread{i}"] or 0.0) for i in range(len(cols))):
+            break
+    return df
+
+
+def two_way_effect(df: DataFrame, unit: str, time: str, y: str, d: str, sweeps: int | None = None) -> DataFrame:
+    """Two-way fixed-effects slope with a standard error clustered by unit; the panel may have gaps."""
+    flat = two_way_demean(df, unit, time, [y, d], sweeps=sweeps)
     dd = F.sum(F.col(d) * F.col(d))
     slope = flat.agg((F.sum(F.col(d) * F.col(y)) / dd).alias("b"), dd.alias("dd")).first()
     score = F.sum(F.col(d) * (F.col(y) - F.lit(slope["b"]) * F.col(d))).alias("s")

@@ -9,13 +9,21 @@ from civicframe.plans import views
 from civicframe.plans.registry import query, same_sql
 from civicframe.plans.views import CANDIDATES, CONTRIBUTIONS, CONTRIBUTORS, with_views
 
+# The output names of the six queries are fixed values: the questions prescribe them.
 ALL = ("supplier", "nation", "region", "customer", "lineitem", "orders")
 
-same_sql("s1_top_occupations", with_views("""
+@query("s1_top_occupations", with_views("""
 SELECT occupation, ROUND(SUM(amount), 2) AS total_amount, COUNT(*) AS num_contributions
 FROM contributors JOIN contributions ON contributors.id = contributor_id
 GROUP BY occupation ORDER BY total_amount DESC, occupation LIMIT 10
-""", CONTRIBUTORS, CONTRIBUTIONS), *ALL)
+""", CONTRIBUTORS, CONTRIBUTIONS))
+def _(t):
+    # The gifts are summed per donor before the donors are joined: no gift is shuffled with their table.
+    per_donor = views.contributions(t).groupBy("contributor_id").agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n"))
+    rows = per_donor.join(views.contributors(t).select(F.col("id").alias("contributor_id"), "occupation"), "contributor_id")
+    return rows.groupBy("occupation").agg(F.round(F.sum("amount"), 2).alias("total_amount"), F.sum("n").alias("num_contributions")).orderBy(
+        F.desc("total_amount"), "occupation").limit(10)
+
 
 same_sql("s2_party_share_large_gifts", with_views("""
 SELECT party, ROUND(SUM(amount), 2) AS total_amount,
@@ -25,7 +33,7 @@ FROM contributions JOIN candidates ON candidate_id = candidates.id
 WHERE amount > 1000 GROUP BY party
 """, CANDIDATES, CONTRIBUTIONS), *ALL)
 
-same_sql("s3_recipients_most_states", with_views("""
+@query("s3_recipients_most_states", with_views("""
 SELECT candidates.id AS candidate_id, candidates.name AS name, party,
        COUNT(DISTINCT state) AS num_states, COUNT(*) AS contribution_count
 FROM candidates
@@ -33,7 +41,17 @@ JOIN contributions ON candidates.id = candidate_id
 JOIN contributors ON contributor_id = contributors.id
 GROUP BY candidates.id, candidates.name, party
 ORDER BY num_states DESC, contribution_count DESC, candidate_id LIMIT 5
-""", CANDIDATES, CONTRIBUTORS, CONTRIBUTIONS), *ALL)
+""", CANDIDATES, CONTRIBUTORS, CONTRIBUTIONS))
+def _(t):
+    # One row per recipient and donor, then per recipient and state: the distinct count needs no expansion.
+    pairs = views.contributions(t).groupBy("candidate_id", "contributor_id").agg(F.count(F.lit(1)).alias("n"))
+    by_state = pairs.join(views.contributors(t).select(F.col("id").alias("contributor_id"), "state"), "contributor_id").groupBy(
+        "candidate_id", "state").agg(F.sum("n").alias("n"))
+    totals = by_state.groupBy("candidate_id").agg(F.count("state").alias("num_states"), F.sum("n").alias("contribution_count"))
+    return totals.join(views.candidates(t).select(F.col("id").alias("candidate_id"), "name", "party"), "candidate_id").select(
+        "candidate_id", "name", "party", "num_states", "contribution_count").orderBy(
+        F.desc("num_states"), F.desc("contribution_count"), "candidate_id").limit(5)
+
 
 @query("s4_cross_party_donors", with_views("""
 SELECT contributors.id AS contributor_id, contributors.name AS name,

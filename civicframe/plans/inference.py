@@ -300,6 +300,32 @@ def _(t):
     return rounded(out, 6, "estimate", "std_error")
 
 
+# The same panel by quarter without a fifth of its cells.
+GAPS = f"""WITH p AS (SELECT c_nationkey AS unit, CAST(year(o_orderdate) * 4 + quarter(o_orderdate) AS INT) AS t, AVG(o_totalprice) / 1000 AS y FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+f0 AS (SELECT *, CASE WHEN {sql_hash48('unit', 'unit')} % 2 = 0 AND t >= 7992 THEN 1.0 ELSE 0.0 END AS d FROM p WHERE {sql_hash48('gap', 'unit', 't')} % 5 <> 0)"""
+SWEEPS = 12
+
+
+def sweeps_sql(n: int) -> str:
+    parts = []
+    for i in range(n):
+        parts.append(f"g{i} AS (SELECT unit, t, y - AVG(y) OVER (PARTITION BY unit) AS y, d - AVG(d) OVER (PARTITION BY unit) AS d FROM f{i}), "
+                     f"f{i + 1} AS MATERIALIZED (SELECT unit, t, y - AVG(y) OVER (PARTITION BY t) AS y, d - AVG(d) OVER (PARTITION BY t) AS d FROM g{i})")
+    return ", ".join(parts)
+
+
+@query("i30_panel_with_gaps", GAPS + ", " + sweeps_sql(SWEEPS) + f""", b AS (SELECT SUM(d * y) / SUM(d * d) AS b, SUM(d * d) AS dd FROM f{SWEEPS}),
+s AS (SELECT unit, SUM(d * (y - b * d)) AS s, MAX(b) AS b, MAX(dd) AS dd FROM f{SWEEPS}, b GROUP BY unit)
+SELECT ROUND(MAX(b), 6) AS estimate, ROUND(SQRT(SUM(s * s) * COUNT(*) / (COUNT(*) - 1)) / MAX(dd), 6) AS std_error, COUNT(*) AS n_units FROM s""")
+def _(t):
+    panel = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(
+        F.col("c_nationkey").alias("unit"), (F.year("o_orderdate") * 4 + F.quarter("o_orderdate")).alias("t")).agg((F.avg("o_totalprice") / 1000).alias("y"))
+    panel = panel.filter(hash48("gap", "unit", "t") % 5 != 0)
+    treated = (hash48("unit", "unit") % 2 == 0) & (F.col("t") >= 7992)
+    out = ts.two_way_effect(panel.withColumn("d", treated.cast("double")), "unit", "t", "y", "d", sweeps=SWEEPS)
+    return rounded(out, 6, "estimate", "std_error")
+
+
 @query("i31_kaplan_meier", f"""WITH u AS (SELECT user_id, {ARM} AS treat, MIN(CASE WHEN event_type = 'purchase' AND value > 60 THEN CAST(ts AS DATE) - DATE '2024-01-01' END) AS t FROM events GROUP BY user_id),
 r AS (SELECT treat, COALESCE(t, 30) AS day, (t IS NOT NULL)::INT AS e FROM u),
 c AS (SELECT treat, day, SUM(e)::BIGINT AS events, COUNT(*) AS leaving FROM r GROUP BY 1, 2),

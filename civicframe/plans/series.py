@@ -110,9 +110,19 @@ def _(t):
     return ts.partial_autocorrelation(daily(t), ["series"], "t", "y", 3).select("series", "lag", r("pacf"))
 
 
-@query("i24_partial_autocorrelation_40")
+def levinson_sql(most: int) -> str:
+    """The recursion of the partial autocorrelations, one common table expression per lag; r[1] is lag 0."""
+    parts = ["r AS (SELECT series, list(acf ORDER BY lag) AS r FROM acf GROUP BY series)", "p1 AS (SELECT series, r, [r[2]] AS phi, [r[2]] AS pacf FROM r)"]
+    for k in range(2, most + 1):
+        parts.append(
+            f"q{k} AS (SELECT *, (r[{k + 1}] - list_sum(list_transform(range(1, {k}), lambda j: phi[j] * r[{k + 1} - j]))) / (1 - list_sum(list_transform(range(1, {k}), lambda j: phi[j] * r[j + 1]))) AS p FROM p{k - 1}), "
+            f"p{k} AS MATERIALIZED (SELECT series, r, list_append(list_transform(range(1, {k}), lambda j: phi[j] - p * phi[{k} - j]), p) AS phi, list_append(pacf, p) AS pacf FROM q{k})")
+    return ", ".join(parts) + f" SELECT series, CAST(unnest(range(1, {most + 1})) AS INT) AS lag, ROUND(unnest(pacf), 6) AS pacf FROM p{most}"
+
+
+@query("i24_partial_autocorrelation_40", ACF + ", " + levinson_sql(40))
 def _(t):
-    return ts.partial_autocorrelation(daily(t), ["series"], "t", "y", 40)
+    return ts.partial_autocorrelation(daily(t), ["series"], "t", "y", 40).select("series", "lag", r("pacf"))
 
 
 AR = f"""WITH {DAILY}, l AS (SELECT *, LAG(y) OVER (PARTITION BY series ORDER BY t) AS y_lag FROM daily),

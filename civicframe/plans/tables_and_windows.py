@@ -75,13 +75,12 @@ def _(t):
     return days.withColumn("dow", F.weekday("date") + 1).withColumn("date", F.col("date").cast("string"))
 
 
-@query("c6_many_to_many_left", """SELECT s.s_suppkey, s.s_nationkey, c.c_mktsegment, COUNT(c.c_custkey) AS n FROM supplier s
-LEFT JOIN customer c ON s.s_nationkey = c.c_nationkey GROUP BY ALL""")
+@query("c6_many_to_many_left", """SELECT s.s_nationkey AS nationkey, s.s_suppkey, c.c_custkey, c.c_mktsegment FROM supplier s
+LEFT JOIN customer c ON s.s_nationkey = c.c_nationkey""")
 def _(t):
-    # Many-to-many in rows, so both sides are counted per key first and the counts are joined.
-    right = t.customer.groupBy("c_nationkey", "c_mktsegment").agg(F.count("c_custkey").alias("n"))
-    joined = t.supplier.join(right, F.col("s_nationkey") == F.col("c_nationkey"), "left")
-    return joined.select("s_suppkey", "s_nationkey", "c_mktsegment", F.coalesce("n", F.lit(0)).alias("n"))
+    left = t.supplier.select(F.col("s_nationkey").alias("nationkey"), "s_suppkey")
+    right = t.customer.select(F.col("c_nationkey").alias("nationkey"), "c_custkey", "c_mktsegment")
+    return rel.related_join(left, right, ["nationkey"], "many-to-many")
 
 
 same_sql("c7_semi_join_top", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (

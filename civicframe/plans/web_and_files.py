@@ -110,7 +110,7 @@ def _(t):
 
 
 # Names and values of the profile pages are derived from the parts.
-TITLE_PATTERN = r"(?:Associate\s+)?Professor[^\n\r]{0,120}?\d+"
+TITLE_PATTERN = r"Associate Professor of [A-Za-z ]+ \d+"
 EMAIL_IN_TEXT = r"[A-Za-z0-9._%+-]+@example\.edu"
 
 
