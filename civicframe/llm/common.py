@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,23 +90,6 @@ def _column(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, remembered; emptied when it has ``most`` words."""
-
-    def __init__(self, seed: int = 0, most: int = 400_000):
-        super().__init__()
-        self.seed, self.most = seed, most
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed)
-        return value
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit integers so that all bits depend on all bits."""
     x = x ^ (x >> np.uint64(30))
@@ -117,5 +99,64 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+_BLOCK = 1 << 19
+_SEPARATES = np.zeros(256, bool)
+_SEPARATES[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """1, base, base**2, ... modulo 2**64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+class WordHashes:
+    """64-bit hashes of the words of text columns, taken from their bytes: a polynomial modulo 2**64, scrambled."""
+
+    def __init__(self):
+        self._up, self._down = powers(BASE, 2 * _BLOCK), powers(INVERSE, 2 * _BLOCK)
+
+    def rows(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The word hashes of each row; none for null."""
+        for hashes, counts in self.slices(column):
+            yield from np.split(hashes, np.cumsum(counts)[:-1])
+
+    def slices(self, column: pa.Array, rows: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For a few hundred rows at a time, all their word hashes and the number of words of each row."""
+        column = column.fill_null("") if column.null_count else column
+        for at in range(0, len(column), rows):
+            part = column.slice(at, rows)
+            width = np.int64 if pa.types.is_large_string(part.type) else np.int32
+            ends = np.frombuffer(part.buffers()[1], width)[part.offset:part.offset + len(part) + 1].astype(np.int64)
+            data = np.frombuffer(part.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+            yield self._hashed(data, ends - ends[0])
+
+    def _hashed(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        word = np.zeros(len(data) + 2, bool)
+        word[1:-1] = ~_SEPARATES[data]
+        edge = word[1:] != word[:-1]  # at i: between the bytes i - 1 and i
+        inner = ends[1:-1]
+        first, last = edge & word[1:], edge & word[:-1]
+        touching = inner[word[inner] & word[inner + 1]]  # a row ends in a word and the next begins with one
+        first[touching] = last[touching] = True
+        starts, stops = np.flatnonzero(first), np.flatnonzero(last)
+        hashes = np.empty(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):
+            to = max(at + 1, int(np.searchsorted(stops, starts[at] + _BLOCK, side="right")))
+            low, high = int(starts[at]), int(stops[to - 1])
+            if high - low > len(self._up):  # one word longer than a block
+                self._up, self._down = powers(BASE, high - low), powers(INVERSE, high - low)
+            sums = np.zeros(high - low + 1, np.uint64)
+            np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * self._up[:high - low], out=sums[1:])
+            a, b = starts[at:to] - low, stops[at:to] - low
+            hashes[at:to] = mixed((sums[b] - sums[a]) * self._down[a])
+            at = to
+        return hashes, np.diff(np.searchsorted(starts, ends))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from civicframe.llm import language_id, lm_scoring, toxicity
+from civicframe.llm.common import WORD, WordHashes
 from tests.llm.fixtures import awkward, empty, rows_of
 
 SF = "/root/testdata/sf0.01"
@@ -102,7 +103,7 @@ def test_language_model_adds_up_and_prefers_the_corpus(spark, docs):
     got = {r["doc_id"]: r for r in lm_scoring.score_documents(frame, rounds=8).collect()}
     assert tuple(got[20_000]) == (20_000, 0, 0.0, None) and got[20_001]["mean_log_prob"] is None
     for key, text in rows:
-        words = lm_scoring.WORD.findall(text or "")
+        words = WORD.findall(text or "")
         assert got[key]["n_words"] == len(words)
         assert not words or got[key]["log_prob"] < 0 and math.isclose(got[key]["mean_log_prob"], got[key]["log_prob"] / len(words))
     longer = [k for k, _ in rows[:200] if got[k]["n_words"] > 50]
@@ -161,3 +162,22 @@ def test_toxicity_of_awkward_rows(spark):
     none = toxicity.score_documents(rows, labels.limit(0)).collect()
     assert {r["score"] for r in none} == {0.0}
     assert rows_of(toxicity.score_documents(empty(spark), labels)) == []
+
+
+def test_word_hashes_of_bytes():
+    import pyarrow as pa
+
+    texts = ["a b a", None, "", "b", "b a\tb", " é\x0bé  漢字 a", "x" * 3000, "ab", "cd", "ab cd", "\x00 \x00\x00", "end\n"] * 40
+    hashes = WordHashes()
+    rows = list(hashes.rows(pa.array(texts)))
+    known = {}
+    for text, row in zip(texts, rows, strict=True):
+        words = WORD.findall(text or "")
+        assert len(words) == len(row)
+        for w, h in zip(words, row.tolist(), strict=True):
+            assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known)
+    long = ["w" * 700_000 + " " + "v" * 1_500_000, " ".join(f"q{i % 99}" for i in range(400_000))]
+    first, second = hashes.rows(pa.array(long))
+    assert len(first) == 2 and len(second) == 400_000 and len(set(second.tolist())) == 99
+    assert list(hashes.rows(pa.array(["zz", "a b", "c"]).slice(1)))[0][0] == rows[0][0]
