@@ -18,21 +18,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import WORD, WordHashes, arrow_pass, mixed, pick, texts_of
+from civicframe.llm.common import WordHashes, arrow_pass, mixed, pick
 
 BUCKETS = 1 << 15
 CLASSES, OWN_CLASS = 128, 96
 SIDE, EMBEDDING, HIDDEN = 2, 16, 32
 SLOTS = 2 * SIDE
 #: Rounds over the corpus; in each, one word in MASK_EVERY is masked and learned, other ones in other rounds.
-ROUNDS, MASK_EVERY, BATCH, RATE = 2, 16, 512, 0.01
+ROUNDS, MASK_EVERY, BATCH, RATE = 4, 8, 512, 0.01
 FIXED = 1 << 40
+MOST = 60.0  # a logit's exponential stays finite
 PAD = CLASSES
 SHAPES = [(CLASSES + 1, EMBEDDING), (SLOTS * EMBEDDING, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
 
 
-def bucket_numbers(hashes: WordHashes, text: str | None) -> np.ndarray:
-    return (hashes.of(WORD.findall(text or "")) & np.uint64(BUCKETS - 1)).astype(np.int64)
+def buckets_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 @dataclass
@@ -58,8 +59,8 @@ def count_words(docs: DataFrame) -> np.ndarray:
     def run(batches):
         hashes, counts = WordHashes(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for text in texts_of(batch["text"]):
-                np.add.at(counts, bucket_numbers(hashes, text), 1)
+            for words, _ in hashes.slices(batch["text"]):
+                counts += np.bincount(buckets_of(words), minlength=BUCKETS)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
 
@@ -114,16 +115,16 @@ class WindowNet:
         """A function from classes with SIDE pads around each document, and places in them, to log p(class | both sides)."""
         embedding, w1, b1, w2, b2 = self.weights
         tables = [embedding @ w1[s * EMBEDDING:(s + 1) * EMBEDDING] for s in range(SLOTS)]
-        steps = around()
+        steps, ones = around(), np.ones(CLASSES, w2.dtype)
 
         def log_prob(classes: np.ndarray, at: np.ndarray) -> np.ndarray:
-            h = tables[0][classes[at + steps[0]]] + b1
+            h = tables[0].take(classes[at + steps[0]], axis=0) + b1
             for table, step in zip(tables[1:], steps[1:], strict=True):
-                h += table[classes[at + step]]
-            z = np.tanh(h) @ w2 + b2
-            z -= z.max(axis=1, keepdims=True)
+                h += table.take(classes[at + step], axis=0)
+            z = np.tanh(h, out=h) @ w2 + b2
+            np.minimum(z, MOST, out=z)
             own = z[np.arange(len(at)), classes[at]]
-            return own - np.log(np.exp(z, out=z).sum(axis=1))
+            return own - np.log(np.exp(z, out=z) @ ones)
 
         return log_prob
 
@@ -132,11 +133,19 @@ def around() -> list[int]:
     return [s for s in range(-SIDE, SIDE + 1) if s]
 
 
-def _masked(numbers: np.ndarray, key: int, turn: int) -> np.ndarray:
-    """Places of a document that are masked in a round, by a hash of the document and the place."""
-    places = np.arange(len(numbers))
-    drawn = mixed(places.astype(np.uint64) + np.uint64(key * 0x9E3779B97F4A7C15 & (2**64 - 1)))
-    return places[drawn % np.uint64(MASK_EVERY) == turn]
+def _padded(classes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents one after another with SIDE pads around each, and the places of their words."""
+    at = np.arange(len(classes)) + SIDE * (1 + np.repeat(np.arange(len(counts)), counts))
+    padded = np.full(len(classes) + SIDE * (len(counts) + 1), PAD)
+    padded[at] = classes
+    return padded, at
+
+
+def _masked(counts: np.ndarray, keys: np.ndarray, turn: int) -> np.ndarray:
+    """The words of some documents that are masked in a round, by a hash of the document and the place."""
+    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    drawn = mixed(place.astype(np.uint64) + np.repeat(mixed(keys), counts))
+    return np.flatnonzero(drawn % np.uint64(MASK_EVERY) == turn)
 
 
 def train_round(docs: DataFrame, vocabulary, net: WindowNet, words: int, turn: int) -> WindowNet:
@@ -163,15 +172,15 @@ def train_round(docs: DataFrame, vocabulary, net: WindowNet, words: int, turn: i
                     w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
 
         for batch in batches:
-            for text, key in zip(texts_of(batch["text"]), batch["key"].to_pylist(), strict=True):
-                numbers = vocabulary.value.classes[bucket_numbers(hashes, text)]
-                seen += len(numbers)
-                at = _masked(numbers, key, turn)
-                if len(at):
-                    padded = np.concatenate([np.full(SIDE, PAD), numbers, np.full(SIDE, PAD)])
-                    contexts.append(np.stack([padded[at + SIDE + s] for s in steps], axis=1))
-                    targets.append(numbers[at])
-                    waiting += len(at)
+            row, keys = 0, batch["key"].to_numpy().view(np.uint64)
+            for found, counts in hashes.slices(batch["text"]):
+                seen += len(found)
+                chosen = _masked(counts, keys[row:row + len(counts)], turn)
+                row += len(counts)
+                padded, at = _padded(vocabulary.value.classes[buckets_of(found)], counts)
+                contexts.append(np.stack([padded[at[chosen] + s] for s in steps], axis=1))
+                targets.append(padded[at[chosen]])
+                waiting += len(chosen)
                 if waiting >= 8 * BATCH:
                     learn()
                     contexts, targets, waiting = [], [], 0
@@ -208,29 +217,16 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         log_prob, hashes, known = trained.value.scorer(), WordHashes(), vocabulary.value
 
         def step(batch):
-            n, total = np.zeros(len(batch), np.int64), np.zeros(len(batch))
-            held, owners, size = [np.full(SIDE, PAD)], [np.full(SIDE, -1)], 0
-
-            def flush():
-                classes, owner = np.concatenate(held), np.concatenate(owners)
-                at = np.flatnonzero(owner >= 0)
+            n, total, row = np.zeros(len(batch), np.int64), np.zeros(len(batch)), 0
+            for words, counts in hashes.slices(batch["text"]):
+                numbers = buckets_of(words)
+                padded, at = _padded(known.classes[numbers], counts)
+                scores = known.within[numbers]
                 for a in range(0, len(at), 2048):
-                    some = at[a:a + 2048]
-                    np.add.at(total, owner[some], log_prob(classes, some).astype(np.float64))
-
-            for i, body in enumerate(texts_of(batch["text"])):
-                buckets = bucket_numbers(hashes, body)
-                if len(buckets):
-                    n[i] = len(buckets)
-                    total[i] = known.within[buckets].sum()
-                    held += [known.classes[buckets], np.full(SIDE, PAD)]
-                    owners += [np.full(len(buckets), i), np.full(SIDE, -1)]
-                    size += len(buckets)
-                if size >= 16384:
-                    flush()
-                    held, owners, size = [np.full(SIDE, PAD)], [np.full(SIDE, -1)], 0
-            if size:
-                flush()
+                    scores[a:a + 2048] += log_prob(padded, at[a:a + 2048])
+                n[row:row + len(counts)] = counts
+                total[row:row + len(counts)] = np.bincount(np.repeat(np.arange(len(counts)), counts), scores, len(counts))
+                row += len(counts)
             mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
             return {"doc_id": batch["doc_id"], "n_words": n, "log_prob": total, "mean_log_prob": mean}
 
