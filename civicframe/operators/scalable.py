@@ -201,21 +201,23 @@ def exact_quantiles(df, by, value: str, probs: dict[str, float], limit=None) ->
 
 
 def hash_buckets(rows_per_group: float) -> int:
-    """Buckets that balance the histogram against the rows ranked in the bucket of the cut."""
-    return 1 << min(max(int(math.log2(max(rows_per_group, 1.0)) / 2), 2), 16)
+    """About the square root of the rows: it balances the histogram against the rows ranked in the bucket of the cut."""
+    return 1 << min(max(int(math.log2(max(rows_per_group, 1.0)) / 2), 2), 40)
 
 
 def flag_lowest_by_hash(df, hashed: str, take: Column, out: str, by=(), tie=(), carry=(),
-                        buckets: int = 4096) -> DataFrame:
+                        buckets: int | None = None) -> DataFrame:
     """Per group, flag exactly the ``take`` rows with the smallest hash.
 
     ``take`` may use ``group_n`` and the ``carry`` columns, which are constant inside a group.
     Hashes are uniform, so a histogram finds the bucket in which the cut falls: rows outside it are
-    flagged by a comparison, only the rows of that one bucket are ranked. No group is sorted whole.
+    flagged by a comparison, only the rows of that one bucket are ranked. No group is sorted whole. The number of
+    buckets follows the number of rows unless it is given.
     """
+    buckets = buckets or hash_buckets(df.count())
     by, names = list(by), df.columns
     width = HASH_SPACE // buckets
-    rows = df.withColumn("__b", F.floor(F.col(hashed) / F.lit(width)).cast("int"))
+    rows = df.withColumn("__b", F.floor(F.col(hashed) / F.lit(width)).cast("bigint"))
     constants = [F.max(c).alias(c) for c in carry]
     hist = rows.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__c"), *constants)
     upto = W.partitionBy(*by).orderBy("__b").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -241,7 +243,7 @@ def flag_lowest_by_hash(df, hashed: str, take: Column, out: str, by=(), tie=(),
     return clear.unionByName(close).select(*names, out)
 
 
-def lowest_by_hash(df, hashed: str, take: Column, by=(), tie=(), buckets: int = 4096) -> DataFrame:
+def lowest_by_hash(df, hashed: str, take: Column, by=(), tie=(), buckets: int | None = None) -> DataFrame:
     """Per group, exactly the ``take`` rows with the smallest hash."""
     flagged = flag_lowest_by_hash(df, hashed, take, "__low", by, tie, buckets=buckets)
     return flagged.filter("__low").drop("__low")
