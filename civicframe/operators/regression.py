@@ -284,22 +284,24 @@ def leave_one_period_out(df: DataFrame, y: str, terms: Terms, period: str) -> Da
     grams = moments(df, y, terms, [period])
     names, kind = [INTERCEPT, *terms], dict(grams.dtypes)[period]
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [(r[period], r["n"], *unpack(r["n"], r["means"], r["cross"])) for r in pdf.to_dict("records")]
-        rows = []
-        for left_out, *_ in parts:
-            rest = [p for p in parts if p[0] != left_out]
-            n = sum(p[1] for p in rest)
-            if not n:
-                continue
-            mean = sum(p[1] * p[2] for p in rest) / n
-            m = sum(p[3] + p[1] * np.outer(p[2] - mean, p[2] - mean) for p in rest)
-            beta, bread, s2, dof, r2 = solve_centred(n, mean, m)
-            rows += [(left_out, *r) for r in tidy_rows(names, beta, bread * s2, dof, n, r2)]
-        return pd.DataFrame(rows, columns=[period] + [c.split()[0] for c in TIDY.split(", ")])
-
-    one = grams.withColumn("__all", F.lit(1))
-    return one.groupBy("__all").applyInPandas(solve, f"`{period}` {kind}, {TIDY}")
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, (mean, m) = whole["n"], unpack(whole["n"], whole["means"], whole["cross"])
+        for pdf in batches:
+            rows = []
+            for r in pdf.to_dict("records"):
+                own_mean, own = unpack(r["n"], r["means"], r["cross"])
+                n = total - r["n"]
+                if not n:
+                    continue
+                rest = (total * mean - r["n"] * own_mean) / n
+                gap = own_mean - rest
+                beta, bread, s2, dof, r2 = solve_centred(n, rest, m - own - r["n"] * n / total * np.outer(gap, gap))
+                rows += [(r[period], *t) for t in tidy_rows(names, beta, bread * s2, dof, n, r2)]
+            yield pd.DataFrame(rows, columns=[period] + [c.split()[0] for c in TIDY.split(", ")])
+
+    # The moments of all rows are a few numbers; each period is taken out of them where its own moments are.
+    whole = moments(df, y, terms).first().asDict()
+    return grams.mapInPandas(solve, f"`{period}` {kind}, {TIDY}")
 
 
 def ridge(df: DataFrame, y: str | Column, terms: Terms, alpha: float = 1.0) -> dict[str, float]:

@@ -237,18 +237,18 @@ def exact_sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
 def random_split(df: DataFrame, key: str, shares: Mapping[str, float], seed: str, out="split") -> DataFrame:
     """Exact shares by hash rank: the first floor(share * n) rows of the hash order, and so on.
 
-    Hash buckets of equal expected size are ranked separately and shifted by the bucket totals.
+    Hash buckets of equal expected size, about the square root of the rows many, are ranked separately and
+    shifted by the bucket totals.
     """
-    buckets = 4096
+    bits = scalable.hash_buckets(df.count()).bit_length() - 1
     hashed = df.withColumn("__h", hash48(seed, key))
-    hashed = hashed.withColumn("__b", F.shiftright("__h", 36).cast("int"))
+    hashed = hashed.withColumn("__b", F.shiftright("__h", 48 - bits).cast("bigint"))
     sizes = hashed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     earlier = W.partitionBy().orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("__b", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
                            F.sum("__n").over(W.partitionBy()).alias("__total"))
     local = F.row_number().over(W.partitionBy("__b").orderBy("__h", key))
-    # At most 4096 offset rows, whatever the data size.
-    ranked = hashed.withColumn("__r", local).join(F.broadcast(offsets), "__b")
+    ranked = hashed.withColumn("__r", local).join(offsets, "__b")
     rank = F.col("__r") + F.col("__before")
     names, label, upto = list(shares), F.lit(None).cast("string"), 0.0
     edges = []
