@@ -275,6 +275,13 @@ def specification_grid(df: DataFrame, y: str, treat: str, controls: Terms,
     return grams.mapInPandas(solve, head + "spec string, " + TIDY.split(", ", 1)[1])
 
 
+def within_bandwidths(df: DataFrame, running: str, cutoff: float, widths: Sequence[float]) -> DataFrame:
+    """Every row once per bandwidth whose window around the cutoff holds it, with the ``bandwidth``; for grids ``by`` it."""
+    gap = F.abs(F.col(running) - F.lit(float(cutoff)))
+    inside = F.filter(F.array(*[F.lit(float(w)) for w in widths]), lambda w: gap <= w)
+    return df.withColumn("bandwidth", F.explode(inside))
+
+
 def leave_one_period_out(df: DataFrame, y: str, terms: Terms, period: str) -> DataFrame:
     """For each period: coefficients fitted on all other periods.
 

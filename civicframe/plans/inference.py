@@ -75,7 +75,25 @@ def _(t):
     return rounded(table, 6, "estimate", "std_error").select("estimate", "std_error")
 
 
-@query("i3_predict_test")
+def predictions_sql(key: str, y: str, xs: list[str], base: str, train: str) -> str:
+    """Predictions by successive residuals: slopes and means come from the training rows, all rows are transformed."""
+    k = len(xs)
+    steps = [f"r0 AS (SELECT {key}, {train} AS tr, CAST({y} AS DOUBLE) AS y0, CAST({y} AS DOUBLE) AS y, " + ", ".join(
+        f"CAST({x} AS DOUBLE) AS x{i}" for i, x in enumerate(xs)) + f" FROM {base})"]
+    for i in range(k):
+        rest = ["y"] + [f"x{j}" for j in range(i + 1, k)]
+        slopes = ", ".join(f"regr_slope({c}, x{i}) FILTER (WHERE tr) AS b_{c}" for c in rest)
+        moved = ", ".join(f"{c} - b_{c} * (x{i} - m) AS {c}" for c in rest)
+        steps.append(f"r{i + 1} AS MATERIALIZED (SELECT {key}, tr, y0, {moved} FROM r{i}, (SELECT {slopes}, AVG(x{i}) FILTER (WHERE tr) AS m FROM r{i}) AS f{i})")
+    return "WITH " + ", ".join(steps) + (
+        f" SELECT {key}, y0 AS {y}, ROUND(y0 - y + m, 6) AS predicted FROM r{k}, (SELECT AVG(y) FILTER (WHERE tr) AS m FROM r{k}) AS f WHERE NOT tr")
+
+
+ALL_ORDERS_SQL = ORDER_MODEL_SQL.replace("(SELECT ", "(SELECT o_orderkey, o_orderdate, ", 1).replace(" WHERE o_orderdate < TIMESTAMP '2000-01-01'", "")
+
+
+@query("i3_predict_test", predictions_sql(
+    "o_orderkey", "price", ["p2", "p3", "p4", "p5", "yr", "yr * yr", "closed", "month", "closed * month"], ALL_ORDERS_SQL, "o_orderdate < TIMESTAMP '2000-01-01'"))
 def _(t):
     rows, terms, early = order_model(t)
     beta = reg.coefficients(rows.filter(early), "price", terms)
@@ -244,9 +262,19 @@ def _(t):
     return rounded(ex.bh_adjust(rows, "p", tie=["p_partkey"]), 9, "p_adjusted").drop("p")
 
 
-@query("i15_many_outcomes")
+# Two-sided normal tail by the series of the distribution function; the terms are powers over double factorials.
+TAIL_SQL = """2 * (0.5 - exp(-z * z / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 200), lambda k:
+  CASE WHEN z = 0 THEN 0 ELSE exp((2 * k + 1) * ln(abs(z)) - lgamma(2 * k + 2) + k * ln(2) + lgamma(k + 1)) END)))"""
+OUTCOMES = ("spend", "converted", "n_orders", "pre_spend", "baseline")
+
+
+@query("i15_many_outcomes", over_users("SELECT outcome, ROUND(effect, 6) AS effect, ROUND(std_error, 6) AS std_error, ROUND(z, 6) AS z, ROUND(p, 9) AS p_value, ROUND(least(1, MIN(raw) OVER (ORDER BY rk DESC)), 9) AS p_adjusted, least(1, MIN(raw) OVER (ORDER BY rk DESC)) <= 0.05 AS significant FROM r", "e AS (" + " UNION ALL ".join(
+    f"SELECT '{y}' AS outcome, AVG({y}) FILTER (WHERE treat = 1) - AVG({y}) FILTER (WHERE treat = 0) AS effect, sqrt(var_samp({y}) FILTER (WHERE treat = 1) / COUNT({y}) FILTER (WHERE treat = 1) + var_samp({y}) FILTER (WHERE treat = 0) / COUNT({y}) FILTER (WHERE treat = 0)) AS std_error FROM users" for y in OUTCOMES)
+    + ")", "zs AS (SELECT *, effect / std_error AS z FROM e)", f"ps AS (SELECT *, {TAIL_SQL} AS p FROM zs)",
+    "r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY p, outcome) AS rk, p * COUNT(*) OVER () / ROW_NUMBER() OVER (ORDER BY p, outcome) AS raw FROM ps)"))
 def _(t):
-    return ex.many_outcomes(views.users(t), "treat", ["spend", "converted", "n_orders", "pre_spend", "baseline"])
+    out = ex.many_outcomes(views.users(t), "treat", list(OUTCOMES))
+    return rounded(rounded(out, 6, "effect", "std_error", "z"), 9, "p_value", "p_adjusted")
 
 
 @query("i16_cluster_exposure", over_users("""SELECT user_id, ROUND(AVG(treat) OVER w, 9) AS share_treated, ROUND((SUM(treat) OVER w - treat) / (COUNT(*) OVER w - 1), 9) AS share_others
@@ -388,6 +416,14 @@ def _(t):
     return grid.select("spec", F.round("estimate", 6).alias("estimate"))
 
 
+@query("i35_bandwidth_grid", over_users(f"""SELECT h::DOUBLE AS bandwidth, 'none' AS spec, COUNT(*) AS n, ROUND(regr_slope(spend, treat), 6) AS estimate FROM users, (SELECT unnest([1.0, 2.0, 4.0, 8.0]) AS h) WHERE abs(baseline - 4) <= h GROUP BY h
+UNION ALL SELECT h::DOUBLE, 'baseline', COUNT(*), ROUND({two_regressors('spend', 'treat', 'baseline')}, 6) FROM users, (SELECT unnest([1.0, 2.0, 4.0, 8.0]) AS h) WHERE abs(baseline - 4) <= h GROUP BY h"""))
+def _(t):
+    windows = reg.within_bandwidths(views.users(t), "baseline", 4.0, [1, 2, 4, 8])
+    grid = reg.specification_grid(windows, "spend", "treat", {"baseline": F.col("baseline")}, {"none": [], "baseline": ["baseline"]}, by=["bandwidth"])
+    return grid.select("bandwidth", "spec", "n", F.round("estimate", 6).alias("estimate"))
+
+
 @query("i35_grid_with_adjustment")
 def _(t):
     controls = {"baseline": F.col("baseline"), "pre_spend": F.col("pre_spend")}

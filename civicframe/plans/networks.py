@@ -53,7 +53,22 @@ def _(t):
     return gr.degree_distribution(trade_graph(t))
 
 
-@query("l4_betweenness")
+def betweenness_sql(k: int, depth: int) -> str:
+    """Breadth-first levels with path counts, then dependencies level by level; depth exceeds any distance in the graph."""
+    out = [f"WITH {GRAPH}, links2 AS MATERIALIZED (SELECT * FROM edges), l0 AS MATERIALIZED (SELECT id AS s, id AS v, 1.0::DOUBLE AS sigma FROM nodes ORDER BY {sql_hash48('betweenness', 'id')}, id LIMIT {k})"]
+    for d in range(depth):
+        known = f"SELECT s, v FROM l{d}" + (f" UNION ALL SELECT s, v FROM l{d - 1}" if d else "")
+        out.append(f"l{d + 1} AS MATERIALIZED (SELECT n.* FROM (SELECT s, dst AS v, SUM(sigma) AS sigma FROM l{d} JOIN links2 ON src = v GROUP BY 1, 2) AS n ANTI JOIN ({known}) AS o USING (s, v))")
+    out.append(f"b{depth} AS (SELECT *, 0.0::DOUBLE AS delta FROM l{depth})")
+    for d in range(depth, 0, -1):
+        out.append(f"b{d - 1} AS MATERIALIZED (SELECT e.s, e.v, sigma, sigma * COALESCE(share, 0) AS delta FROM l{d - 1} AS e LEFT JOIN "
+                   f"(SELECT s, src AS v, SUM((1 + delta) / sigma) AS share FROM b{d} JOIN links2 ON dst = v GROUP BY 1, 2) AS o USING (s, v))")
+    every = " UNION ALL ".join(f"SELECT v, delta FROM b{d} WHERE s <> v" for d in range(1, depth + 1))
+    return ", ".join(out) + f""", t AS (SELECT v AS id, SUM(delta) AS delta FROM ({every}) GROUP BY v), c AS (SELECT COUNT(*) AS n, (SELECT COUNT(*) FROM l0) AS k FROM nodes)
+SELECT id, ROUND(COALESCE(delta, 0) * (n::DOUBLE / k / ((n - 1.0) * (n - 2.0))), 9) AS betweenness FROM nodes LEFT JOIN t USING (id), c"""
+
+
+@query("l4_betweenness", betweenness_sql(200, 8))
 def _(t):
     return gr.betweenness(trade_graph(t), k=200).withColumn("betweenness", F.round("betweenness", 9))
 

@@ -54,13 +54,17 @@ def drift_alerts(events: DataFrame, ts: str, level: str, baseline: DataFrame, li
     return joined.withColumn("difference", F.col("share") - F.col("baseline_share")).filter(F.abs("difference") > limit)
 
 
-def first_seen(events: DataFrame, key: str, ts: str, seed: str, within: str = "40 days") -> DataFrame:
-    """Each unit once, with its arm, when it is first seen inside the watermark."""
+def first_seen(events: DataFrame, key: str, ts: str, seed: str, within: str | None = None) -> DataFrame:
+    """Each unit once, with its arm, when it is first seen.
+
+    A stream remembers every unit that it has seen; keep that state in RocksDB when there are many. ``within`` bounds it: a
+    unit may then come again after that time.
+    """
     once = events.select(key, ts)
-    if events.isStreaming:
+    if within is not None and events.isStreaming:
         once = once.withWatermark(ts, within).dropDuplicatesWithinWatermark([key])
     else:
-        once = once.dropDuplicates([key])
+        once = once.select(key).dropDuplicates([key])
     return once.select(key, arm(key, seed).alias("treat"))
 
 
