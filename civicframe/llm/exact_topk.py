@@ -22,6 +22,8 @@ from civicframe.session import materialise
 BINS = 256
 VECTORS_PER_BLOCK, QUERIES_PER_BLOCK = 4_096, 1_024
 SCALE = 256
+#: Query blocks whose histograms, and queries whose ties, a task holds before it sends them.
+HELD_BLOCKS, HELD_QUERIES = 32, 50_000
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -82,12 +84,22 @@ def _pairs(queries: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def _histograms(pairs: DataFrame) -> DataFrame:
-    """(qb, place, bin, n): of each query's scores in its range, summed over the batches of a task before they leave it."""
+    """(qb, place, bin, n): of each query's scores in its range, summed over the pairs that a task holds before they leave it."""
 
     def run(batches):
         from collections import defaultdict
 
         counts = defaultdict(lambda: 0)
+
+        def flushed():
+            for qb, n in counts.items():
+                at = np.flatnonzero(n)
+                at = at[at % (BINS + 1) < BINS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), qb)), pa.array((at // (BINS + 1)).astype(np.int32)), pa.array((at % (BINS + 1)).astype(np.int32)),
+                     pa.array(n[at].astype(np.int64))], names=["qb", "place", "bin", "n"])
+            counts.clear()
+
         for batch in batches:
             for block in batch.to_pylist():
                 _, qrows, q = _matrix(block, "q")
@@ -96,13 +108,10 @@ def _histograms(pairs: DataFrame) -> DataFrame:
                 bins = (_scores(q, x) - low[:, None]) // width[:, None]
                 bins[(bins < 0) | (bins >= BINS) | (qrows[:, None] == xrows[None])] = BINS
                 bins += np.arange(len(q))[:, None] * (BINS + 1)
+                if block["qb"] not in counts and len(counts) >= HELD_BLOCKS:
+                    yield from flushed()
                 counts[block["qb"]] = counts[block["qb"]] + np.bincount(bins.ravel(), minlength=len(q) * (BINS + 1))
-        for qb, n in counts.items():
-            at = np.flatnonzero(n)
-            at = at[at % (BINS + 1) < BINS]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), qb)), pa.array((at // (BINS + 1)).astype(np.int32)), pa.array((at % (BINS + 1)).astype(np.int32)),
-                 pa.array(n[at].astype(np.int64))], names=["qb", "place", "bin", "n"])
+        yield from flushed()
 
     found = pairs.mapInArrow(run, "qb bigint, place int, bin int, n bigint")
     return found.groupBy("qb", "place", "bin").agg(F.sum("n").alias("n"))
@@ -128,6 +137,11 @@ def _kept(pairs: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         ties: dict = {}
+
+        def tied():
+            flat = [(row, qid, vid, vrow, kth) for (row, qid, kth), found in ties.items() for vid, vrow in found]
+            return _rows(*np.array(flat, np.int64).reshape(-1, 5).T)
+
         for batch in batches:
             for block in batch.to_pylist():
                 qids, qrows, q = _matrix(block, "q")
@@ -142,13 +156,18 @@ def _kept(pairs: DataFrame, k: int) -> DataFrame:
                 equal &= np.cumsum(equal, axis=1) <= k
                 i, j = np.nonzero(equal)
                 j = order[j]
+                touched = set()
                 for a, b in zip(i.tolist(), j.tolist(), strict=True):
-                    ties.setdefault((int(qrows[a]), int(qids[a]), int(kth[a])), []).append((int(xids[b]), int(xrows[b])))
-                for key, found in ties.items():
-                    if len(found) > k:
-                        ties[key] = sorted(found)[:k]
-        flat = np.array([(row, qid, vid, vrow, kth) for (row, qid, kth), found in ties.items() for vid, vrow in found], np.int64).reshape(-1, 5)
-        yield _rows(*flat.T)
+                    key = (int(qrows[a]), int(qids[a]), int(kth[a]))
+                    touched.add(key)
+                    ties.setdefault(key, []).append((int(xids[b]), int(xrows[b])))
+                for key in touched:
+                    if len(ties[key]) > k:
+                        ties[key] = sorted(ties[key])[:k]
+                if len(ties) >= HELD_QUERIES:
+                    yield tied()
+                    ties.clear()
+        yield tied()
 
     return pairs.mapInArrow(run, "row bigint, id bigint, vec_id bigint, vec_row bigint, score bigint")
 

@@ -36,10 +36,16 @@ def vectors(n, dims, seed):
 @pytest.mark.parametrize("k", [1, 5, 400])
 def test_brute_force(spark, monkeypatch, k):
     monkeypatch.setattr(exact_topk, "VECTORS_PER_BLOCK", 40)
-    monkeypatch.setattr(exact_topk, "QUERIES_PER_BLOCK", 3)
+    monkeypatch.setattr(exact_topk, "QUERIES_PER_BLOCK", 2)
     check(spark, vectors(300, 8, 1), k)
 
 
+def test_tasks_that_hold_little(spark, monkeypatch):
+    for name, value in (("VECTORS_PER_BLOCK", 40), ("QUERIES_PER_BLOCK", 2), ("HELD_BLOCKS", 1), ("HELD_QUERIES", 1)):
+        monkeypatch.setattr(exact_topk, name, value)
+    check(spark, vectors(300, 8, 3) + [(400 + i, [0.5] * 8) for i in range(60)])
+
+
 def test_ties_repeats_and_bad_vectors(spark, monkeypatch):
     monkeypatch.setattr(exact_topk, "VECTORS_PER_BLOCK", 16)
     rows = vectors(60, 4, 2) + [(100 + i, [0.5, 0.25, 0.0, 0.125]) for i in range(120)]
