@@ -42,15 +42,11 @@ def _numbered(rows: DataFrame, by: str) -> DataFrame:
     """0-based ``place`` of each row in the order of ``by``, null last: slices are sorted, then offset by the counts before."""
     sliced = materialise(rows.repartitionByRange(F.asc_nulls_last(by)).withColumn("slice", F.spark_partition_id()))
     inside = F.row_number().over(Window.partitionBy("slice").orderBy(F.asc_nulls_last(by))) - 1
-    counts = {r[0]: r[1] for r in sliced.groupBy("slice").count().collect()}  # one number per shuffle partition
-    before, total = [], 0
-    for k in sorted(counts):
-        before.append((k, total))
-        total += counts[k]
-    if not before:
-        return sliced.select(*rows.columns, F.lit(0).cast("bigint").alias("place"))
-    offset = F.create_map(*[F.lit(x) for pair in before for x in pair])
-    return sliced.select(*rows.columns, (inside + offset[F.col("slice")]).cast("bigint").alias("place"))
+    sizes = sliced.groupBy("slice").count()
+    earlier = Window.partitionBy().orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per shuffle partition
+    offsets = sizes.select("slice", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+    placed = sliced.withColumn("inside", inside).join(offsets, "slice")
+    return placed.select(*rows.columns, (F.col("inside") + F.col("before")).cast("bigint").alias("place"))
 
 
 def pareto_key(uniform: Column, inclusion: Column) -> Column:
