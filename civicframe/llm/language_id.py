@@ -105,8 +105,10 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def windows(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The text's bytes in rows of WINDOW, the last one filled with zeros, and the number of bytes in each."""
+def windows(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the lower-cased text after a blank, which marks the first word's begin, in rows of WINDOW, the last one
+    filled with zeros; and the number of bytes in each."""
+    data = b" " + text.lower().encode("utf-8", "replace")
     n = -(-len(data) // WINDOW)
     x = np.zeros(n * WINDOW, np.uint8)
     x[:len(data)] = np.frombuffer(data, np.uint8)
@@ -122,7 +124,7 @@ def _sample_windows(sample: DataFrame) -> DataFrame:
         def step(batch):
             found = []
             for text in texts_of(batch["text"]):
-                x, _ = windows(text.encode("utf-8", "replace"))
+                x, _ = windows(text)
                 found.append(x[np.unique(np.linspace(0, len(x) - 1, SAMPLE_WINDOWS).astype(int))].tobytes())
             return {"lang": batch["lang"], "doc_id": batch["doc_id"], "x": found}
 
@@ -212,7 +214,7 @@ def _judged(texts: pa.Array, predict, languages: list[str], rows: int = 512) ->
 
     for i, text in enumerate(texts_of(texts)):
         if text and any(map(str.isalpha, text)):
-            x, n = windows(text.encode("utf-8", "replace"))
+            x, n = windows(text)
             length[i] = n.sum()
             for at in range(0, len(x), rows):
                 held.append(x[at:at + rows])
