@@ -41,29 +41,18 @@ def _design(df: DataFrame, y: str | Column, terms: Terms, keep: Sequence[str]) -
     return wide.na.drop(subset=[f"x{i}" for i in range(len(cols))] + ["y"])
 
 
-STABLE_COLUMNS = 4
-
-
 def moments(df: DataFrame, y: str | Column, terms: Terms, by: Sequence[str] = ()) -> DataFrame:
     """Per group: n, means, and centred cross products (upper triangle) of the terms and y.
 
-    Small models use covariances, which merge without cancellation. With many terms plain sums of
-    products keep the generated code small; centre a term whose mean dwarfs its spread.
+    The products are covariances, which merge without cancellation, so columns may have any offset.
     """
     rows = _design(df, y, terms, by)
     names = [f"x{i}" for i in range(len(terms))] + ["y"]
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
     means = [F.avg(c).alias(f"m_{c}") for c in names]
-    n = F.count(F.lit(1)).alias("n")
-    if len(names) <= STABLE_COLUMNS:
-        wide = rows.groupBy(*by).agg(n, *means, *[F.covar_pop(a, b).alias(f"{a}_{b}") for a, b in pairs])
-        cross = [F.col(f"{a}_{b}") for a, b in pairs]
-    else:
-        products = [F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for a, b in pairs]
-        wide = rows.groupBy(*by).agg(n, *means, *products)
-        cross = [F.col(f"{a}_{b}") / F.col("n") - F.col(f"m_{a}") * F.col(f"m_{b}") for a, b in pairs]
+    wide = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *means, *[F.covar_pop(a, b).alias(f"{a}_{b}") for a, b in pairs])
     packed = F.array(*[F.col(f"m_{c}") for c in names])
-    return wide.select(*by, "n", packed.alias("means"), F.array(*cross).alias("cross"))
+    return wide.select(*by, "n", packed.alias("means"), F.array(*[F.col(f"{a}_{b}") for a, b in pairs]).alias("cross"))
 
 
 def unpack(n: float, means: Sequence[float], cross: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:

@@ -112,3 +112,14 @@ def test_calibration_moves_towards_truth(data):
     rows = ex.regression_calibration(noisy, "out", "d", "x", "obs", F.col("id") % 5 == 0).filter("term = 'd'").collect()
     est = {r["model"]: r["estimate"] for r in rows}
     assert abs(est["true"] - 1.0) < 0.1 < abs(est["naive"] - 1.0)
+
+
+def test_large_offsets_do_not_cancel(spark):
+    """Five columns with offsets far above their spread, as times in seconds have."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 5))
+    y = x @ np.arange(1.0, 6.0) + 0.1 * rng.normal(size=400)
+    cols = [f"c{i}" for i in range(5)]
+    df = spark.createDataFrame([(*(1.7e9 + row).tolist(), float(1e9 + v)) for row, v in zip(x, y)], ", ".join(f"{c} double" for c in cols) + ", y double")
+    got = {r["term"]: r["estimate"] for r in reg.ols(df, "y", {c: F.col(c) for c in cols}).collect()}
+    assert [got[c] for c in cols] == pytest.approx([1, 2, 3, 4, 5], abs=0.05)
