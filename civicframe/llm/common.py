@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -158,5 +159,15 @@ class WordHashes:
         return hashes, np.diff(np.searchsorted(starts, ends))
 
 
+def reused(df: DataFrame) -> DataFrame:
+    """The frame, computed now and cached on the executors' disks for several readers.
+
+    Blocks of lost executors are computed again. The cache lasts until the caller clears it or the application ends.
+    """
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    kept.count()
+    return kept
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -14,7 +14,6 @@ those over a half window with very many rows are sliced by their own hash.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +28,7 @@ from civicframe.llm.common import (
     mixed,
     pick,
     powers,
+    reused,
     shuffle_partitions,
     texts_of,
 )
@@ -238,10 +238,14 @@ def _by_document(found: DataFrame) -> DataFrame:
 
 def repeated_windows(docs: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(keyed, found): the documents with their keys, and (id_hash, text_hash, starts) of windows of ``length``
-    words that also start elsewhere, in the same document or another. ``starts`` is a list of packed lists."""
+    words that also start elsewhere, in the same document or another. ``starts`` is a list of packed lists.
+
+    The repeated half windows are read twice and stay cached on the executors' disks until the caller clears the cache;
+    blocks of lost executors are computed again.
+    """
     keyed, parts = _keyed(docs, doc_id, text), shuffle_partitions(docs.sparkSession)
     slices = parts * SLICES
-    seeds = materialise(_repeated(_half_windows(keyed, length, slices), parts, CROWD))
+    seeds = reused(_repeated(_half_windows(keyed, length, slices), parts, CROWD))
     # Half windows that fill a good part of a slice: at most one for each slice, so their list is small.
     crowded = [r["text_hash"] for r in seeds.where("starts is null").orderBy(F.desc("n")).limit(slices).select("text_hash").collect()]
     with_seeds = keyed.join(_by_document(seeds).withColumnRenamed("starts", "seeds"), ["id_hash", "text_hash"])
