@@ -25,7 +25,7 @@ HEADLINE = (
     "i9_aa_test", "i23_autocorrelation", "i28_rolling_backtest", "j2_document_term_counts", "j4_tfidf",
     "k2_flag_counts", "k5_gold_evaluation", "l6_pagerank", "m5_points_in_polygons", "m8_rasterize",
     "n2_block_report", "n7_two_cutoffs", "t1_daily_monitor",
-    "j12_near_vectors", "j17_item_overlap", "l7_communities", "m9_components", "n3_comparison_vectors",
+    "j12_near_vectors", "j17_item_overlap", "n3_comparison_vectors",
 )
 SLOW = 20.0  # a query whose first run takes this many seconds is not repeated
 
