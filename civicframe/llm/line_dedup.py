@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import WORD_PATTERN, pick
+from civicframe.llm.common import WORD_PATTERN, pick, reused
 from civicframe.session import materialise
 
 LEADING = 3
@@ -45,7 +45,7 @@ def parse_lines(keyed: DataFrame) -> DataFrame:
 def instances(lines: DataFrame) -> DataFrame:
     """(exact, leaf) of the lines that are instances of their leaf's template, in leaves with several different lines."""
     leaves = lines.groupBy("leaf").agg(F.min("exact").alias("low"), F.max("exact").alias("high"))
-    several = materialise(leaves.where("low <> high").select("leaf"))
+    several = reused(leaves.where("low <> high").select("leaf"))
     different = materialise(lines.join(several, "leaf").groupBy("leaf", "exact").agg(
         F.any_value("fields").alias("fields"), F.any_value("n").alias("n")))
     size = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines"))
@@ -71,7 +71,7 @@ def recurring_lines(keyed: DataFrame) -> DataFrame:
                                                   F.coalesce("template", "exact").alias("key")).alias("template")))
     shared = known.groupBy("template").agg(
         F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
-    dropped = materialise(known.select("exact", "template").join(shared.select("template", "first"), "template").select("exact", "first"))
+    dropped = known.select("exact", "template").join(shared.select("template", "first"), "template").select("exact", "first")
     return lines.select("doc_id", "text_hash", "line", "exact").join(dropped, "exact").where(
         ~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "line")
 
