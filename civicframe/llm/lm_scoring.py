@@ -24,8 +24,9 @@ BUCKETS = 1 << 15
 CLASSES, OWN_CLASS = 128, 96
 SIDE, EMBEDDING, HIDDEN = 2, 16, 32
 SLOTS = 2 * SIDE
-#: Rounds over the corpus; in each, one word in MASK_EVERY is masked and learned, other ones in other rounds.
-ROUNDS, MASK_EVERY, BATCH, RATE = 4, 8, 512, 0.01
+#: In each round over the corpus one word in MASK_EVERY is masked and learned; after ROUNDS of them each word was, exactly once.
+MASK_EVERY, BATCH, RATE = 8, 512, 0.01
+ROUNDS = MASK_EVERY
 FIXED = 1 << 40
 MOST = 60.0  # a logit's exponential stays finite
 PAD = CLASSES

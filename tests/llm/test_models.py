@@ -112,6 +112,27 @@ def test_language_model_adds_up_and_prefers_the_corpus(spark, docs):
     assert lm_scoring.score_documents(awkward(spark, extra=True)).count() == awkward(spark).count()
 
 
+def test_every_word_is_learned_once_by_default(spark, docs, monkeypatch):
+    counts, keys = np.array([7, 0, 400, 1]), np.arange(4, dtype=np.uint64)
+    turns = []
+    monkeypatch.setattr(lm_scoring, "train_round", lambda docs, vocabulary, net, words, turn: turns.append(turn) or net)
+    lm_scoring.score_documents(docs.limit(5))
+    masked = np.concatenate([lm_scoring._masked(counts, keys, turn) for turn in turns])
+    assert sorted(masked.tolist()) == list(range(counts.sum()))
+
+
+def test_default_training_prefers_the_corpus(spark, docs):
+    import random
+    rng, rows = random.Random(5), [(r["doc_id"], r["text"]) for r in docs.collect()]
+    for key, text in rows[:200]:
+        words = text.split()
+        rng.shuffle(words)
+        rows.append((key + 10_000, " ".join(words)))
+    got = {r["doc_id"]: r for r in lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    longer = [k for k, _ in rows[:200] if got[k]["n_words"] > 50]
+    assert np.mean([got[k]["mean_log_prob"] > got[k + 10_000]["mean_log_prob"] for k in longer]) > 0.6
+
+
 def test_conditional_probabilities_of_the_network_sum_to_one():
     counts = np.random.default_rng(1).integers(0, 50, lm_scoring.BUCKETS)
     known = lm_scoring.Vocabulary.of(counts)
