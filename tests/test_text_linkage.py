@@ -191,6 +191,23 @@ def test_near_vectors_meet_few_others(spark):
     assert met < 0.05 * 40 * 2000 * 1999 / 2
 
 
+def test_cosine_pairs_lose_no_pair(spark):
+    """Thousands of pairs just above and just below the threshold, in one block and in several."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(12_000, 8))
+    x[1], x[3] = x[0], x[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, v array<double>")
+    close = np.triu(x @ x.T, 1) >= 0.9
+    want = {(a, b) for a, b in zip(*(a.tolist() for a in np.nonzero(close))) if a not in (1, 3) and b not in (1, 3)}
+    assert len(want) > 30_000
+    for rows in (16_384, 1_500):
+        found = textual.cosine_pairs(df, "id", "v", 0.9, rows_per_block=rows).collect()
+        assert len(found) == len(want) and {(r["id_a"], r["id_b"]) for r in found} == want
+        assert all(r["n_a"] == (3 if r["id_a"] == 0 else 1) and r["n_b"] == 1 for r in found)
+    assert textual.cosine_pairs(df.limit(0), "id", "v", 0.9).count() == 0
+
+
 def test_every_document_has_a_topic_row(spark):
     docs = spark.range(40).withColumnRenamed("id", "k")
     vectors = spark.range(30).select(F.col("id").alias("k"), F.array(F.col("id") % 3 * 1.0, F.col("id") % 2 * 1.0).alias("e"))
