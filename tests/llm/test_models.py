@@ -174,6 +174,25 @@ def test_toxicity_of_held_out_documents(spark, docs):
     assert np.mean(hits) > 0.85 and np.mean(false) < 0.01
 
 
+def test_toxicity_knows_rare_short_and_unspaced_terms(spark):
+    """Terms in 20 to 60 of 4,000 toxic documents are learned, however many other toxic labels there are."""
+    import random
+    rng, filler = random.Random(2), [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x" for i in range(400)]
+    glyphs = "天地人山水火木金土日月星云雨风花草鸟鱼虫"
+    rows = []
+    for i in range(4_000):
+        a, b = rng.choice(filler), rng.choice(filler)
+        word = "gnarl" if i % 200 == 0 else "zq" if i % 200 == 1 else "vile"
+        cjk = "".join(glyphs[(i * k + k) % 20] for k in (3, 7, 11))
+        rows.append((i, f"{cjk}坏蛋{cjk[::-1]}" if i % 66 == 5 else f"{a} {b} {word} {a}", 1))
+        rows.append((10_000 + i, f"{cjk}{cjk[::-1]}" if i % 66 == 5 else f"{a} {b} {a}", 0))
+    probes = ["wcax gnarl wdax", "wcax zq wdax", "火木坏蛋金土", "wcax wdax", "火木金土"]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(90_000 + i, t) for i, t in enumerate(probes)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(docs, labels).where("doc_id >= 90000").collect()}
+    assert [got[90_000 + i] for i in range(5)] == [1, 1, 1, 0, 0]
+
+
 def test_toxicity_of_awkward_rows(spark):
     rows = awkward(spark, ["you idiot"] * 12 + ["fine words"] * 12, extra=True)
     labels = spark.createDataFrame([(100 + i, 1, int(i < 12)) for i in range(24)] + [(None, 1, 1), (3, None, None)], "doc_id bigint, quality int, toxic int")
