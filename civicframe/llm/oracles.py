@@ -99,3 +99,53 @@ SELECT doc_id, size, source_size, target,
        CAST((whole + CASE WHEN coalesce(extra, FALSE) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM rows LEFT JOIN cut USING (doc_id)
 """
+
+
+def _product_codes(rounds: int = 6) -> str:
+    nearest = """
+a{k} AS MATERIALIZED (SELECT vec_id, label, p, x, min((d, e)) AS near FROM (
+         SELECT vec_id, label, parts.p, x, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+         FROM parts JOIN b{k} ON parts.p = b{k}.p) GROUP BY vec_id, label, p, x)"""
+    moved = """
+m{k} AS (SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS c FROM (
+         SELECT p, near[2] AS e, i, sum(x[i]) AS s, count(*) AS n FROM a{k}, range(1, len(x) + 1) r(i) GROUP BY ALL) GROUP BY p, e),
+b{next} AS MATERIALIZED (SELECT b{k}.p, b{k}.e, coalesce(m{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN m{k} USING (p, e))"""
+    steps = ",".join(nearest.format(k=k) + "," + moved.format(k=k, next=k + 1) for k in range(rounds))
+    return f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+parts AS MATERIALIZED (SELECT vec_id, label, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM kept, range(8) r(p)),
+b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts
+                    QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 16),{steps},{nearest.format(k=rounds)},
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', near[2]), '' ORDER BY p) AS code, CAST(sum(near[1]) AS BIGINT) AS error
+          FROM a{rounds} GROUP BY vec_id, label),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, books
+"""
+
+
+PRODUCT_CODES = _product_codes()
+
+RESAMPLING = r"""
+WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+raw AS (SELECT doc_id, 0 AS aimed, text FROM documents UNION ALL SELECT item_id, 1, text FROM benchmark),
+texts AS (SELECT doc_id, aimed, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM raw),
+words AS (SELECT doc_id, aimed, unnest(w) AS word FROM texts),
+bytes AS (SELECT word, list_transform(range(0, CAST(len(h) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) AS b
+          FROM (SELECT DISTINCT word, hex(encode(word)) AS h FROM words)),
+crcs AS (SELECT word, xor(list_reduce([4294967295] || b, lambda a, x: xor(a >> 8, t[CAST(xor(a, x) & 255 AS BIGINT) + 1])), 4294967295) % 10000 AS bucket
+         FROM bytes, t),
+found AS (SELECT doc_id, aimed, bucket, count(*) AS n FROM words JOIN crcs USING (word) GROUP BY ALL),
+counts AS (SELECT bucket, CAST(coalesce(sum(n) FILTER (aimed = 0), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (aimed = 1), 0) AS DOUBLE) AS t
+           FROM found GROUP BY bucket),
+totals AS (SELECT sum(s) AS ss, sum(t) AS tt FROM counts),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000)))) AS BIGINT) AS gain FROM counts, totals),
+weights AS (SELECT doc_id, CAST(sum(n * gain) AS BIGINT) AS weight FROM found JOIN gain USING (bucket) WHERE aimed = 0 GROUP BY doc_id),
+scored AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+                  (CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+           FROM texts LEFT JOIN weights USING (doc_id) WHERE aimed = 0),
+drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT scored.doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN drawn USING (doc_id)
+"""

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from civicframe.llm import (
     exact_topk,
+    importance_resampling,
     language_id,
     line_dedup,
     lm_scoring,
     mixing,
     oracles,
     packing,
+    product_codes,
     quality_rules,
     simhash_dedup,
     substring_dedup,
@@ -87,3 +89,15 @@ def op9_language_id(t: Tables) -> DataFrame:
 @register(oracles.MIXING)
 def op10_mixing(t: Tables) -> DataFrame:
     return mixing.plan_mix(t.documents).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register(oracles.PRODUCT_CODES)
+def op11_vector_compression(t: Tables) -> DataFrame:
+    codes, books = product_codes.compress(t.embeddings, parts=8, entries=16, rounds=6)
+    rows = product_codes.with_label_error(codes)
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(product_codes.digest(books)).alias("codebooks_sha256"))
+
+
+@register(oracles.RESAMPLING)
+def op13_importance_resampling(t: Tables) -> DataFrame:
+    return importance_resampling.resample(t.documents, t.benchmark, low=1, high=1, buckets=10_000, percent=10, least_words=20, seed="2024")
