@@ -149,3 +149,21 @@ scored AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight,
 drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
 SELECT scored.doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN drawn USING (doc_id)
 """
+
+SUFFIX_DEDUP = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunks AS (SELECT doc_id, c, substr(h, 1000 * c + 1, 1198) AS part FROM d, unnest(range(0, CAST(len(h) / 1000 AS BIGINT) + 1)) r(c)),
+starts AS (SELECT doc_id, 500 * c + i AS i, substr(part, 2 * i + 1, 200) AS string FROM chunks, unnest(range(0, 500)) r(i) WHERE 2 * i + 200 <= len(part)),
+ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5_number(string) ORDER BY doc_id, i) AS k FROM starts),
+later AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM ranked WHERE k > 1),
+spans AS (SELECT doc_id, min(i) AS low, max(i) + 100 AS high
+          FROM (SELECT *, sum(CASE WHEN before IS NULL OR i > before + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM later)
+          GROUP BY doc_id, span),
+edges AS (SELECT doc_id, low, high, lag(high, 1, 0) OVER (PARTITION BY doc_id ORDER BY low) AS after FROM spans),
+kept AS (SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last,
+                string_agg(substr(h, 2 * after + 1, 2 * (low - after)), '' ORDER BY low) AS parts
+         FROM edges JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(parts || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

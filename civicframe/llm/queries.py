@@ -21,6 +21,7 @@ from civicframe.llm import (
     quality_rules,
     simhash_dedup,
     substring_dedup,
+    suffix_dedup,
     toxicity,
 )
 from civicframe.sources.tables import Tables
@@ -98,6 +99,12 @@ def op11_vector_compression(t: Tables) -> DataFrame:
     return rows.select("vec_id", "code", "error", "label_error", F.lit(product_codes.digest(books)).alias("codebooks_sha256"))
 
 
+@register(oracles.SUFFIX_DEDUP)
+def op12_suffix_array_dedup(t: Tables) -> DataFrame:
+    rows = suffix_dedup.remove_copies(t.documents, length=100)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register(oracles.RESAMPLING)
 def op13_importance_resampling(t: Tables) -> DataFrame:
     return importance_resampling.resample(t.documents, t.benchmark, low=1, high=1, buckets=10_000, percent=10, least_words=20, seed="2024")
