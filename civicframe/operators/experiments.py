@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from civicframe.functions.distributions import normal_quantile, normal_two_sided
+from civicframe.functions.division import float_divide
 from civicframe.functions.hashing import hash48, hash48_second, hash_normal, hash_unit, replicate_hash
 from civicframe.operators import regression as reg
+from civicframe.operators import replicates as rep
 from civicframe.operators import scalable
+from civicframe.session import materialise
 
 
 # ---------------------------------------------------------------- assignment
@@ -59,14 +64,14 @@ def smd(df: DataFrame, treat: str, covariates: Sequence[str]) -> DataFrame:
     rows = ate(df, treat, covariates)
     pooled = F.sqrt((F.col("var1") + F.col("var0")) / 2)
     return rows.select(F.col("outcome").alias("covariate"), "mean1", "mean0",
-                       (F.col("effect") / pooled).alias("smd"))
+                       float_divide(F.col("effect"), pooled).alias("smd"))
 
 
 def subgroup_effects(df: DataFrame, treat: str, outcome: str, group: str) -> DataFrame:
     """Effect per subgroup with its share of the units."""
     rows = ate(df, treat, [outcome], [group])
     n = F.col("n1") + F.col("n0")
-    return rows.withColumn("weight", n / F.sum(n).over(W.partitionBy()))
+    return rows.withColumn("weight", F.try_divide(n, rows.agg(F.sum(n)).scalar()))
 
 
 def weighted_effect(groups: DataFrame) -> DataFrame:
@@ -81,7 +86,7 @@ def wald(df: DataFrame, instrument: str, takeup: str, outcome: str) -> DataFrame
     rows = ate(df, instrument, [outcome, takeup])
     itt = F.max(F.when(F.col("outcome") == outcome, F.col("effect")))
     first = F.max(F.when(F.col("outcome") == takeup, F.col("effect")))
-    return rows.agg(itt.alias("itt"), first.alias("first_stage"), (itt / first).alias("tot"))
+    return rows.agg(itt.alias("itt"), first.alias("first_stage"), float_divide(itt, first).alias("tot"))
 
 
 def two_stage(df: DataFrame, instrument: str, takeup: str, outcome: str, controls: reg.Terms) -> DataFrame:
@@ -136,7 +141,7 @@ def bh_adjust(df: DataFrame, p: str, out: str = "p_adjusted", tie: Sequence[str]
 
 
 def many_outcomes(df: DataFrame, treat: str, outcomes: Sequence[str], q: float = 0.05) -> DataFrame:
-    rows = ate(df, treat, outcomes).withColumn("z", F.col("effect") / F.col("std_error"))
+    rows = ate(df, treat, outcomes).withColumn("z", float_divide(F.col("effect"), F.col("std_error")))
     slim = rows.select("outcome", "effect", "std_error", "z")
     adjusted = bh_adjust(with_p_values(slim, "z"), "p_value", tie=["outcome"])
     return adjusted.withColumn("significant", F.col("p_adjusted") <= q)
@@ -155,14 +160,41 @@ def replicates(df: DataFrame, key: str, reps: int, seed: str) -> DataFrame:
     return spread.withColumn("__h", hashed).drop("__h1", "__h2")
 
 
+def _blocks(df: DataFrame, within: Sequence[str], take: Column, reps: int):
+    """(rows with ``__block``, rows to take and size of each block); None if the cuts are more than the driver should hold."""
+    counts = df.groupBy(*within).agg(take.cast("bigint").alias("__take"), F.count(F.lit(1)).alias("__n"))
+    if not within:
+        r = counts.first()
+        return df.withColumn("__block", F.lit(0)), np.array([r["__take"] or 0]), np.array([r["__n"]])
+    most = rep.MOST_CUTS // reps
+    counts = materialise(counts)
+    if counts.count() > most:
+        return None
+    order = W.partitionBy().orderBy(*within)  # at most MOST_CUTS rows
+    numbered = materialise(counts.withColumn("__block", F.row_number().over(order) - 1))
+    found = sorted((r["__block"], r["__take"] or 0, r["__n"]) for r in numbered.collect())
+    rows = scalable.null_safe_join(df, numbered.drop("__take", "__n"), list(within))
+    return rows, np.array([f[1] for f in found], np.int64), np.array([f[2] for f in found], np.int64)
+
+
+def _difference(drawn: DataFrame, n: int, total: float, out: str) -> DataFrame:
+    """Mean of the drawn rows less that of the others, from the count and the sum of each."""
+    n1, s1 = F.col("s")[0], F.col("s")[1]
+    return drawn.select("rep", (F.try_divide(s1, n1) - F.try_divide(F.lit(total) - s1, F.lit(float(n)) - n1)).alias(out))
+
+
 def aa_test(df: DataFrame, key: str, outcome: str, reps: int, seed: str) -> DataFrame:
-    """Effect of ``reps`` random half splits: exactly floor(n / 2) units in the first half of each."""
-    slim = df.select(key, outcome)
-    spread = replicates(slim, key, reps, seed)
-    flagged = scalable.flag_lowest_by_hash(
-        spread, "__h", F.floor(F.col("group_n") / 2), "aa", ["rep"], [key], buckets=scalable.hash_buckets(slim.count()))
-    arms = flagged.withColumn("aa", F.col("aa").cast("int"))
-    return ate(arms, "aa", [outcome], ["rep"]).select("rep", F.col("effect").alias("aa_effect"))
+    """Effect of ``reps`` random half splits: exactly floor(n / 2) units in the first half of each.
+
+    The table is read a few times in all; no row is copied for a replicate.
+    """
+    y = F.col(outcome).cast("double")
+    n_all, n, mean = df.agg(F.count(F.lit(1)), F.count(y), F.avg(y)).first()
+    kept = F.coalesce(y - F.lit(mean or 0.0), F.lit(0.0))
+    total = df.agg(F.sum(kept)).first()[0] or 0.0
+    rows = rep.prepared(df, key, seed, [y.isNotNull(), kept])
+    drawn = rep.sums_of_lowest(rows, np.array([n_all // 2]), np.array([n_all]), reps, 2)
+    return _difference(drawn, n, total, "aa_effect")
 
 
 def permutations(df: DataFrame, key: str, treat: str, reps: int, seed: str, within: Sequence[str] = ()) -> DataFrame:
@@ -181,8 +213,38 @@ def permutations(df: DataFrame, key: str, treat: str, reps: int, seed: str, with
 
 
 def permutation_effects(df, key, y, treat, reps, seed, within=(), controls: Sequence[str] = ()) -> DataFrame:
-    """Null distribution of the effect: difference in means, or the coefficient next to controls."""
+    """Null distribution of the effect: difference in means, or the coefficient next to controls.
+
+    The treated of each replicate only add to its sums; what does not depend on them is summed once. With so many
+    blocks that their cuts exceed ``replicates.MOST_CUTS``, rows are expanded instead (:func:`permutations`).
+    """
     slim = df.select(key, y, treat, *within, *[c for c in controls if c not in within])
+    placed = _blocks(slim, within, F.sum(treat), reps)
+    if placed is None:
+        return _expanded_effects(slim, key, y, treat, reps, seed, within, controls)
+    rows, take, sizes = placed
+    names = [*controls, y]
+    whole = reg.moments(slim, y, {c: F.col(c) for c in controls}).first()
+    n, means = whole["n"], whole["means"]
+    valid = F.lit(True)
+    for c in names:
+        valid = valid & F.col(c).isNotNull()
+    centred = [F.when(valid, F.col(c).cast("double") - F.lit(m)).otherwise(0.0) for c, m in zip(names, means, strict=True)]
+    drawn = rep.sums_of_lowest(rep.prepared(rows, key, seed, [valid, *centred], F.col("__block")), take, sizes, reps, 1 + len(names))
+    if not controls:
+        return _difference(drawn, n, 0.0, "tau")
+    if not n:
+        return drawn.select("rep", F.lit(None).cast("double").alias("tau"))
+    share = F.col("s")[0] / F.lit(float(n))
+    # Covariances of the drawn treatment with the centred columns; those among the columns are the same in all replicates.
+    own = [share * (1 - share), *[F.col("s")[i + 1] / F.lit(float(n)) for i in range(len(names))]]
+    grams = drawn.select("rep", F.lit(n).alias("n"), F.array(share, *[F.lit(m) for m in means]).alias("means"),
+                         F.array(*own, *[F.lit(c) for c in whole["cross"]]).alias("cross"))
+    fits = reg.solve_moments(grams, ["d_perm", *controls], ["rep"])
+    return fits.filter("term = 'd_perm'").select("rep", F.col("estimate").alias("tau"))
+
+
+def _expanded_effects(slim, key, y, treat, reps, seed, within, controls) -> DataFrame:
     perms = permutations(slim, key, treat, reps, seed, within)
     if not controls:
         return ate(perms, "d_perm", [y], ["rep"]).select("rep", F.col("effect").alias("tau"))
@@ -192,12 +254,17 @@ def permutation_effects(df, key, y, treat, reps, seed, within=(), controls: Sequ
 
 
 def permutation_test(df, key, y, treat, reps, seed, within=(), controls: Sequence[str] = ()) -> DataFrame:
-    """Observed effect and the empirical two-sided p-value (1 + #extreme) / (B + 1)."""
+    """Observed effect and the empirical two-sided p-value (1 + #extreme) / (B + 1).
+
+    Without rows, or without an observed effect, there is nothing to test: the effect and the p-value are null.
+    """
     if controls:
         terms = {treat: F.col(treat), **{c: F.col(c) for c in controls}}
         observed = reg.coefficients(df, y, terms)[treat]
     else:
         observed = ate(df, treat, [y]).first()["effect"]
+    if observed is None or observed != observed:
+        return df.sparkSession.createDataFrame([(None, 0, None)], "tau_hat double, n_permutations bigint, p_value double")
     null = permutation_effects(df, key, y, treat, reps, seed, within, controls)
     extreme = F.count_if(F.abs("tau") >= F.lit(abs(observed)))
     return null.agg(
@@ -223,21 +290,18 @@ POISSON_ONE = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.98
                0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253)
 
 
+def _poisson(numbers: np.ndarray) -> np.ndarray:
+    return np.searchsorted(np.array(POISSON_ONE), numbers / float(1 << 48), side="right")
+
+
 def bootstrap_moments(df: DataFrame, key: str, x: str, y: str, reps: int, seed: str) -> DataFrame:
-    """Poisson bootstrap of a simple regression: the same result on every run and partitioning."""
-    spread = replicates(df.select(key, x, y), key, reps, seed)
-    u = F.col("__h") / F.lit(float(1 << 48))
-    w = F.lit(0)
-    for cut in POISSON_ONE:
-        w = w + (u >= cut).cast("int")
-    rows = spread.withColumn("w", w.cast("double")).filter("w > 0")
-    wx = F.col("w") * F.col(x)
-    sums = rows.groupBy("rep").agg(
-        F.sum("w").alias("sw"), F.sum(wx).alias("sx"), F.sum(F.col("w") * F.col(y)).alias("sy"),
-        F.sum(wx * F.col(x)).alias("sxx"), F.sum(wx * F.col(y)).alias("sxy"))
-    slope = (F.col("sw") * F.col("sxy") - F.col("sx") * F.col("sy")) / (
-        F.col("sw") * F.col("sxx") - F.col("sx") * F.col("sx"))
-    return sums.select("rep", F.col("sw").alias("n"), slope.alias("slope"))
+    """Poisson bootstrap of a simple regression over the rows with both values: the same result on every run and partitioning."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    both = df.where(a.isNotNull() & b.isNotNull())
+    rows = rep.prepared(both, key, seed, [F.lit(1.0), a, b, a * a, a * b])
+    sums = rep.weighted_sums(rows, reps, 5, _poisson)
+    sw, sx, sy, sxx, sxy = (F.col("s")[i] for i in range(5))
+    return sums.select("rep", sw.alias("n"), F.try_divide(sw * sxy - sx * sy, sw * sxx - sx * sx).alias("slope"))
 
 
 # ---------------------------------------------------------------- measurement error
@@ -255,12 +319,47 @@ def regression_calibration(df: DataFrame, y: str, d: str, x_true: str, x_obs: st
 
 
 def noise_sweep(df: DataFrame, key: str, y: str, d: str, x: str, sigmas: Sequence[float], reps: int, seed: str):
-    """Refit under added noise for every (sigma, replicate); mean and 2.5 / 97.5 percent quantiles."""
-    slim = df.select(key, y, d, x)
-    grid = F.explode(F.array(*[F.lit(float(s)) for s in sigmas]))
-    spread = slim.withColumn("sigma", grid).withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps))))
-    noisy = spread.withColumn("x_obs", F.col(x) + F.col("sigma") * hash_normal(seed, "rep", key))
-    fits = reg.ols(noisy, y, {d: F.col(d), "x_obs": F.col("x_obs")}, ["sigma", "rep"]).filter(F.col("term") == d)
+    """Refit under added noise for every (sigma, replicate); mean and 2.5 / 97.5 percent quantiles.
+
+    A row's noise for all replicates is an array beside it. Its products with the centred columns are summed once for each
+    replicate, and as the noise enters scaled by sigma, the moments of every sigma follow from those sums.
+    """
+    whole = reg.moments(df, y, {d: F.col(d), x: F.col(x)}).first()
+    n, means = whole["n"], whole["means"]
+    columns = [F.col(c).cast("double") - F.lit(m) for c, m in zip((d, x, y), means, strict=True)]
+    present = df.where(" and ".join(f"`{c}` is not null" for c in (y, d, x)))
+    noise = F.transform(F.sequence(F.lit(1), F.lit(reps)), lambda r: hash_normal(seed, r, F.col(key)))
+    rows = present.select(F.array(*columns).alias("z"), noise.alias("e"))
+
+    def run(batches):
+        sums, any_row = np.zeros((reps, 5)), False
+        for batch in batches:
+            if len(batch):
+                any_row = True
+                z = batch["z"].flatten().to_numpy().reshape(len(batch), 3)
+                e = batch["e"].flatten().to_numpy().reshape(len(batch), reps)
+                sums[:, :3] += e.T @ z
+                sums[:, 3] += e.sum(axis=0)
+                sums[:, 4] += (e * e).sum(axis=0)
+        if any_row:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(1, reps + 1, dtype=np.int32)), *[pa.array(sums[:, i]) for i in range(5)]],
+                names=["rep", "ed", "ex", "ey", "e", "ee"])
+
+    sent = rows.mapInArrow(run, "rep int, ed double, ex double, ey double, e double, ee double")
+    sums = sent.groupBy("rep").agg(*[F.sum(c).alias(c) for c in ("ed", "ex", "ey", "e", "ee")])
+    grid = sums.withColumn("sigma", F.explode(F.array(*[F.lit(float(s)) for s in sigmas])))
+    if not n:
+        return grid.select("sigma").groupBy("sigma").agg(F.count(F.lit(1)).alias("n_fits"), *[
+            F.max(F.lit(None).cast("double")).alias(c) for c in ("mean_estimate", "lo", "hi")])
+    s, size = F.col("sigma"), F.lit(float(n))
+    dd, dx, dy, xx, xy, yy = (F.lit(c) for c in whole["cross"])
+    mean_e = F.col("e") / size
+    cross = F.array(dd, dx + s * F.col("ed") / size, dy, xx + 2 * s * F.col("ex") / size + s * s * (F.col("ee") / size - mean_e * mean_e),
+                    xy + s * F.col("ey") / size, yy)
+    grams = grid.select("sigma", "rep", F.lit(n).alias("n"), F.array(F.lit(means[0]), F.lit(means[1]) + s * mean_e, F.lit(means[2])).alias("means"),
+                        cross.alias("cross"))
+    fits = reg.solve_moments(grams, [d, "x_obs"], ["sigma", "rep"]).filter(F.col("term") == d)
     # Fits are one row per (sigma, replicate): the quantiles see `reps` rows per group.
     return fits.groupBy("sigma").agg(
         F.count(F.lit(1)).alias("n_fits"), F.avg("estimate").alias("mean_estimate"),
@@ -312,7 +411,7 @@ def post_stratify(df: DataFrame, level: str, targets: Mapping[str, float], outco
 
 
 def agreement(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Percent agreement and Cohen's kappa from the cross table of two coders."""
+    """Percent agreement and Cohen's kappa from the cross table of two coders; kappa is NaN when only one class occurs."""
     table = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(
         F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     margins = table.select(
@@ -321,5 +420,5 @@ def agreement(df: DataFrame, a: str, b: str) -> DataFrame:
     chance = margins.groupBy("m.v").agg((F.sum("m.na") * F.sum("m.nb")).alias("prod")).agg(F.sum("prod").alias("chance"))
     same = table.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).alias("same"))
     joined = same.withColumn("__k", F.lit(1)).join(chance.withColumn("__k", F.lit(1)), "__k")
-    po, pe = F.col("same") / F.col("n"), F.col("chance") / (F.col("n") * F.col("n"))
-    return joined.select("n", po.alias("agreement"), ((po - pe) / (1 - pe)).alias("kappa"))
+    po, pe = F.try_divide("same", "n"), F.try_divide(F.col("chance"), F.col("n") * F.col("n"))
+    return joined.select("n", po.alias("agreement"), float_divide(po - pe, 1 - pe).alias("kappa"))

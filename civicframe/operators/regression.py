@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicframe.functions.distributions import normal_two_sided, student_two_sided
+from civicframe.functions.division import float_divide
 
 Terms = Mapping[str, Column]
 INTERCEPT = "Intercept"
@@ -105,6 +106,8 @@ def solve_moments(grams: DataFrame, terms: Sequence[str], by: Sequence[str] = ()
         for batch in batches:
             rows = []
             for rec in batch.to_dict("records"):
+                if not rec["n"]:  # no rows, no model
+                    continue
                 mean, m = unpack(rec["n"], rec["means"], rec["cross"])
                 beta, bread, s2, dof, r2 = solve_centred(rec["n"], mean, m)
                 key = tuple(rec[b] for b in by)
@@ -116,8 +119,10 @@ def solve_moments(grams: DataFrame, terms: Sequence[str], by: Sequence[str] = ()
 
 
 def coefficients(df: DataFrame, y: str | Column, terms: Terms) -> dict[str, float]:
-    """Coefficients of one model as numbers, to be used in expressions."""
+    """Coefficients of one model as numbers, to be used in expressions; not numbers when there are no rows."""
     row = moments(df, y, terms).first()
+    if not row["n"]:
+        return dict.fromkeys([INTERCEPT, *terms], float("nan"))
     mean, m = unpack(row["n"], row["means"], row["cross"])
     return dict(zip([INTERCEPT, *terms], map(float, solve_centred(row["n"], mean, m)[0])))
 
@@ -309,9 +314,10 @@ def ridge(df: DataFrame, y: str | Column, terms: Terms, alpha: float = 1.0) -> d
 
 
 def score_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    """RMSE, MAE and R squared; the squared errors are divided by n."""
+    """RMSE, MAE and R squared; the squared errors are divided by n. Where the actual values are all equal, R squared is
+    minus infinity, or not a number if they are also all predicted."""
     e = F.col(actual) - F.col(predicted)
     sums = df.groupBy(*by).agg(
         F.count(e).alias("n"), F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"),
         F.var_pop(F.when(e.isNotNull(), F.col(actual))).alias("__v"))
-    return sums.select(*by, "n", F.sqrt("mse").alias("rmse"), "mae", (1 - F.col("mse") / F.col("__v")).alias("r2"))
+    return sums.select(*by, "n", F.sqrt("mse").alias("rmse"), "mae", (1 - float_divide(F.col("mse"), F.col("__v"))).alias("r2"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from civicframe.functions.division import float_divide
 from civicframe.functions.hashing import hash48
 from civicframe.operators import scalable
 
@@ -69,7 +70,7 @@ def key_audit(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
         F.sum(F.when(F.col("k").isNull() & F.col("rk").isNull(), nl).otherwise(0)).alias("left_null_keys"),
         F.sum(F.when(F.col("k").isNotNull() & F.col("rk").isNull(), nl).otherwise(0)).alias("left_orphan_rows"),
         F.sum(F.when(F.col("rk").isNotNull() & F.col("k").isNull(), nr).otherwise(0)).alias("right_unused_rows"),
-    ).withColumn("fan_out", F.col("rows_joined") / F.col("rows_left"))
+    ).withColumn("fan_out", F.try_divide("rows_joined", "rows_left"))
 
 
 # ---------------------------------------------------------------- aggregation
@@ -89,9 +90,9 @@ def observed_rollup(df: DataFrame, by: Sequence[str], sums: Sequence[str], probe
 
 
 def share_of_total(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Group sum with its percentage of the overall sum; the window sees one row per group."""
+    """Group sum with its percentage of the overall sum, a scalar subquery; null where that sum is 0."""
     grouped = df.groupBy(*by).agg(F.sum(value).alias("total"))
-    return grouped.withColumn("percentage", F.col("total") * 100.0 / F.sum("total").over(W.partitionBy()))
+    return grouped.withColumn("percentage", F.try_divide(F.col("total") * 100.0, df.agg(F.sum(value)).scalar()))
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], at_least: int = 1) -> DataFrame:
@@ -116,9 +117,12 @@ def crosstab(df: DataFrame, rows: str, cols: str, levels: Sequence) -> DataFrame
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width counts between minimum and maximum; the last bin is closed; no empty bin lost.
 
-    The two bounds are read first, so the counting pass is one aggregation.
+    The two bounds are read first, so the counting pass is one aggregation. Without a value, all bins are empty and have no edge.
     """
     lo, hi = df.agg(F.min(col).cast("double"), F.max(col).cast("double")).first()
+    if lo is None:
+        return df.sparkSession.range(bins).select(
+            F.col("id").cast("int").alias("bin"), F.lit(None).cast("double").alias("left_edge"), F.lit(0).cast("bigint").alias("n"))
     width = (hi - lo) / bins or 1.0
     bin_id = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counts = df.filter(F.col(col).isNotNull()).groupBy(bin_id.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -221,9 +225,9 @@ def top_k_per_group(df: DataFrame, by: Sequence[str], order: Sequence, k: int) -
 
 
 def growth(df: DataFrame, by: Sequence[str], order: Sequence, value: str, k: int, out: str) -> DataFrame:
-    """value / value k rows earlier - 1."""
+    """value / value k rows earlier - 1; infinite after 0, not a number from 0 to 0."""
     prior = scalable.lagged(df, by, order, value, k, "__prior")
-    return prior.withColumn(out, F.col(value) / F.col("__prior") - 1).drop("__prior")
+    return prior.withColumn(out, float_divide(F.col(value), F.col("__prior")) - 1).drop("__prior")
 
 
 # ---------------------------------------------------------------- random selection and splits

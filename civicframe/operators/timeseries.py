@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicframe.functions.division import float_divide
 from civicframe.operators import regression as reg
 from civicframe.operators import scalable
 from civicframe.session import materialise_observed
@@ -23,7 +24,7 @@ def detrend(df: DataFrame, series: Sequence[str], t: str, y: str, out="residual"
 
 
 def autocorrelation(df: DataFrame, series: Sequence[str], t: str, y: str, lags: int, limit=None, chunk=None):
-    """ACF at lags 0..lags (mean of the whole series, divided by the full sum of squares)."""
+    """ACF at lags 0..lags (mean of the whole series, divided by the full sum of squares); NaN for a constant series."""
     means = df.groupBy(*series).agg(F.avg(y).alias("__m"))
     rows = scalable.null_safe_join(df, means, list(series)).withColumn("__d", F.col(y) - F.col("__m"))
     slim = rows.select(*series, t, "__d")
@@ -33,8 +34,8 @@ def autocorrelation(df: DataFrame, series: Sequence[str], t: str, y: str, lags:
 
     wide = scalable.over_near_rows(slim, list(series), [t], lags, make, limit, chunk)
     total = F.sum(F.col("__d") * F.col("__d"))
-    acf = [F.lit(1.0)] + [
-        F.coalesce(F.sum(F.col("__d") * F.col(f"__l{k}")), F.lit(0.0)) / total for k in range(1, lags + 1)]
+    acf = [float_divide(total, total)] + [
+        float_divide(F.coalesce(F.sum(F.col("__d") * F.col(f"__l{k}")), F.lit(0.0)), total) for k in range(1, lags + 1)]
     grouped = wide.groupBy(*series).agg(F.array(*acf).alias("acf"))
     return grouped.select(*series, F.posexplode("acf").alias("lag", "acf"))
 
