@@ -7,18 +7,21 @@ the shared folder each round; the plan never grows.
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from civicframe.functions.hashing import hash48
 from civicframe.operators import relational as rel
-from civicframe.session import materialise, materialise_observed
+from civicframe.session import Bucketed, materialise, materialise_observed, shuffle_width
 
 
 @dataclass(frozen=True)
@@ -78,6 +81,59 @@ def degree_distribution(g: Graph) -> DataFrame:
     return rel.value_counts(degrees(g), ["degree"])
 
 
+# ---------------------------------------------------------------- links, packed
+
+#: Links that one packed row holds; the links of a vertex with more are dealt into several rows.
+LINKS_PER_ROW = 4_096
+
+
+@dataclass(frozen=True)
+class Links:
+    """The out-links of each vertex, packed into rows (src, share, links).
+
+    ``near`` has share 0 of every vertex and is bucketed by ``src``, so a step moves the vertices' values but never the links.
+    ``far`` has the further shares of vertices with very many links (null if there are none), and ``hubs`` how many each of
+    them has; the value of a hub is copied to its shares, wherever they are, and the sums of all shares meet.
+    """
+
+    near: DataFrame
+    far: DataFrame | None
+    hubs: DataFrame | None
+
+    def beside(self, values: DataFrame) -> DataFrame:
+        """``values`` (id, ...) with the links of each vertex: columns of ``values`` and ``links``, one row for each share."""
+        values = values.withColumnRenamed("id", "src")
+        columns = [c for c in values.columns if c != "src"]
+        rows = self.near.join(values, "src").select(*columns, "links")
+        if self.far is None:
+            return rows
+        copies = values.join(self.hubs, "src").withColumn("share", F.explode(F.sequence(F.lit(1), F.col("shares") - 1)))
+        return rows.unionByName(self.far.join(copies, ["src", "share"]).select(*columns, "links"))
+
+    def pulled(self, values: DataFrame) -> DataFrame:
+        """(id, x) of vertices to (id, pulled): the sum of weight * x over the links that lead to a vertex."""
+        links = self.beside(values.select("id", "x")).select("x", F.explode("links").alias("l"))
+        return links.groupBy(F.col("l.dst").alias("id")).agg(F.sum(F.col("x") * F.col("l.w")).alias("pulled"))
+
+
+@contextlib.contextmanager
+def packed_links(edges: DataFrame, links_per_row: int = LINKS_PER_ROW) -> Iterator[Links]:
+    """Edges (src, dst, w) as :class:`Links`, to be used inside the block."""
+    counts = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > links_per_row)
+    hubs = materialise(counts.select("src", F.ceil(F.col("n") / links_per_row).cast("int").alias("shares")))
+    if hubs.isEmpty():
+        dealt, hubs = edges.withColumn("share", F.lit(0)), None
+    else:
+        share = F.pmod(F.xxhash64("dst"), F.coalesce("shares", F.lit(1))).cast("int")
+        dealt = edges.join(hubs, "src", "left").withColumn("share", share)
+    rows = dealt.groupBy("src", "share").agg(F.collect_list(F.struct("dst", "w")).alias("links"))
+    if hubs is not None:
+        rows = materialise(rows)
+    near = rows if hubs is None else rows.where("share = 0")
+    with Bucketed(near.drop("share"), "src") as bucketed:
+        yield Links(bucketed, None if hubs is None else rows.where("share > 0"), hubs)
+
+
 def pagerank(g: Graph, damping: float = 0.85, iterations: int | None = None, tol: float = 1e-10, relax: float = 0.75,
              steps_per_job: int = 4) -> DataFrame:
     """PageRank; the mass of vertices without out-links is spread evenly.
@@ -87,23 +143,23 @@ def pagerank(g: Graph, damping: float = 0.85, iterations: int | None = None, tol
     when the mean change of a step is at most ``tol / n``, or after ``iterations``. Several steps make one job.
     """
     out = g.edges.groupBy("src").agg(F.sum("w").alias("__out"))
-    links = materialise(g.edges.join(out, "src").select("src", "dst", (F.col("w") / F.col("__out")).alias("p")))
+    edges = g.edges.join(out, "src").select("src", "dst", (F.col("w") / F.col("__out")).alias("w"))
     n = g.vertices.count()
     base = (1 - damping) / n if n else 0.0
     ranks = g.vertices.select("id", F.lit(1.0 / max(n, 1)).alias("rank"))
     done, total = 0, 1.0
-    while n and (iterations is None or done < iterations):
-        steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
-        for _ in range(steps):
-            inflow = links.join(ranks.select(F.col("id").alias("src"), "rank"), "src").groupBy(
-                F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("p")).alias("__in"))
-            step = F.lit(base) + damping * F.coalesce("__in", F.lit(0.0)) - F.col("rank")
-            ranks = ranks.select("id", "rank").join(inflow, "id", "left").select(
-                "id", (F.col("rank") + relax * step).alias("rank"), F.abs(step).alias("gap"))
-        ranks, seen = materialise_observed(ranks, gap=F.sum("gap"), total=F.sum("rank"))
-        done, total = done + steps, seen["total"]
-        if iterations is None and seen["gap"] <= tol:
-            break
+    with packed_links(edges) as links:
+        while n and (iterations is None or done < iterations):
+            steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
+            for _ in range(steps):
+                inflow = links.pulled(ranks.select("id", F.col("rank").alias("x")))
+                step = F.lit(base) + damping * F.coalesce("pulled", F.lit(0.0)) - F.col("rank")
+                ranks = ranks.select("id", "rank").join(inflow, "id", "left").select(
+                    "id", (F.col("rank") + relax * step).alias("rank"), F.abs(step).alias("gap"))
+            ranks, seen = materialise_observed(ranks, gap=F.sum("gap"), total=F.sum("rank"))
+            done, total = done + steps, seen["total"]
+            if iterations is None and seen["gap"] <= tol:
+                break
     return ranks.select("id", (F.col("rank") / F.lit(total)).alias("rank"))
 
 
@@ -118,19 +174,19 @@ def eigenvector(g: Graph, iterations: int | None = None, tol: float = 1e-10, ste
     shift = (strength.agg(F.sum(F.col("s") * F.col("s")) / F.sum("s")).first()[0] or 0.0) / 2
     n = g.vertices.count()
     x, norm, done = g.vertices.withColumn("x", F.lit(1.0 / math.sqrt(max(n, 1)))), 1.0, 0
-    while n and shift and (iterations is None or done < iterations):
-        steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
-        y = x.select("id", (F.col("x") / F.lit(norm)).alias("x"))
-        start = y.select("id", F.col("x").alias("__start"))
-        for _ in range(steps):
-            pulled = edges.join(y.select(F.col("id").alias("src"), "x"), "src").groupBy(
-                F.col("dst").alias("id")).agg(F.sum(F.col("w") * F.col("x")).alias("__in"))
-            y = y.join(pulled, "id", "left").select("id", (F.lit(shift) * F.col("x") + F.coalesce("__in", F.lit(0.0))).alias("x"))
-        # The squared length is taken while the vector is written; it scales the next reading.
-        x, seen = materialise_observed(y.join(start, "id"), ss=F.sum(F.col("x") * F.col("x")))
-        norm, done = math.sqrt(seen["ss"]), done + steps
-        if iterations is None and x.agg(F.max(F.abs(F.col("x") / norm - F.col("__start")))).first()[0] <= tol:
-            break
+    with packed_links(edges) as links:
+        while n and shift and (iterations is None or done < iterations):
+            steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
+            y = x.select("id", (F.col("x") / F.lit(norm)).alias("x"))
+            start = y.select("id", F.col("x").alias("__start"))
+            for _ in range(steps):
+                y = y.join(links.pulled(y), "id", "left").select(
+                    "id", (F.lit(shift) * F.col("x") + F.coalesce("pulled", F.lit(0.0))).alias("x"))
+            # The squared length is taken while the vector is written; it scales the next reading.
+            x, seen = materialise_observed(y.join(start, "id"), ss=F.sum(F.col("x") * F.col("x")))
+            norm, done = math.sqrt(seen["ss"]), done + steps
+            if iterations is None and x.agg(F.max(F.abs(F.col("x") / norm - F.col("__start")))).first()[0] <= tol:
+                break
     return x.select("id", (F.col("x") / F.lit(norm)).alias("centrality"))
 
 
@@ -139,48 +195,150 @@ def sample_sources(g: Graph, k: int, seed: str) -> DataFrame:
     return rel.exact_sample(g.vertices, "id", k, seed)
 
 
-def betweenness(g: Graph, k: int = 200, seed: str = "betweenness") -> DataFrame:
+# ---------------------------------------------------------------- betweenness
+
+#: Sources whose numbers a row holds side by side, and links that are summed at a time.
+SOURCES_PER_ROW, LINKS_AT_A_TIME = 256, 16_384
+
+
+def _matrix(column, width: int) -> np.ndarray:
+    """Packed rows of doubles as a matrix; null rows are zero."""
+    zero = bytes(8 * width)
+    return np.frombuffer(b"".join(zero if x is None else x for x in column.to_pylist()), np.float64).reshape(-1, width)
+
+
+def _packed(matrix: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in matrix], pa.binary())
+
+
+def _batches(df: DataFrame, schema: str, step: Callable[[pa.RecordBatch], list]) -> DataFrame:
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            if len(batch):
+                yield pa.RecordBatch.from_arrays(step(batch), names=names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _sent_along(rows: DataFrame, width: int, id_type: str) -> DataFrame:
+    """(block, x, links) to (block, id, x): the sum of the packed rows over the links that lead to a vertex.
+
+    A link is read once for all sources of a block. Links of a batch that lead to one vertex are summed before they leave it.
+    """
+
+    def step(batch: pa.RecordBatch) -> list:
+        block, x, links = batch["block"].to_numpy(), _matrix(batch["x"], width), batch["links"]
+        of = np.repeat(np.arange(len(block)), np.diff(links.offsets.to_numpy()))
+        ids, to = np.unique(links.flatten().field("dst").to_numpy(zero_copy_only=False), return_inverse=True)
+        key = block[of].astype(np.int64) * max(1, len(ids)) + to
+        order = np.argsort(key, kind="stable")
+        of, to, key = of[order], to[order], key[order]
+        heads = np.flatnonzero(np.diff(key, prepend=-1))
+        out = np.zeros((len(heads), width))
+        place = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(to))))
+        for at in range(0, len(to), LINKS_AT_A_TIME):
+            own = place[at:at + LINKS_AT_A_TIME]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            out[own[first]] += np.add.reduceat(x[of[at:at + LINKS_AT_A_TIME]], first, axis=0)
+        return [pa.array(block[of[heads]]), pa.array(ids[to[heads]]), _packed(out)]
+
+    return _summed(_batches(rows, f"block int, id {id_type}, x binary", step), width, id_type)
+
+
+def _summed(rows: DataFrame, width: int, id_type: str) -> DataFrame:
+    """(block, id, x) with the packed rows of equal (block, id) added up."""
+    dealt = rows.repartition(shuffle_width(rows.sparkSession), "block", "id").sortWithinPartitions("block", "id")
+
+    def run(batches):
+        held = None  # the last key of a batch may go on in the next
+        for batch in batches:
+            if not len(batch):
+                continue
+            block, key, x = batch["block"].to_numpy(), batch["id"].to_numpy(zero_copy_only=False), _matrix(batch["x"], width)
+            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])]))
+            sums = np.add.reduceat(x, first, axis=0)
+            block, key = block[first], key[first]
+            if held is not None:
+                if held[0] == block[0] and held[1] == key[0]:
+                    sums[0] += held[2]
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array([held[0]]), pa.array([held[1]]), _packed(held[2][None])], names=["block", "id", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(block[:-1]), pa.array(key[:-1]), _packed(sums[:-1])], names=["block", "id", "x"])
+            held = block[-1], key[-1], sums[-1]
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held[0]]), pa.array([held[1]]), _packed(held[2][None])], names=["block", "id", "x"])
+
+    return dealt.mapInArrow(run, f"block int, id {id_type}, x binary")
+
+
+def betweenness(g: Graph, k: int = 200, seed: str = "betweenness", sources_per_row: int = SOURCES_PER_ROW) -> DataFrame:
     """Approximate betweenness from k sources, normalised, by breadth-first levels.
 
-    A level holds (source, vertex, number of shortest paths). New vertices of a level are found
-    against the two levels before it only; dependencies then flow back level by level. Distances
-    count edges, weights are ignored.
+    A row of a level holds, for one vertex and a block of sources side by side, the numbers of shortest paths of this length;
+    so a step reads each link once for all sources. What an earlier level has reached (of an undirected graph the
+    two before suffice) is set to zero; dependencies then flow back level by level. Distances count edges, weights are ignored.
     """
     n = g.vertices.count()
-    sources = materialise(sample_sources(g, k, seed).select(F.col("id").alias("s")))
-    n_sources = sources.count()
-    edges = materialise(g.edges.select("src", "dst"))
-    levels = [sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("sigma"))]
-    reached = levels[0].select("s", "v") if g.directed else None
-    while True:
-        steps = levels[-1].join(edges, F.col("v") == F.col("src")).groupBy("s", F.col("dst").alias("v")).agg(
-            F.sum("sigma").alias("sigma"))
-        seen = reached
-        if seen is None:
-            seen = levels[-1].select("s", "v")
-            if len(levels) > 1:
-                seen = seen.unionByName(levels[-2].select("s", "v"))
-        fresh, size = materialise_observed(steps.join(seen, ["s", "v"], "left_anti"), n=F.count(F.lit(1)))
-        if not size["n"]:
-            break
-        levels.append(fresh)
-        if reached is not None:
-            reached = reached.unionByName(fresh.select("s", "v"))
-    later = levels[-1].withColumn("delta", F.lit(0.0))
-    totals = None
-    for depth in range(len(levels) - 1, 0, -1):
-        found = later.filter(F.col("s") != F.col("v")).groupBy("v").agg(F.sum("delta").alias("delta"))
-        totals = found if totals is None else totals.unionByName(found)
-        share = later.select("s", F.col("v").alias("u"), ((1.0 + F.col("delta")) / F.col("sigma")).alias("share"))
-        back = share.join(edges, F.col("u") == F.col("dst")).select("s", F.col("src").alias("v"), "share")
-        owed = back.groupBy("s", "v").agg(F.sum("share").alias("share"))
-        earlier = levels[depth - 1].join(owed, ["s", "v"], "left")
-        later = materialise(earlier.select(
-            "s", "v", "sigma", (F.col("sigma") * F.coalesce("share", F.lit(0.0))).alias("delta")))
-    scale = (n / n_sources) / ((n - 1) * (n - 2)) if n > 2 else 1.0
+    kind = dict(g.vertices.dtypes)["id"]
+    chosen = [r["id"] for r in sample_sources(g, k, seed).collect()]  # k ids
+    width = min(sources_per_row, max(1, len(chosen)))
+    rows = []
+    for i, vertex in enumerate(chosen):
+        x = np.zeros(width)
+        x[i % width] = 1.0
+        rows.append((i // width, vertex, bytearray(x.tobytes())))
+    schema = f"block int, id {kind}, x binary"
+    levels = [materialise(g.vertices.sparkSession.createDataFrame(rows, schema))]
+    edges = materialise(g.edges.select("src", "dst", F.lit(1.0).alias("w")))
+    with contextlib.ExitStack() as open_tables:
+        links = open_tables.enter_context(packed_links(edges))
+        back = links if not g.directed else open_tables.enter_context(packed_links(
+            edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")))
+
+        def unseen(batch: pa.RecordBatch) -> list:
+            x = _matrix(batch["x"], width).copy()
+            for c in batch.schema.names:
+                if c.startswith("seen"):
+                    x[_matrix(batch[c], width) > 0] = 0
+            keep = np.flatnonzero(x.any(axis=1))
+            return [batch["block"].take(pa.array(keep)), batch["id"].take(pa.array(keep)), _packed(x[keep])]
+
+        reached = levels[0]
+        while True:
+            steps = _sent_along(links.beside(levels[-1]), width, kind)
+            for i, earlier in enumerate([reached] if g.directed else levels[-2:]):
+                steps = steps.join(earlier.withColumnRenamed("x", f"seen{i}"), ["block", "id"], "left")
+            fresh, size = materialise_observed(_batches(steps, schema, unseen), n=F.count(F.lit(1)))
+            if not size["n"]:
+                break
+            levels.append(fresh)
+            if g.directed:
+                reached = materialise(_summed(reached.unionByName(fresh), width, kind))
+
+        def shares(batch: pa.RecordBatch) -> list:
+            sigma, delta = _matrix(batch["sigma"], width), _matrix(batch["delta"], width)
+            return [batch["block"], batch["id"], _packed(np.divide(1 + delta, sigma, out=np.zeros_like(sigma), where=sigma > 0))]
+
+        def owed(batch: pa.RecordBatch) -> list:
+            return [batch["block"], batch["id"], batch["sigma"], _packed(_matrix(batch["sigma"], width) * _matrix(batch["x"], width))]
+
+        def total(batch: pa.RecordBatch) -> list:
+            return [batch["id"], pa.array(_matrix(batch["delta"], width).sum(axis=1))]
+
+        later = levels[-1].select("block", "id", F.col("x").alias("sigma"), F.lit(None).cast("binary").alias("delta"))
+        totals = None
+        for depth in range(len(levels) - 1, 0, -1):
+            found = _batches(later.select("id", "delta"), f"id {kind}, delta double", total)
+            totals = found if totals is None else totals.unionByName(found)
+            flow = _sent_along(back.beside(_batches(later, schema, shares)), width, kind)
+            earlier = levels[depth - 1].withColumnRenamed("x", "sigma").join(flow, ["block", "id"], "left")
+            later = materialise(_batches(earlier, f"block int, id {kind}, sigma binary, delta binary", owed))
+    scale = (n / len(chosen)) / ((n - 1) * (n - 2)) if n > 2 else 1.0
     if totals is None:
         return g.vertices.withColumn("betweenness", F.lit(0.0))
-    sums = totals.groupBy(F.col("v").alias("id")).agg(F.sum("delta").alias("delta"))
+    sums = totals.groupBy("id").agg(F.sum("delta").alias("delta"))
     return g.vertices.join(sums, "id", "left").select(
         "id", (F.coalesce("delta", F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
 

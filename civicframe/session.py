@@ -91,6 +91,24 @@ def materialise_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, d
     return table, seen.get
 
 
+class Bucketed:
+    """Rows written once as a table in the shared folder, bucketed by ``keys``: joins and groups on the keys read it without
+    an exchange. ``with Bucketed(...) as df`` drops the table's name at the end; the files go with the other hand-off tables.
+    """
+
+    def __init__(self, df: DataFrame, *keys: str, buckets: int | None = None):
+        spark, n = df.sparkSession, buckets or shuffle_width(df.sparkSession)
+        self.spark, self.name = spark, f"bucketed_{uuid.uuid4().hex}"
+        path = scratch_path(spark, "bucketed")
+        df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).format("parquet").saveAsTable(self.name)
+
+    def __enter__(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def __exit__(self, *error) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out to all cores when the input has fewer splits than half of them.
 
