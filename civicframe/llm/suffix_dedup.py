@@ -413,15 +413,16 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select("doc_id", number.alias("id"), salt.alias("salt"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def copied_runs(keyed: DataFrame, length: int) -> DataFrame:
-    """(id, salt, runs): where strings of ``length`` bytes that occur earlier in the corpus begin, packed by document."""
+def copied_runs(keyed: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """(id, salt, runs) and (id, salt, more): where strings of ``length`` bytes that occur earlier in the corpus begin, packed by
+    document; from the phrases, and from the texts of the dictionary.
+    """
     slices = shuffle_partitions(keyed.sparkSession)
     parsed = _by_slice(_parsed(keyed.select("id", "salt", "text"), length, slices), _judged)
     judged = materialise(parsed.groupBy("id", "salt").agg(F.collect_list("runs").alias("runs"), F.max("open").alias("open")))
     asked = keyed.join(judged.where("open").select("id", "salt", "runs"), ["id", "salt"])
     compared = _by_slice(_dictionary(asked, length, slices), lambda s: _compared(s, length))
-    return judged.select("id", "salt", F.explode("runs").alias("runs")).unionByName(compared.drop("open")).groupBy("id", "salt").agg(
-        F.collect_list("runs").alias("runs"))
+    return judged.select("id", "salt", "runs"), compared.groupBy("id", "salt").agg(F.collect_list("runs").alias("more"))
 
 
 def remove_copies(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -436,15 +437,16 @@ def remove_copies(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", te
     if length < 2:
         raise ValueError("strings have two bytes or more")
     keyed = _keyed(docs, doc_id, text)
-    marked = keyed.join(copied_runs(keyed, length), ["id", "salt"], "left")
+    judged, compared = copied_runs(keyed, length)
+    marked = keyed.join(judged, ["id", "salt"], "left").join(compared, ["id", "salt"], "left")
     kind = dict(keyed.dtypes)["doc_id"]
 
     def make():
         def step(batch):
             n_bytes, n_removed, n_spans, kept = [], [], [], []
-            for data, packed in zip(_bytes_of(batch["text"]), batch["runs"], strict=True):
+            for data, *packed in zip(_bytes_of(batch["text"]), batch["runs"], batch["more"], strict=True):
                 spans, parts, at = 0, [], 0
-                if packed.is_valid:
+                if packed := [x for p in packed if p.is_valid for x in p]:
                     runs = _runs_of(packed)
                     runs = runs[runs["verdict"] == IS_COPY]
                     steps = np.zeros(len(data) + 1, np.int32)
@@ -466,7 +468,7 @@ def remove_copies(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", te
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
     schema = f"doc_id {kind}, id bigint, salt bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-    rows = arrow_pass(marked.select("doc_id", "id", "salt", "text", "runs"), schema, make)
+    rows = arrow_pass(marked.select("doc_id", "id", "salt", "text", "runs", "more"), schema, make)
     equal = materialise(keyed.groupBy("id", "salt").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"))
     if equal.isEmpty():
         return rows.select(names)
