@@ -134,56 +134,65 @@ def packed_links(edges: DataFrame, links_per_row: int = LINKS_PER_ROW) -> Iterat
         yield Links(bucketed, None if hubs is None else rows.where("share > 0"), hubs)
 
 
+def _with_loops(edges: DataFrame, vertices: DataFrame, weight: float) -> DataFrame:
+    """Edges with a link from every vertex to itself, so that what a vertex keeps in a step comes in with its links' sums."""
+    own = vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(weight).alias("w"))
+    return edges.select("src", "dst", "w").unionByName(own)
+
+
 def pagerank(g: Graph, damping: float = 0.85, iterations: int | None = None, tol: float = 1e-10, relax: float = 0.75,
-             steps_per_job: int = 4) -> DataFrame:
+             steps_per_job: int = 8) -> DataFrame:
     """PageRank; the mass of vertices without out-links is spread evenly.
 
     That spreading only scales the solution of r = (1 - d) / n + d P'r, so it is left out of the steps and the result is
     scaled to sum 1. Steps go ``relax`` of the way, which damps the swing between the sides of bipartite graphs. They end
-    when the mean change of a step is at most ``tol / n``, or after ``iterations``. Several steps make one job.
+    when the ranks of a job's steps change by at most ``tol`` in all, or after ``iterations``. Several steps make one job, and
+    a step is one shuffle of partial sums.
     """
     out = g.edges.groupBy("src").agg(F.sum("w").alias("__out"))
-    edges = g.edges.join(out, "src").select("src", "dst", (F.col("w") / F.col("__out")).alias("w"))
+    edges = g.edges.join(out, "src").select("src", "dst", (F.lit(relax * damping) * F.col("w") / F.col("__out")).alias("w"))
     n = g.vertices.count()
-    base = (1 - damping) / n if n else 0.0
-    ranks = g.vertices.select("id", F.lit(1.0 / max(n, 1)).alias("rank"))
+    base = relax * (1 - damping) / n if n else 0.0
+    ranks = g.vertices.select("id", F.lit(1.0 / max(n, 1)).alias("x"))
     done, total = 0, 1.0
-    with packed_links(edges) as links:
+    with packed_links(_with_loops(edges, g.vertices, 1 - relax)) as links:
         while n and (iterations is None or done < iterations):
             steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
+            start = ranks.select("id", F.col("x").alias("__start"))
             for _ in range(steps):
-                inflow = links.pulled(ranks.select("id", F.col("rank").alias("x")))
-                step = F.lit(base) + damping * F.coalesce("pulled", F.lit(0.0)) - F.col("rank")
-                ranks = ranks.select("id", "rank").join(inflow, "id", "left").select(
-                    "id", (F.col("rank") + relax * step).alias("rank"), F.abs(step).alias("gap"))
-            ranks, seen = materialise_observed(ranks, gap=F.sum("gap"), total=F.sum("rank"))
+                ranks = links.pulled(ranks).select("id", (F.lit(base) + F.col("pulled")).alias("x"))
+            if iterations is None:
+                ranks = ranks.join(start, "id").select("id", "x", F.abs(F.col("x") - F.col("__start")).alias("gap"))
+                ranks, seen = materialise_observed(ranks, gap=F.sum("gap"), total=F.sum("x"))
+            else:
+                ranks, seen = materialise_observed(ranks, total=F.sum("x"))
             done, total = done + steps, seen["total"]
             if iterations is None and seen["gap"] <= tol:
                 break
-    return ranks.select("id", (F.col("rank") / F.lit(total)).alias("rank"))
+    return ranks.select("id", (F.col("x") / F.lit(total)).alias("rank"))
 
 
-def eigenvector(g: Graph, iterations: int | None = None, tol: float = 1e-10, steps_per_job: int = 4) -> DataFrame:
+def eigenvector(g: Graph, iterations: int | None = None, tol: float = 1e-10, steps_per_job: int = 8) -> DataFrame:
     """Leading eigenvector of the adjacency, unit length, by power steps on A + s I.
 
     The shift s is half the strength of the average neighbour, an estimate of the leading eigenvalue; it keeps bipartite graphs
     from flipping. Steps end when no entry moves by more than ``tol``, or after ``iterations``. Several steps make one job.
     """
     edges = g.edges.select("src", "dst", "w")
-    strength = materialise(edges.groupBy("src").agg(F.sum("w").alias("s")))
+    strength = edges.groupBy("src").agg(F.sum("w").alias("s"))
     shift = (strength.agg(F.sum(F.col("s") * F.col("s")) / F.sum("s")).first()[0] or 0.0) / 2
     n = g.vertices.count()
     x, norm, done = g.vertices.withColumn("x", F.lit(1.0 / math.sqrt(max(n, 1)))), 1.0, 0
-    with packed_links(edges) as links:
+    with packed_links(_with_loops(edges, g.vertices, shift)) as links:
         while n and shift and (iterations is None or done < iterations):
             steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
             y = x.select("id", (F.col("x") / F.lit(norm)).alias("x"))
             start = y.select("id", F.col("x").alias("__start"))
             for _ in range(steps):
-                y = y.join(links.pulled(y), "id", "left").select(
-                    "id", (F.lit(shift) * F.col("x") + F.coalesce("pulled", F.lit(0.0))).alias("x"))
+                y = links.pulled(y).select("id", F.col("pulled").alias("x"))
             # The squared length is taken while the vector is written; it scales the next reading.
-            x, seen = materialise_observed(y.join(start, "id"), ss=F.sum(F.col("x") * F.col("x")))
+            y = y.join(start, "id") if iterations is None else y
+            x, seen = materialise_observed(y, ss=F.sum(F.col("x") * F.col("x")))
             norm, done = math.sqrt(seen["ss"]), done + steps
             if iterations is None and x.agg(F.max(F.abs(F.col("x") / norm - F.col("__start")))).first()[0] <= tol:
                 break

@@ -265,7 +265,9 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per
     """
     hot_l = _chunks(left, keys, rows_per_salt, "__cl")
     hot_r = _chunks(right, keys, rows_per_salt, "__cr")
-    cells = hot_l.join(hot_r, list(keys), "full")
+    cells = materialise(hot_l.join(hot_r, list(keys), "full"))
+    if cells.isEmpty():  # no key has many rows
+        return left.join(right, list(keys))
 
     def dealt(df: DataFrame, own: str, own_cell: str, other: str, other_cell: str) -> DataFrame:
         row_hash = F.abs(F.xxhash64(*[F.col(c) for c in df.columns]) % F.lit(1 << 30))

@@ -60,6 +60,69 @@ def test_betweenness_is_exact_with_all_sources(graph):
     assert got == pytest.approx(exact_betweenness(9, EDGES))
 
 
+def test_hubs_are_split_and_links_stay_where_they_are(spark):
+    """With rows of a few links only, sums equal those of plain edges; a step exchanges values, never links."""
+    rng = np.random.default_rng(6)
+    pairs = {(int(a), int(b)) for a, b in rng.integers(0, 60, (300, 2)) if a != b} | {(0, i) for i in range(1, 60)}
+    g = gr.build_graph(spark.createDataFrame(sorted(pairs), "a long, b long"), "a", "b").staged()
+    x = g.vertices.withColumn("x", F.col("id") * 0.5 + 1)
+    plain = {r["id"]: r["s"] for r in g.edges.join(x, F.col("src") == F.col("id")).groupBy(
+        F.col("dst").alias("id")).agg(F.sum("x").alias("s")).collect()}
+    for room in (4_096, 7):
+        with gr.packed_links(g.edges, room) as links:
+            assert (links.far is None) == (room > 60)
+            assert {r["id"]: r["pulled"] for r in links.pulled(x).collect()} == pytest.approx(plain)
+            if links.far is None:
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+                try:
+                    plan = links.pulled(links.pulled(x).select("id", F.col("pulled").alias("x")))._jdf.queryExecution().executedPlan().toString()
+                finally:
+                    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+                exchanged = [line for line in plan.splitlines() if "Exchange" in line and "links" in line]
+                assert "Bucketed: true" in plan and not exchanged
+                # the starting values and each step's partial sums
+                assert plan.count("Exchange hashpartitioning") == 3
+
+
+@pytest.mark.parametrize("directed", [False, True])
+def test_betweenness_in_blocks_of_sources(spark, directed):
+    """The blocks of sources, and how hubs are split, change nothing."""
+    pairs = [*EDGES, (6, 7), (8, 9), (9, 1), (2, 6)]
+    nodes = spark.createDataFrame([(i,) for i in range(1, 10)], "id long")
+    g = gr.build_graph(spark.createDataFrame(pairs, "a long, b long"), "a", "b", vertices=nodes, directed=directed)
+    whole = {r["id"]: r["betweenness"] for r in gr.betweenness(g, k=50).collect()}
+    blocks = {r["id"]: r["betweenness"] for r in gr.betweenness(g, k=50, sources_per_row=2).collect()}
+    assert whole == pytest.approx(blocks)
+    if not directed:
+        assert whole == pytest.approx(exact_betweenness(9, pairs))
+    else:
+        assert whole == pytest.approx(directed_betweenness(9, pairs))
+
+
+def directed_betweenness(n_nodes, edges):
+    """By counting, for each pair, the shortest paths through each vertex."""
+    far = float("inf")
+    dist = {(a, b): (0 if a == b else far) for a in range(1, n_nodes + 1) for b in range(1, n_nodes + 1)}
+    ways = {k: float(k[0] == k[1]) for k in dist}
+    for s in range(1, n_nodes + 1):
+        queue = deque([s])
+        while queue:
+            v = queue.popleft()
+            for a, w in edges:
+                if a == v:
+                    if dist[s, w] == far:
+                        dist[s, w] = dist[s, v] + 1
+                        queue.append(w)
+                    if dist[s, w] == dist[s, v] + 1:
+                        ways[s, w] += ways[s, v]
+    total = dict.fromkeys(range(1, n_nodes + 1), 0.0)
+    for (s, t), d in dist.items():
+        for v in total:
+            if s != t and v not in (s, t) and d < far and dist[s, v] + dist[v, t] == d:
+                total[v] += ways[s, v] * ways[v, t] / ways[s, t]
+    return {v: x / ((n_nodes - 1) * (n_nodes - 2)) for v, x in total.items()}
+
+
 def test_pagerank_and_eigenvector(graph):
     ranks = {r["id"]: r["rank"] for r in gr.pagerank(graph).collect()}
     assert sum(ranks.values()) == pytest.approx(1.0)

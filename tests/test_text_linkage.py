@@ -163,6 +163,45 @@ def test_set_overlap_is_exact(spark):
     assert got == pytest.approx(want) and len(want) > 5
 
 
+def test_signatures_leave_few_candidates(spark):
+    """No similar pair is lost, and most pairs that share a rare item but little else go before their sets are read."""
+    rng = np.random.default_rng(2)
+    sets = {}
+    for i in range(300):
+        topic = i % 10
+        sets[i] = {f"t{topic}-{j}" for j in rng.choice(40, 8, replace=False)} | {f"c{j}" for j in rng.choice(400, 30, replace=False)}
+    for i in range(300, 330):
+        sets[i] = set(list(sorted(sets[i - 300]))[2:]) | {f"own{i}"}
+    items = spark.createDataFrame([(i, x) for i, s in sets.items() for x in s], "id int, item string")
+    prepared = textual._item_sets(items, "id", "item")
+    pairs = lambda on: {tuple(r) for r in textual.overlap_candidates(prepared, 0.6, on).collect()}
+    before, after = pairs(False), pairs(True)
+    similar = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b])}
+    assert similar <= after <= before and len(similar) >= 30
+    assert len(after) - len(similar) <= 0.2 * (len(before) - len(similar))
+
+
+def test_cells_of_clustered_vectors(spark):
+    """Clusters meet in few pairs of rows, and every close pair meets in exactly one group."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(30, 24))
+    x = centres[np.arange(900) % 30] + rng.normal(scale=0.05, size=(900, 24))
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id int, v array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.95, 1)))}
+    merged = textual.unit_vectors(df, "id", "v").withColumn("n", F.lit(1).cast("bigint")).select("__u", "id", "n")
+    groups = {}
+    for r in textual.vector_cells(merged, "id", 0.95, 900, 50).collect():
+        groups.setdefault((r["cell"], r["i"], r["j"]), ([], []))[r["right"]].append(r["__k"])
+    met = []
+    for (_, i, j), (left, right) in groups.items():
+        met += [(min(a, b), max(a, b)) for a in left for b in (left if i == j else right) if (a < b if i == j else True)]
+    assert len(met) == len(set(met)) and close <= set(met)
+    assert len(met) < 0.25 * 900 * 899 / 2
+    got = {(r["id_a"], r["id_b"]) for r in textual.cosine_pairs(df, "id", "v", 0.95, rows_per_block=50).collect()}
+    assert got == close
+
+
 def test_cosine_pairs_find_their_pairs(spark):
     dims = [(0.2 + 3.0 / (d + 1)) * hash_normal("v", F.floor(F.col("id") / 3), F.lit(d)) + 0.2 * hash_normal("w", "id", F.lit(d)) for d in range(6)]
     df = spark.range(150).select("id", F.array(*dims).alias("v")).cache()
