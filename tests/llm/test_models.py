@@ -2,8 +2,10 @@
 
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from civicframe.llm import language_id, lm_scoring, toxicity
@@ -115,12 +117,50 @@ def test_language_model_adds_up_and_prefers_the_corpus(spark, docs):
 def test_every_word_is_learned_once_by_default(spark, docs, monkeypatch):
     counts, keys = np.array([7, 0, 400, 1]), np.arange(4, dtype=np.uint64)
     turns = []
-    monkeypatch.setattr(lm_scoring, "train_round", lambda docs, vocabulary, net, words, turn: turns.append(turn) or net)
+    monkeypatch.setattr(lm_scoring, "train_round", lambda shares, vocabulary, net, words, turn: turns.append(turn) or net)
     lm_scoring.score_documents(docs.limit(5))
     masked = np.concatenate([lm_scoring._masked(counts, keys, turn) for turn in turns])
     assert sorted(masked.tolist()) == list(range(counts.sum()))
 
 
+def test_scores_equal_a_plain_sum(spark, docs):
+    """Every word by itself: the softmax over its neighbours' classes, and its share of the occurrences of its class."""
+    rows = [(r["doc_id"], r["text"]) for r in docs.limit(40).collect()]
+    rows += [tuple(r) for r in awkward(spark).select("doc_id", "text").collect()]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    keyed = frame.selectExpr("doc_id", "xxhash64(doc_id, coalesce(text, '')) AS key", "text")
+    shares = lm_scoring.shared(keyed, max(1, sum(len(t or "") for _, t in rows) // 6_000))
+    vocabulary, net = lm_scoring.train(shares)
+    embedding, w1, b1, w2, b2 = [w.astype(np.float64) for w in net.weights]
+    hashes, numbers = WordHashes(), {}
+    words = [WORD.findall(t or "") for _, t in rows]
+    for w in {w for ws in words for w in ws}:
+        numbers[w] = int(next(hashes.rows(pa.array([w])))[0]) % lm_scoring.BUCKETS
+    times, classes = Counter(w for ws in words for w in ws), vocabulary.value.classes
+    of_class = Counter()
+    for w, n in times.items():
+        of_class[classes[numbers[w]]] += n
+    expected = []
+    for (key, _), ws in zip(rows, words, strict=True):
+        own, total = [classes[numbers[w]] for w in ws], 0.0
+        for i, w in enumerate(ws):
+            near = [own[j] if 0 <= j < len(ws) else lm_scoring.PAD for j in (i - 2, i - 1, i + 1, i + 2)]
+            z = np.tanh(embedding[near].ravel() @ w1 + b1) @ w2 + b2
+            total += z[own[i]] - np.log(np.exp(z).sum()) + np.log(times[w] / of_class[own[i]])
+        expected.append((key, len(ws), total))
+    got = lm_scoring.score_documents(frame.repartition(7), share_words=1_000).collect()
+    by = lambda x: (x[0] is None, x[0] or 0, x[1], x[2])
+    for a, b in zip(sorted(expected, key=by), sorted(([*r][:3] for r in got), key=by), strict=True):
+        assert (a[0], a[1]) == (b[0], b[1]) and b[2] == pytest.approx(a[2], rel=1e-3, abs=1e-3)
+
+
+def test_scores_do_not_depend_on_partitions(spark, docs):
+    part = docs.limit(300)
+    few, many = (
+        {r["doc_id"]: r["log_prob"] for r in lm_scoring.score_documents(part.repartition(n), share_words=20_000).collect()} for n in (2, 16))
+    assert few.keys() == many.keys() and all(math.isclose(few[k], many[k], rel_tol=1e-5, abs_tol=1e-3) for k in few)
+
+
 def test_default_training_prefers_the_corpus(spark, docs):
     import random
     rng, rows = random.Random(5), [(r["doc_id"], r["text"]) for r in docs.collect()]
@@ -136,7 +176,7 @@ def test_default_training_prefers_the_corpus(spark, docs):
 def test_conditional_probabilities_of_the_network_sum_to_one():
     counts = np.random.default_rng(1).integers(0, 50, lm_scoring.BUCKETS)
     known = lm_scoring.Vocabulary.of(counts)
-    assert np.allclose(np.bincount(known.classes, np.exp(known.within), lm_scoring.CLASSES), 1)
+    assert (np.bincount(known.classes, counts, lm_scoring.CLASSES) == known.sizes).all()
     score = lm_scoring.WindowNet.fresh(counts, known).scorer()
     total = sum(np.exp(score(np.array([3, 9, t, 120, lm_scoring.PAD]), np.array([2]))[0]) for t in range(lm_scoring.CLASSES))
     assert abs(total - 1) < 1e-4
