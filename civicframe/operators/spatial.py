@@ -9,9 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicframe.operators import scalable
 from civicframe.session import materialise
@@ -39,22 +41,30 @@ def _segments(path: Column, fn) -> Column:
     return F.zip_with(starts, ends, fn)
 
 
+def _crosses(x: Column, y: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    """Whether an edge crosses the ray to the right of a point, as 0 or 1."""
+    at = ax + (y - ay) * (bx - ax) / F.when(by != ay, by - ay)
+    return F.when(((ay > y) != (by > y)) & (x < at), 1).otherwise(0)
+
+
+def _touches(x: Column, y: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    """Whether a point lies on an edge."""
+    inside = x.between(F.least(ax, bx), F.greatest(ax, bx)) & y.between(F.least(ay, by), F.greatest(ay, by))
+    return ((bx - ax) * (y - ay) - (by - ay) * (x - ax) == 0) & inside
+
+
 def within(x: Column, y: Column, ring: Column) -> Column:
     """Strictly inside a ring: odd number of edges to the right, and not on an edge."""
+    crossed = _segments(ring, lambda a, b: _crosses(x, y, a["x"], a["y"], b["x"], b["y"]))
+    touched = _segments(ring, lambda a, b: _touches(x, y, a["x"], a["y"], b["x"], b["y"]))
+    return (F.aggregate(crossed, F.lit(0), lambda s, v: s + v) % 2 == 1) & ~F.exists(touched, lambda v: v)
 
-    def crosses(a, b):
-        spans = (a["y"] > y) != (b["y"] > y)
-        at = a["x"] + (y - a["y"]) * (b["x"] - a["x"]) / F.when(b["y"] != a["y"], b["y"] - a["y"])
-        return F.when(spans & (x < at), 1).otherwise(0)
-
-    def touches(a, b):
-        cross = (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"])
-        inside = x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(
-            F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
-        return (cross == 0) & inside
 
-    odd = F.aggregate(_segments(ring, crosses), F.lit(0), lambda s, v: s + v) % 2 == 1
-    return odd & ~F.exists(_segments(ring, touches), lambda v: v)
+def _within_edges(x: Column, y: Column, edges: Column) -> Column:
+    """The same for the edges (ax, ay, bx, by) that can matter to the points of a cell."""
+    crossed = F.transform(edges, lambda e: _crosses(x, y, e["ax"], e["ay"], e["bx"], e["by"]))
+    return (F.aggregate(crossed, F.lit(0), lambda s, v: s + v) % 2 == 1) & ~F.exists(
+        edges, lambda e: _touches(x, y, e["ax"], e["ay"], e["bx"], e["by"]))
 
 
 def distance(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -90,6 +100,127 @@ def cover(df: DataFrame, path: str, cell: float, margin: float = 0.0) -> DataFra
     return rows.withColumn("__cy", F.explode(span(e["y0"], e["y1"])))
 
 
+# A quadtree cover: a cell is split into FACTOR x FACTOR cells of the next lower level.
+FACTOR = 4
+COVER = T.StructType([
+    T.StructField("__level", T.IntegerType()), T.StructField("__px", T.LongType()), T.StructField("__py", T.LongType()),
+    T.StructField("__edges", T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("ax", "ay", "bx", "by")])))])
+
+
+def _cells_with_edges(cells: np.ndarray, of: np.ndarray, edge: np.ndarray, ends: np.ndarray, size: float) -> np.ndarray:
+    """Which (cell, edge) pairs intersect; cells are a little larger here, so that none is lost to rounding."""
+    room = 1e-9 * size
+    x0, y0 = cells[of, 0] * size - room, cells[of, 1] * size - room
+    x1, y1 = x0 + size + 2 * room, y0 + size + 2 * room
+    ax, ay, bx, by = ends[edge].T
+    near = (np.maximum(ax, bx) >= x0) & (np.minimum(ax, bx) <= x1) & (np.maximum(ay, by) >= y0) & (np.minimum(ay, by) <= y1)
+    sides = np.stack([(by - ay) * (x - ax) - (bx - ax) * (y - ay) for x in (x0, x1) for y in (y0, y1)])
+    return near & (sides.min(axis=0) <= 0) & (sides.max(axis=0) >= 0)
+
+
+def _inside(cells: np.ndarray, ends: np.ndarray, size: float) -> np.ndarray:
+    """Which cells, none of which an edge touches, lie inside: edges to the right of the centre, counted along rows of centres."""
+    ax, ay, bx, by = ends.T
+    low, high = np.minimum(ay, by), np.maximum(ay, by)
+    first = np.ceil(low / size - 0.5).astype(np.int64)
+    rows = np.maximum(np.ceil(high / size - 0.5).astype(np.int64) - first, 0)
+    of = np.repeat(np.arange(len(ends)), rows)
+    row = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(rows) - rows, rows)
+    wanted = np.unique(cells[:, 1])
+    keep = np.isin(row, wanted)
+    of, row = of[keep], row[keep]
+    at = ax[of] + ((row + 0.5) * size - ay[of]) * (bx[of] - ax[of]) / (by[of] - ay[of])
+    left, right = min(ax.min(), bx.min()) - size, max(ax.max(), bx.max()) + size
+    key = lambda r, x: np.searchsorted(wanted, r) + np.clip((x - left) / (right - left), 0, 1) * 0.999
+    crossings = np.sort(key(row, at))
+    here = np.searchsorted(crossings, key(cells[:, 1], (cells[:, 0] + 0.5) * size), side="right")
+    row_end = np.searchsorted(crossings, np.searchsorted(wanted, cells[:, 1]) + 0.9995)
+    return (row_end - here) % 2 == 1
+
+
+def quad_cover(ring: np.ndarray, cell: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cover of a ring (n x 2): (level, x, y) of cells inside, (x, y) of boundary cells of level 0, and (boundary cell, edge) pairs.
+
+    Cells of level k are cell * FACTOR**k wide. A cell that an edge touches is split down to level 0; one that none touches
+    is inside or dropped. So the number of cells grows with the boundary. The edges of a boundary cell are those that can
+    decide about a point in it: they reach its rows and do not end to the left of it.
+    """
+    ends = np.concatenate([ring[:-1], ring[1:]], axis=1)
+    level = 0
+    while np.ptp(ring, axis=0).max() > cell * FACTOR**level:
+        level += 1
+    size = cell * FACTOR**level
+    low, high = np.floor(ring.min(axis=0) / size).astype(np.int64), np.floor(ring.max(axis=0) / size).astype(np.int64)
+    cells = np.stack(np.meshgrid(*[np.arange(a, b + 1) for a, b in zip(low, high, strict=True)], indexing="ij"), axis=-1).reshape(-1, 2)
+    of, edge = np.repeat(np.arange(len(cells)), len(ends)), np.tile(np.arange(len(ends)), len(cells))
+    inner = []
+    while True:
+        size = cell * FACTOR**level
+        hit = _cells_with_edges(cells, of, edge, ends, size)
+        of, edge = of[hit], edge[hit]
+        split = np.zeros(len(cells), bool)
+        split[of] = True
+        rest = cells[~split]
+        if len(rest):
+            rest = rest[_inside(rest, ends, size)]
+            inner.append(np.concatenate([np.full((len(rest), 1), level), rest], axis=1))
+        place = np.cumsum(split) - 1
+        cells, of = cells[split], place[of]
+        if not level or not len(cells):
+            break
+        level -= 1
+        steps = np.stack(np.meshgrid(np.arange(FACTOR), np.arange(FACTOR), indexing="ij"), axis=-1).reshape(-1, 2)
+        cells = (cells[:, None] * FACTOR + steps[None]).reshape(-1, 2)
+        of = (of[:, None] * len(steps) + np.arange(len(steps))[None]).ravel()
+        edge = np.repeat(edge, len(steps))
+    first = np.floor(np.minimum(ends[:, 1], ends[:, 3]) / cell - 1e-9).astype(np.int64)
+    rows = np.floor(np.maximum(ends[:, 1], ends[:, 3]) / cell + 1e-9).astype(np.int64) - first + 1
+    edge = np.repeat(np.arange(len(ends)), rows)
+    row = first[edge] + np.arange(len(edge)) - np.repeat(np.cumsum(rows) - rows, rows)
+    order = np.argsort(row, kind="stable")
+    edge, row = edge[order], row[order]
+    a, b = np.searchsorted(row, cells[:, 1]), np.searchsorted(row, cells[:, 1], side="right")
+    of = np.repeat(np.arange(len(cells)), b - a)
+    edge = edge[a[of] + np.arange(len(of)) - np.repeat(np.cumsum(b - a) - (b - a), b - a)]
+    matters = np.maximum(ends[edge, 0], ends[edge, 2]) >= cells[of, 0] * cell - 1e-9 * cell
+    inside = np.concatenate(inner) if inner else np.zeros((0, 3), np.int64)
+    return inside, cells, of[matters], edge[matters]
+
+
+def cover_polygons(polygons: DataFrame, ring: str, cell: float) -> DataFrame:
+    """The columns of ``polygons`` but the ring, for each cell of its cover: __level, __px, __py, and __edges of boundary cells.
+
+    Rings that are null or have fewer than four points, or coordinates that are not finite, cover nothing.
+    """
+    others = [c for c in polygons.columns if c != ring]
+    target = T.StructType([polygons.schema[c] for c in others] + COVER.fields)
+
+    def run(batches):
+        for batch in batches:
+            for i, points in enumerate(batch[ring]):
+                if not points.is_valid or len(points) < 4:
+                    continue
+                xy_ = np.stack([points.values.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("x", "y")], axis=1)
+                if not np.isfinite(xy_).all():
+                    continue
+                inside, border, of, edge = quad_cover(xy_, cell)
+                n, m = len(inside), len(border)
+                if not n + m:
+                    continue
+                ends = np.concatenate([xy_[:-1], xy_[1:]], axis=1)[edge]
+                edges = pa.StructArray.from_arrays([pa.array(ends[:, k]) for k in range(4)], names=["ax", "ay", "bx", "by"])
+                offsets = np.concatenate([np.zeros(n, np.int64), np.searchsorted(of, np.arange(m + 1))])
+                missing = pa.array(np.concatenate([np.ones(n, bool), np.zeros(m, bool)]))
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), edges, mask=missing)
+                kept = batch.select(others).take(pa.array(np.full(n + m, i)))
+                yield pa.RecordBatch.from_arrays([
+                    *kept.columns, pa.array(np.concatenate([inside[:, 0], np.zeros(m, np.int64)]).astype(np.int32)),
+                    pa.array(np.concatenate([inside[:, 1], border[:, 0]])), pa.array(np.concatenate([inside[:, 2], border[:, 1]])), lists],
+                    names=target.names)
+
+    return polygons.select(*others, ring).mapInArrow(run, target)
+
+
 def check_crs(a: DataFrame, b: DataFrame, col: str = "crs") -> None:
     """Fail before a join when two layers do not share one reference system."""
     found = {r[0] for df in (a, b) for r in df.select(col).distinct().limit(3).collect()}
@@ -97,28 +228,67 @@ def check_crs(a: DataFrame, b: DataFrame, col: str = "crs") -> None:
         raise ValueError(f"layers use different reference systems: {sorted(map(str, found))}")
 
 
-def _cell_join(points: DataFrame, cells: DataFrame, x: str, y: str, cell: float, test: Column, how: str) -> DataFrame:
-    """Join points to the shapes of their cell that pass the test; the points of a crowded cell are spread over several tasks.
+#: Points of a cell from which on they are dealt into several chunks.
+CROWDED = 20_000
+
 
-    A shape occurs once per cell and chunk, a point has one of each, so a pair is found once.
+def _cell_join(points: DataFrame, cells: DataFrame, keys: Sequence[str], test: Column, how: str) -> DataFrame:
+    """Join points, which have ``keys``, to the shapes of their cell that pass the test. ``cells`` has the keys too.
+
+    The points of a crowded cell are dealt into chunks, and its shapes copied to each; without a crowded cell it is a plain
+    join. A shape occurs once per cell and chunk, a point has one of each, so a pair is found once.
     """
-    located = points.withColumns({"__cx": F.floor(F.col(x).cast("double") / cell), "__cy": F.floor(F.col(y).cast("double") / cell)})
-    left, right = scalable.chunked(located, cells, ["__cx", "__cy"])
-    right = right.withColumnsRenamed({"__cx": "__px", "__cy": "__py", "__chunk": "__pc"})
-    on = (F.col("__cx") == F.col("__px")) & (F.col("__cy") == F.col("__py")) & (F.col("__chunk") == F.col("__pc")) & test
-    return left.join(right, on, how).drop("__cx", "__cy", "__chunk", "__px", "__py", "__pc")
+    own = {k: f"{k}_shape" for k in keys}
+    crowded = materialise(points.groupBy(*keys).count().where(F.col("count") > CROWDED).select(
+        *keys, F.ceil(F.col("count") / CROWDED).cast("int").alias("__n")))
+    if not crowded.isEmpty():
+        keys = [*keys, "__chunk"]
+        own["__chunk"] = "__chunk_shape"
+        many = F.coalesce("__n", F.lit(1))
+        dealt = F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), many).cast("int")
+        points = points.join(crowded, keys[:-1], "left").withColumn("__chunk", dealt).drop("__n")
+        cells = cells.join(crowded, keys[:-1], "left").withColumn("__chunk", F.explode(F.sequence(F.lit(0), many - 1))).drop("__n")
+    right = cells.withColumnsRenamed(own)
+    on = test
+    for k in keys:
+        on = on & (F.col(k) == F.col(own[k]))
+    return points.join(right, on, how).drop(*keys, *own.values())
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, ring: str, cell: float, x="x", y="y", how="left") -> DataFrame:
-    """Join points to the polygons they lie within; with ``left`` unmatched points stay."""
-    test = within(F.col(x).cast("double"), F.col(y).cast("double"), F.col(ring))
-    return _cell_join(points, cover(polygons, ring, cell), x, y, cell, test, how)
+    """Join points to the polygons they lie within, but for the ring's column; with ``left`` unmatched points stay.
+
+    Polygons are covered by a quadtree (:func:`quad_cover`): a point in an inner cell needs no test, one in a boundary cell is
+    tested against the edges that matter there. A point is looked up once for each level that the cover has.
+    """
+    cover_ = materialise(cover_polygons(polygons, ring, cell))
+    levels = sorted(r[0] for r in cover_.select("__level").distinct().collect()) or [0]  # a few numbers
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    test = F.col("__edges").isNull() | _within_edges(px, py, F.col("__edges"))
+
+    def located(rows: DataFrame) -> DataFrame:
+        at = [F.struct(F.lit(k).alias("__l"), F.floor(px / (cell * FACTOR**k)).alias("__cx"), F.floor(py / (cell * FACTOR**k)).alias("__cy")) for k in levels]
+        if len(levels) == 1:
+            return rows.withColumns({c: at[0][c] for c in ("__l", "__cx", "__cy")})
+        return rows.withColumn("__at", F.explode(F.array(*at))).select("*", "__at.*").drop("__at")
+
+    shapes = cover_.withColumnsRenamed({"__level": "__l", "__px": "__cx", "__py": "__cy"})
+    keys = ["__l", "__cx", "__cy"]
+    if how != "left" or len(levels) == 1:
+        return _cell_join(located(points), shapes, keys, test, how).drop("__edges")
+    # A point looked up on several levels must stay once if none has a match.
+    numbered = materialise(points.withColumn("__row", F.monotonically_increasing_id()))
+    found = materialise(_cell_join(located(numbered), shapes, keys, test, "inner").drop("__edges"))
+    rest = numbered.join(found.select("__row").distinct(), "__row", "left_anti")
+    return found.drop("__row").unionByName(rest.drop("__row"), allowMissingColumns=True)
 
 
 def points_near_lines(points: DataFrame, lines: DataFrame, path: str, d: float, cell: float, x="x", y="y", how="left") -> DataFrame:
     """Join points to the lines whose buffer of ``d`` contains them."""
     test = distance_to_line(F.col(x).cast("double"), F.col(y).cast("double"), F.col(path)) <= d
-    return _cell_join(points, cover(lines, path, cell, margin=d), x, y, cell, test, how)
+    keys = ["__cx", "__cy"]
+    located = points.withColumns({"__cx": F.floor(F.col(x).cast("double") / cell), "__cy": F.floor(F.col(y).cast("double") / cell)})
+    return _cell_join(located, cover(lines, path, cell, margin=d), keys, test, how)
 
 
 def distance_join(a: DataFrame, b: DataFrame, d: float, a_xy=("ax", "ay"), b_xy=("bx", "by")) -> DataFrame:
@@ -294,23 +464,67 @@ def connected_labels(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return labels
 
 
-def components(pixels: DataFrame, mask: Column) -> DataFrame:
+#: Rows and columns of a tile, inside which components are found in one task.
+TILE = 256
+
+
+def _first_pixels(row: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the first pixel of each pixel's 4-connected component: runs along rows, merged where runs touch.
+
+    Every run hooks to the smallest run that it touches, and pointers are followed to their ends, until touching runs agree.
+    """
+    order = np.lexsort((col, row))
+    r, c = row[order], col[order]
+    start = np.ones(len(r), bool)
+    start[1:] = (r[1:] != r[:-1]) | (c[1:] != c[:-1] + 1)
+    run = np.cumsum(start) - 1
+    width = int(c.max()) + 2
+    place = r * width + c
+    below = np.searchsorted(place, place + width)
+    at = np.flatnonzero((below < len(place)) & (place[np.minimum(below, len(place) - 1)] == place + width))
+    pairs = np.unique(np.stack([run[at], run[below[at]]], axis=1), axis=0)
+    parent = np.arange(run[-1] + 1)
+    while True:
+        a, b = parent[pairs[:, 0]], parent[pairs[:, 1]]
+        if (a == b).all():
+            break
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+        while (parent != parent[parent]).any():
+            parent = parent[parent]
+    heads = np.flatnonzero(start)[parent[run]]
+    first = np.empty(len(order), np.int64)
+    first[order] = heads
+    return r[first], c[first]
+
+
+def components(pixels: DataFrame, mask: Column, tile: int = TILE) -> DataFrame:
     """4-connected components of the mask pixels of each raster: (raster_id, row, col, component), named by their first pixel.
 
-    Pixels of a row that touch form one run, so labels travel between runs; two runs are linked when
-    a pixel of one lies above a pixel of the other, found by an equi-join on the position.
+    Components are found inside tiles. Those that touch the border of a tile are linked to what they touch on the other side, and
+    only they go through the rounds of :func:`connected_labels`, so what is shuffled there grows with the borders.
     """
-    place = ["raster_id", "row", "col"]
-    on = pixels.filter(mask).select(*place)
-    start = F.col("col") - F.row_number().over(W.partitionBy("raster_id", "row").orderBy("col"))
-    grouped = on.withColumn("__g", start)
-    first = grouped.groupBy("raster_id", "row", "__g").agg(F.min("col").alias("__c"))
-    run = F.struct("raster_id", "row", F.col("__c").alias("col"))
-    runs = materialise(grouped.join(first, ["raster_id", "row", "__g"]).select(*place, run.alias("run")))
-    below = runs.select("raster_id", (F.col("row") - 1).alias("row"), "col", F.col("run").alias("dst"))
-    links = runs.join(below, place).select(F.col("run").alias("src"), "dst").distinct()
-    labels = connected_labels(runs.select(F.col("run").alias("id")).distinct(), links)
-    return runs.join(labels, F.col("run") == F.col("id")).select(*place, F.col("label").alias("component"))
+    kinds = {c: pixels.schema[c].dataType for c in ("raster_id", "row", "col")}
+    out = T.StructType([T.StructField(c, k) for c, k in kinds.items()] + [T.StructField("__r", kinds["row"]), T.StructField("__c", kinds["col"])])
+
+    def labelled(table: pa.Table) -> pa.Table:
+        row, col = (table[c].to_numpy().astype(np.int64) for c in ("row", "col"))
+        r, c = _first_pixels(row - row.min(), col - col.min())
+        kept = table.select(["raster_id", "row", "col"])
+        return kept.append_column("__r", pa.array(r + row.min(), table["row"].type)).append_column("__c", pa.array(c + col.min(), table["col"].type))
+
+    on = pixels.filter(mask).select("raster_id", "row", "col").distinct()
+    tiles = on.withColumns({"__tr": F.floor(F.col("row") / tile), "__tc": F.floor(F.col("col") / tile)})
+    local = materialise(tiles.groupBy("raster_id", "__tr", "__tc").applyInArrow(labelled, out))
+    label = F.struct("raster_id", F.col("__r").alias("row"), F.col("__c").alias("col"))
+    border = local.where((F.pmod("row", F.lit(tile)).isin(0, tile - 1)) | (F.pmod("col", F.lit(tile)).isin(0, tile - 1))).select(
+        "raster_id", "row", "col", label.alias("own"))
+    right = border.where(F.pmod("col", F.lit(tile)) == 0).select("raster_id", "row", (F.col("col") - 1).alias("col"), F.col("own").alias("dst"))
+    under = border.where(F.pmod("row", F.lit(tile)) == 0).select("raster_id", (F.col("row") - 1).alias("row"), "col", F.col("own").alias("dst"))
+    links = materialise(border.withColumnRenamed("own", "src").join(right.unionByName(under), ["raster_id", "row", "col"]).select("src", "dst").distinct())
+    touching = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    merged = connected_labels(touching, links).where("label <> id")
+    joined = local.withColumn("id", label).join(merged, "id", "left")
+    return joined.select("raster_id", "row", "col", F.coalesce("label", "id").alias("component"))
 
 
 def instances(labelled: DataFrame, limit=None) -> DataFrame:

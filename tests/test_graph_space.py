@@ -239,3 +239,84 @@ def test_projection_and_crs(spark):
         sp.reproject(pts, "x", "y", "EPSG:2154", "EPSG:4326")
     with pytest.raises(ValueError):
         sp.check_crs(pts.withColumn("crs", F.lit("EPSG:4326")), pts.withColumn("crs", F.lit("EPSG:3857")))
+
+
+def plain_within(px, py, ring):
+    inside = False
+    for (ax, ay), (bx, by) in zip(ring[:-1], ring[1:]):
+        if (bx - ax) * (py - ay) == (by - ay) * (px - ax) and min(ax, bx) <= px <= max(ax, bx) and min(ay, by) <= py <= max(ay, by):
+            return False
+        if (ay > py) != (by > py) and px < ax + (py - ay) * (bx - ax) / (by - ay):
+            inside = not inside
+    return inside
+
+
+def star(rng, x, y, radius, corners):
+    turns = np.sort(rng.random(corners)) * 2 * np.pi
+    reach = radius * (0.3 + 0.7 * rng.random(corners))
+    ring = [(float(np.round(x + r * np.cos(t), 3)), float(np.round(y + r * np.sin(t), 3))) for r, t in zip(reach, turns)]
+    return ring + ring[:1]
+
+
+SHAPE = "poly_id int, name string, ring array<struct<x:double,y:double>>"
+
+
+@pytest.mark.parametrize("cell", [100.0, 5.0, 0.7])
+def test_points_in_polygons_of_all_sizes(spark, cell, monkeypatch):
+    rng = np.random.default_rng(12)
+    shapes = [star(rng, *rng.uniform(0, 100, 2), size, n) for size, n in ((60, 40), (30, 7), (8, 5), (1, 9), (0.2, 4), (45, 200))]
+    shapes += [[(10, 10), (30, 10), (30, 30), (10, 30), (10, 10)], [(10, 10), (20, 20), (30, 10), (10, 10)]]
+    rows = [(i, f"s{i}", ring) for i, ring in enumerate(shapes)] + [(90, "none", None), (91, "short", [(0.0, 0.0), (1.0, 1.0)]), (92, "odd", [(0.0, float("nan"))] * 5)]
+    polygons = spark.createDataFrame([(i, n, None if r is None else [(float(x), float(y)) for x, y in r]) for i, n, r in rows], SHAPE)
+    spots = [tuple(map(float, np.round(p, 2))) for p in rng.uniform(-10, 110, (400, 2))] + [(10.0, 10.0), (20.0, 10.0), (20.0, 20.0), (15.0, 25.0), (30.0, 30.0)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(spots)] + [(1000, None, 5.0)], "pt_id int, x double, y double")
+    expected = {(i, j) for i, p in enumerate(spots) for j, ring in enumerate(shapes) if plain_within(*p, [tuple(map(float, q)) for q in ring])}
+    for crowd in (20_000, 3):
+        monkeypatch.setattr(sp, "CROWDED", crowd)
+        got = [(r["pt_id"], r["poly_id"]) for r in sp.points_in_polygons(points, polygons, "ring", cell).collect()]
+        assert len(got) == len(set(got)) and {g for g in got if g[1] is not None} == expected
+        assert {g[0] for g in got if g[1] is None} == {*range(len(spots)), 1000} - {i for i, _ in expected}
+
+
+def test_a_continent_takes_cells_along_its_boundary(spark):
+    turns = np.linspace(0, 2 * np.pi, 2001)
+    ring = np.stack([5000 * np.cos(turns), 4000 * np.sin(turns)], axis=1)
+    ring[-1] = ring[0]
+    inside, border, _, _ = sp.quad_cover(ring, 10.0)
+    assert len(inside) + len(border) < 12 * 28_400 / 10  # the boundary is about 28,400 long; the extent has 800,000 cells
+    area = len(border) * 100 + ((10.0 * sp.FACTOR ** inside[:, 0]) ** 2).sum()
+    assert np.pi * 5000 * 4000 <= area <= 1.01 * np.pi * 5000 * 4000
+    polygons = spark.createDataFrame([(1, "land", [tuple(map(float, p)) for p in ring])], SHAPE)
+    spots = [(0.0, 0.0), (4999.0, 0.0), (5000.5, 0.0), (0.0, -3999.0), (3600.0, 2800.0), (3530.0, 2820.0)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(spots)], "pt_id int, x double, y double")
+    got = {r["pt_id"] for r in sp.points_in_polygons(points, polygons, "ring", 10.0, how="inner").collect()}
+    assert got == {i for i, p in enumerate(spots) if plain_within(*p, [tuple(q) for q in ring])}
+
+
+@pytest.mark.parametrize("tile", [256, 7, 1])
+def test_components_across_tiles(spark, tile):
+    rng = np.random.default_rng(3)
+    masks = [rng.random((40, 33)) < 0.6, np.ones((9, 30), bool), np.zeros((3, 3), bool)]
+    spiral = np.zeros((21, 21), bool)
+    for k in range(0, 10, 2):
+        spiral[k, k:21 - k] = spiral[k:21 - k, 20 - k] = spiral[20 - k, k:21 - k] = True
+        spiral[k + 2:21 - k, k] = True
+    masks.append(spiral)
+    rows = [(m, r, c, bool(v)) for m, mask in enumerate(masks) for (r, c), v in np.ndenumerate(mask)]
+    pixels = spark.createDataFrame(rows, "raster_id long, row int, col int, on boolean")
+    expected = {}
+    for m, mask in enumerate(masks):
+        seen = np.zeros(mask.shape, bool)
+        for start in zip(*np.nonzero(mask)):
+            if seen[start]:
+                continue
+            queue, seen[start] = deque([start]), True
+            while queue:
+                r, c = queue.popleft()
+                expected[m, int(r), int(c)] = (m, *map(int, start))
+                for a, b in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)):
+                    if 0 <= a < mask.shape[0] and 0 <= b < mask.shape[1] and mask[a, b] and not seen[a, b]:
+                        seen[a, b] = True
+                        queue.append((a, b))
+    got = {(r["raster_id"], r["row"], r["col"]): tuple(r["component"]) for r in sp.components(pixels, F.col("on"), tile).collect()}
+    assert got == expected
