@@ -89,6 +89,10 @@ def agreement_levels(compared: DataFrame, specs: Sequence[Comparison]) -> DataFr
     return compared.withColumns(levels)
 
 
+#: A level that never occurs keeps this probability.
+LEAST_PROBABILITY = 1e-9
+
+
 @dataclass(frozen=True)
 class MatchModel:
     """Share of matches and the level probabilities among matches (m) and others (u)."""
@@ -103,37 +107,64 @@ def pattern_counts(levelled: DataFrame, names: Sequence[str]) -> DataFrame:
     return levelled.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
 
 
-def fit_patterns(patterns: np.ndarray, counts: np.ndarray, sizes: Sequence[int], tol: float | None = 1e-9, most=500) -> MatchModel:
+def _em_step(theta: np.ndarray, patterns: np.ndarray, counts: np.ndarray, sizes: Sequence[int]) -> tuple[np.ndarray, float]:
+    """The parameters (share, m of each field, u of each field) after one EM step, and the log-likelihood before it."""
+    ends = 1 + np.cumsum([*sizes, *sizes])[:-1]
+    parts = np.split(theta[1:], ends - 1)
+    pm, pu = np.full(len(counts), theta[0]), np.full(len(counts), 1 - theta[0])
+    for j in range(len(sizes)):
+        pm, pu = pm * parts[j][patterns[:, j]], pu * parts[len(sizes) + j][patterns[:, j]]
+    both = np.maximum(pm + pu, 1e-300)
+    wm, wu = counts * pm / both, counts * pu / both
+    out = [np.array([wm.sum() / counts.sum()])]
+    for weights in (wm, wu):
+        for j, s in enumerate(sizes):
+            v = np.maximum(np.bincount(patterns[:, j], weights, s) / max(weights.sum(), 1e-300), LEAST_PROBABILITY)
+            out.append(v / v.sum())
+    return np.concatenate(out), float((counts * np.log(both)).sum())
+
+
+def _feasible(theta: np.ndarray, sizes: Sequence[int]) -> np.ndarray:
+    """Back into the range of probabilities after a long step."""
+    out = [np.clip(theta[:1], 1e-12, 1 - 1e-12)]
+    for part in np.split(theta[1:], np.cumsum([*sizes, *sizes])[:-1]):
+        part = np.maximum(part, LEAST_PROBABILITY)
+        out.append(part / part.sum())
+    return np.concatenate(out)
+
+
+def fit_patterns(patterns: np.ndarray, counts: np.ndarray, sizes: Sequence[int], tol: float | None = 1e-13, most=5_000) -> MatchModel:
     """EM for two classes with independent fields, on the table of agreement patterns.
 
-    It starts with matches that agree more often, so the classes cannot swap. It ends when the likelihood settles, or after
-    ``most`` steps; with ``tol`` None after ``most`` steps exactly.
+    It starts with matches that agree more often, so the classes cannot swap. Where matches are few, plain steps creep, so
+    two of them are extrapolated along their differences (squared iterative steps); an extrapolation that lowers
+    the likelihood is dropped. It ends when a plain step changes no parameter by more than ``tol``, or after ``most``
+    rounds; with ``tol`` None it takes ``most`` plain steps exactly.
     """
-    k, total = len(sizes), counts.sum()
-    m = [np.array([0.1] + [0.9 / (s - 1)] * (s - 1)) for s in sizes]
-    u = [np.array([0.9] + [0.1 / (s - 1)] * (s - 1)) for s in sizes]
-    for v, s in zip(m, sizes):
-        v[1:] = 0.9 * np.arange(1, s) / np.arange(1, s).sum()
-    share, last = 0.05, -np.inf
-    for step in range(1, most + 1):
-        pm, pu = np.full(len(counts), share), np.full(len(counts), 1 - share)
-        for j in range(k):
-            pm, pu = pm * m[j][patterns[:, j]], pu * u[j][patterns[:, j]]
-        post = pm / np.maximum(pm + pu, 1e-300)
-        loglik = float((counts * np.log(np.maximum(pm + pu, 1e-300))).sum())
-        wm, wu = counts * post, counts * (1 - post)
-        share = float(wm.sum() / total)
-        for j, s in enumerate(sizes):
-            m[j] = np.maximum(np.bincount(patterns[:, j], wm, s) / max(wm.sum(), 1e-300), 1e-9)
-            u[j] = np.maximum(np.bincount(patterns[:, j], wu, s) / max(wu.sum(), 1e-300), 1e-9)
-            m[j], u[j] = m[j] / m[j].sum(), u[j] / u[j].sum()
-        if tol is not None and loglik - last < tol * abs(loglik):
+    theta = np.concatenate([[0.05], *[[0.1, *(0.9 * np.arange(1, s) / np.arange(1, s).sum())] for s in sizes],
+                            *[[0.9, *[0.1 / (s - 1)] * (s - 1)] for s in sizes]])
+    step = lambda t: _em_step(t, patterns, counts, sizes)
+    for turn in range(1, most + 1):
+        one, before = step(theta)
+        if tol is None:
+            theta = one
+            continue
+        two, _ = step(one)
+        r, v = one - theta, two - 2 * one + theta
+        if np.abs(two - one).max() <= tol:
+            theta = two
             break
-        last = loglik
-    return MatchModel(share, [list(map(float, v)) for v in m], [list(map(float, v)) for v in u], step)
+        length = np.linalg.norm(v)
+        alpha = -max(1.0, np.linalg.norm(r) / length) if length > 0 else -1.0
+        far, reached = step(_feasible(theta - 2 * alpha * r + alpha * alpha * v, sizes))
+        _, plain = step(two)
+        theta = far if reached >= plain else two
+    k = len(sizes)
+    parts = [list(map(float, p)) for p in np.split(theta[1:], np.cumsum([*sizes, *sizes])[:-1])]
+    return MatchModel(float(theta[0]), parts[:k], parts[k:], turn)
 
 
-def fit_linkage(levelled: DataFrame, specs: Sequence[Comparison], tol: float | None = 1e-9, most=500) -> MatchModel:
+def fit_linkage(levelled: DataFrame, specs: Sequence[Comparison], tol: float | None = 1e-13, most=5_000) -> MatchModel:
     """Fit the model to the pattern counts: at most product(levels) rows reach the driver."""
     names = [f"{s.field}_level" for s in specs]
     rows = sorted(map(tuple, pattern_counts(levelled, names).collect()))
@@ -150,7 +181,7 @@ def posterior(model: MatchModel, specs: Sequence[Comparison]) -> Column:
     return 1.0 / (1.0 + F.exp(-log_odds))
 
 
-def probabilistic_pairs(a, b, key, block, specs: Sequence[Comparison], tol: float | None = 1e-9, most=500) -> tuple[DataFrame, MatchModel]:
+def probabilistic_pairs(a, b, key, block, specs: Sequence[Comparison], tol: float | None = 1e-13, most=5_000) -> tuple[DataFrame, MatchModel]:
     """Compared pairs with their posterior, and the fitted model."""
     pairs = candidate_pairs(a, b, key, block, [s.field for s in specs])
     levelled = materialise(agreement_levels(compare(pairs, specs), specs))

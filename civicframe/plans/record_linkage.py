@@ -78,40 +78,37 @@ def _(t):
     return rows.select("id_a", "id_b", *[F.round(f"{f}_sim", 6).alias(f"{f}_sim") for f in FIELDS], F.lit(1).alias("zipcode_exact"))
 
 
-EM_STEPS = 20
+# Plain steps in the SQL text, far beyond where the posterior settles; the operator gets there by extrapolation.
+EM_STEPS = 20_000
 
 
 def em_sql(steps: int) -> str:
-    """Two-class EM on the pattern counts, one common table expression per step.
+    """Two-class EM on the pattern counts by recursion, one row of parameters a step.
 
-    ``p0`` holds the starting share and, per field and level, the probabilities among matches and among others.
+    A row holds the share and, per field and level, the probabilities among matches and among others.
     """
     short = ("f", "l", "y")
     m0 = [0.1, 0.9 * 1 / 3, 0.9 * 2 / 3]
     u0 = [0.9, 0.05, 0.05]
     start = ", ".join(f"{v}::DOUBLE AS {c}{x}{k}" for c, vs in (("m", m0), ("u", u0)) for x in short for k, v in enumerate(vs))
-    out = [f"p0 AS MATERIALIZED (SELECT 0.05::DOUBLE AS share, {start})"]
     names = dict(zip(short, FIELDS))
 
     def product(c: str, lead: str) -> str:
         return lead + "".join(f" * CASE {names[x]}_level WHEN 0 THEN {c}{x}0 WHEN 1 THEN {c}{x}1 ELSE {c}{x}2 END" for x in short)
 
-    for i in range(steps):
-        out.append(f"w{i} AS (SELECT *, {product('m', 'share')} AS pm, {product('u', '(1 - share)')} AS pu FROM patterns, p{i})")
-        parts = ["SUM(n * pm / (pm + pu)) / SUM(n) AS share"]
-        for c, weight in (("m", "n * pm / (pm + pu)"), ("u", "n * pu / (pm + pu)")):
-            for x in short:
-                raw = [f"greatest(COALESCE(SUM({weight}) FILTER (WHERE {names[x]}_level = {k}), 0) / SUM({weight}), 1e-9)" for k in range(3)]
-                parts += [f"{raw[k]} / ({' + '.join(raw)}) AS {c}{x}{k}" for k in range(3)]
-        out.append(f"p{i + 1} AS MATERIALIZED (SELECT {', '.join(parts)} FROM w{i})")
-    out.append(f"""posterior AS (SELECT id_a, id_b, ROUND(1 / (1 + {product('u', '(1 - share)')} / ({product('m', 'share')})), 6) AS posterior
-FROM levelled, p{steps})""")
-    return ", ".join(out)
+    parts = ["SUM(n * pm / (pm + pu)) / SUM(n)"]
+    for weight in ("n * pm / (pm + pu)", "n * pu / (pm + pu)"):
+        for x in short:
+            raw = [f"greatest(COALESCE(SUM({weight}) FILTER (WHERE {names[x]}_level = {k}), 0) / SUM({weight}), 1e-9)" for k in range(3)]
+            parts += [f"{raw[k]} / ({' + '.join(raw)})" for k in range(3)]
+    return f"""em AS (SELECT 0 AS step, 0.05::DOUBLE AS share, {start} UNION ALL
+SELECT step + 1, {', '.join(parts)} FROM (SELECT *, {product('m', 'share')} AS pm, {product('u', '(1 - share)')} AS pu FROM patterns, em) WHERE step < {steps} GROUP BY step),
+posterior AS (SELECT id_a, id_b, ROUND(1 / (1 + {product('u', '(1 - share)')} / ({product('m', 'share')})), 6) AS posterior FROM levelled, em WHERE step = {steps})"""
 
 
-@query("n4_posterior_pairs", HEAD + f", {SIMS}, levelled AS MATERIALIZED (SELECT id_a, id_b, {LEVELS} FROM scored), patterns AS MATERIALIZED (SELECT firstname_level, lastname_level, birthyear_level, COUNT(*) AS n FROM levelled GROUP BY ALL), {em_sql(EM_STEPS)} SELECT id_a, id_b, posterior FROM posterior")
+@query("n4_posterior_pairs", HEAD.replace("WITH ", "WITH RECURSIVE ", 1) + f", {SIMS}, levelled AS MATERIALIZED (SELECT id_a, id_b, {LEVELS} FROM scored), patterns AS MATERIALIZED (SELECT firstname_level, lastname_level, birthyear_level, COUNT(*) AS n FROM levelled GROUP BY ALL), {em_sql(EM_STEPS)} SELECT id_a, id_b, posterior FROM posterior")
 def _(t):
-    pairs, _model = ln.probabilistic_pairs(*people(t), "id", ["zipcode"], SPECS, tol=None, most=EM_STEPS)
+    pairs, _model = ln.probabilistic_pairs(*people(t), "id", ["zipcode"], SPECS)
     return pairs.select("id_a", "id_b", F.round("posterior", 6).alias("posterior"))
 
 

@@ -143,6 +143,27 @@ def test_em_recovers_known_rates():
     assert model.m[0][1] == pytest.approx(0.9, abs=0.04) and model.u[2][1] == pytest.approx(0.2, abs=0.02)
 
 
+def test_extrapolated_steps_reach_the_limit_of_plain_ones():
+    """With one match in a thousand pairs plain steps creep; the fit must agree with very many of them."""
+    rng = np.random.default_rng(5)
+    patterns = np.array(list(itertools.product(range(3), repeat=3)))
+    m, u = [[0.1, 0.2, 0.7], [0.2, 0.2, 0.6], [0.05, 0.15, 0.8]], [[0.8, 0.15, 0.05], [0.7, 0.2, 0.1], [0.6, 0.3, 0.1]]
+    pm, pu = (np.prod([np.array(v[j])[patterns[:, j]] for j in range(3)], axis=0) for v in (m, u))
+    counts = rng.multinomial(400_000, 0.001 * pm + 0.999 * pu).astype(float)
+
+    def posteriors(model):
+        a, b = model.share, 1 - model.share
+        for j in range(3):
+            a, b = a * np.array(model.m[j])[patterns[:, j]], b * np.array(model.u[j])[patterns[:, j]]
+        return a / (a + b)
+
+    fast = ln.fit_patterns(patterns, counts, [3, 3, 3])
+    plain = ln.fit_patterns(patterns, counts, [3, 3, 3], tol=None, most=40_000)
+    assert np.abs(posteriors(fast) - posteriors(plain)).max() < 1e-6
+    short = ln.fit_patterns(patterns, counts, [3, 3, 3], tol=None, most=20)
+    assert np.abs(posteriors(short) - posteriors(plain)).max() > 1e-3
+
+
 def test_set_overlap_is_exact(spark):
     docs = spark.range(120).select("id", F.explode(F.sequence(F.lit(0), F.lit(14))).alias("k"))
     # A third of the entities hold one and the same set.
