@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from civicframe.functions.hashing import hash48, sql_hash48
 from civicframe.plans.registry import query
+from civicframe.session import scratch_path
 from civicframe.streaming import monitor as mo
 
 SPACE = "281474976710656.0"
@@ -45,10 +46,10 @@ SELECT CAST(d.day AS VARCHAR) AS day, b.level, ROUND(COALESCE(k, 0) * 1.0 / n -
 def _(t):
     n = t.events.count()
     baseline = t.events.groupBy(F.col("event_type").alias("level")).agg((F.count(F.lit(1)) / F.lit(n)).alias("share"))
-    out = mo.run_available(mo.drift_alerts(stream(t), "ts", "event_type", baseline, 0.03), "drift", "complete")
-    return out.select(day().alias("day"), "level", F.round("difference", 6).alias("difference"))
+    counts = mo.run_available(mo.level_counts(stream(t), "ts", "event_type"), "drift", "complete")
+    return mo.drift_alerts(counts, baseline, 0.03).select(day().alias("day"), "level", F.round("difference", 6).alias("difference"))
 
 
 @query("t3_first_seen_assignment", f"SELECT DISTINCT user_id, {ARM} AS treat FROM events")
 def _(t):
-    return mo.run_available(mo.first_seen(stream(t), "user_id", "ts", "live"), "first-seen", "append")
+    return mo.assign_first_seen(stream(t), "user_id", "live", scratch_path(t.spark, "first-seen")).select("user_id", "treat")

@@ -134,8 +134,8 @@ def _(t):
     return gr.adjusted_rand(rows, "label", "dim").withColumn("ari", F.round("ari", 9))
 
 
-ADJ = GRAPH + """, full_e AS (SELECT src, dst FROM edges UNION ALL SELECT id, id FROM nodes),
-adj AS (SELECT src, dst, 1.0 / SQRT((x.d + 1.0) * (y.d + 1.0)) AS w FROM full_e JOIN deg x ON x.id = src JOIN deg y ON y.id = dst)"""
+ADJ = GRAPH + """, known AS MATERIALIZED (SELECT id, d FROM deg), full_e AS MATERIALIZED (SELECT src, dst FROM edges UNION ALL SELECT id, id FROM nodes),
+adj AS MATERIALIZED (SELECT src, dst, 1.0 / SQRT((x.d + 1.0) * (y.d + 1.0)) AS w FROM full_e JOIN known x ON x.id = src JOIN known y ON y.id = dst)"""
 
 
 @query("l10_normalised_adjacency", f"WITH {ADJ} SELECT src, dst, ROUND(w, 9) AS w FROM adj")

@@ -42,7 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     path = tempfile.mkdtemp(prefix="civicframe-")
     atexit.register(shutil.rmtree, path, ignore_errors=True)

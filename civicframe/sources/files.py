@@ -40,11 +40,10 @@ def read_platform_csv(spark: SparkSession, path: str, schema: T.StructType, skip
     def drop_leading(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, int] = {}
         for batch in batches:
-            keep = []
-            for file, start in zip(batch["__file"], batch["__start"]):
-                seen[file] = seen.get(file, 0) + 1
-                keep.append(start > 0 or seen[file] > skip + 1)
-            yield batch.loc[keep, names]
+            place = batch.groupby("__file").cumcount() + batch["__file"].map(seen).fillna(0)
+            yield batch.loc[(batch["__start"] > 0) | (place > skip), names]
+            for file, n in batch["__file"].value_counts().items():
+                seen[file] = seen.get(file, 0) + n
 
     body = raw.mapInPandas(drop_leading, text)
     return body.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])

@@ -35,30 +35,36 @@ def daily_by_arm(events: DataFrame, ts: str, value: str, treat: str, delay: str
         F.avg(F.col(value).isNull().cast("int")).alias("missing_share"))
 
 
-def drift_alerts(events: DataFrame, ts: str, level: str, baseline: DataFrame, limit: float, delay="1 hour", window="1 day") -> DataFrame:
-    """Windows in which the share of a level differs from its baseline share by more than ``limit``.
+def level_counts(events: DataFrame, ts: str, level: str, delay="1 hour", window="1 day") -> DataFrame:
+    """Rows by window and level, however many levels there are: (w, level, n)."""
+    marked = events.withWatermark(ts, delay) if events.isStreaming else events
+    return marked.groupBy(F.window(ts, window).alias("w"), F.col(level).alias("level")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def drift_alerts(counts: DataFrame, baseline: DataFrame, limit: float) -> DataFrame:
+    """Windows in which the share of a level differs from its baseline share by more than ``limit`` (> 0).
 
-    One aggregation per window counts every level of the (small) baseline, so shares need no second
-    stateful step; the baseline is joined to the finished windows as a static table.
+    ``counts`` is the table that :func:`level_counts` keeps. A level that a window lacks has the share 0 there; that is
+    an alert only if its baseline share exceeds the limit, which holds for fewer than 1 / limit levels, so only those meet every window.
     """
-    levels = [r[0] for r in baseline.select("level").distinct().limit(1001).collect()]
-    if len(levels) > 1000:
-        raise ValueError("too many levels to watch")
-    marked = events.withWatermark(ts, delay) if events.isStreaming else events
-    wide = marked.groupBy(F.window(ts, window).alias("w")).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(level) == v).alias(f"c{i}") for i, v in enumerate(levels)])
-    rows = F.array(*[F.struct(F.lit(v).alias("level"), (F.col(f"c{i}") / F.col("n")).alias("share")) for i, v in enumerate(levels)])
-    shares = wide.select("w", "n", F.inline(rows))
-    joined = shares.join(baseline.select("level", F.col("share").alias("baseline_share")), "level")
-    return joined.withColumn("difference", F.col("share") - F.col("baseline_share")).filter(F.abs("difference") > limit)
+    if limit <= 0:
+        raise ValueError("alerts need a limit above 0")
+    totals = counts.groupBy("w").agg(F.sum("n").alias("total"))
+    expected = baseline.select("level", F.col("share").alias("baseline_share"))
+    frequent = expected.filter(F.col("baseline_share") > limit)
+    lacking = totals.crossJoin(F.broadcast(frequent)).join(counts, ["w", "level"], "left_anti").select(
+        "w", "level", "total", F.lit(0.0).alias("share"), "baseline_share")
+    present = counts.join(totals, "w").join(expected, "level").select(
+        "w", "level", "total", (F.col("n") / F.col("total")).alias("share"), "baseline_share")
+    rows = present.unionByName(lacking).withColumnRenamed("total", "n")
+    return rows.withColumn("difference", F.col("share") - F.col("baseline_share")).filter(F.abs("difference") > limit)
 
 
 def first_seen(events: DataFrame, key: str, ts: str, seed: str, within: str | None = None) -> DataFrame:
     """Each unit once, with its arm, when it is first seen.
 
-    A stream remembers every unit that it has seen; keep that state in RocksDB when there are many. ``within`` bounds it: a
-    unit may then come again after that time.
+    A stream remembers every unit that it has seen in its state; :func:`assign_first_seen` keeps them in a table instead.
+    ``within`` bounds the state: a unit may then come again after that time.
     """
     once = events.select(key, ts)
     if within is not None and events.isStreaming:
@@ -68,6 +74,29 @@ def first_seen(events: DataFrame, key: str, ts: str, seed: str, within: str | No
     return once.select(key, arm(key, seed).alias("treat"))
 
 
+def assign_first_seen(stream: DataFrame, key: str, seed: str, folder: str) -> DataFrame:
+    """Process all files that are there now; each unit gets its arm once, in the batch that first brings it: (key, treat, batch).
+
+    The units of earlier batches are a table below ``folder``, not state in the executors' memory; a batch keeps what is not in it.
+    The checkpoint is there too, so a later call with the same folder goes on where this one ended. A batch that is run again
+    after a failure compares with the batches before it and overwrites its own part, so no unit comes twice or is lost.
+    """
+    spark, units = stream.sparkSession, f"{folder.rstrip('/')}/units"
+    kind = stream.schema[key].dataType
+    table = T.StructType([T.StructField(key, kind), T.StructField("treat", T.IntegerType()), T.StructField("batch", T.LongType())])
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.select(key).distinct()
+        if batch_id:
+            known = spark.read.schema(table).parquet(units).filter(F.col("batch") < batch_id).select(F.col(key).alias("__known"))
+            fresh = fresh.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
+        fresh.select(key, arm(key, seed).alias("treat")).write.mode("overwrite").parquet(f"{units}/batch={batch_id}")
+
+    query = stream.writeStream.option("checkpointLocation", f"{folder.rstrip('/')}/state").trigger(availableNow=True).foreachBatch(keep).start()
+    query.awaitTermination()
+    return spark.read.schema(table).parquet(units)
+
+
 def run_available(stream: DataFrame, name: str, mode: str = "append", finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Process all files that are there now, write to a table, and read the table back.
 
