@@ -57,12 +57,12 @@ def _(t):
 
 
 def topic_model(t, k=6, min_df=2, seed=123):
-    return tx.TopicModel(t.documents, "doc_id", "text", k=k, min_df=min_df, seed=seed)
+    return tx.topic_model(t.documents, "doc_id", "text", k=k, min_df=min_df, seed=seed)
 
 
 @query("j6_topic_words")
 def _(t):
-    return topic_model(t).topics(t.spark, 10)
+    return topic_model(t).topics(10)
 
 
 @query("j7_dominant_topics")
