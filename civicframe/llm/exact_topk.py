@@ -60,7 +60,8 @@ def _blocks(rows: DataFrame, per_block: int, name: str) -> DataFrame:
 
 def _matrix(block: dict, prefix: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     read = lambda k: np.frombuffer(block[f"{prefix}_{k}"], "<i8")
-    return read("ids"), read("rows"), np.frombuffer(block[f"{prefix}_matrix"]).reshape(-1, block[f"{prefix}_dims"])
+    ids = read("ids")
+    return ids, read("rows"), np.frombuffer(block[f"{prefix}_matrix"]).reshape(len(ids), block[f"{prefix}_dims"])
 
 
 def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:

@@ -92,7 +92,7 @@ def lowest_until(rows: DataFrame, group: str, key: str, size: str, budget: DataF
 
 
 def plan_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-             weights: tuple[int, ...] = (1, 2, 3), limit: int = 3, seed: str = "mix") -> DataFrame:
+             weights: tuple[int, ...] = (1, 2, 3), limit: int = 3, seed: str = "mix", odds: str | None = None) -> DataFrame:
     """How often the mix takes each row: doc_id, row, size, source_size, target, copies, taken.
 
     Every document of a source is taken floor(target / source_size) times. One more copy goes to a Pareto
@@ -100,13 +100,35 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     at the cut is in if that comes closer. The uniform number is a hash of (seed, doc_id, md5 of the text), so reruns and other
     partitionings agree. Equal rows are told apart by their place in the input. Size is the number of words; null and empty
     texts have size 0 and taken 0. The null source is a source. An empty table gives an empty table.
+
+    Without ``odds`` the documents of a source have one inclusion probability, and the order of the sample is that of the uniform
+    numbers. ``odds`` names a column of positive numbers: a document's probability is then in proportion to its number, scaled
+    so that the source's expected words stay the same, and clipped below 1. Null and other numbers count as 0: such a document gets
+    whole copies only.
     """
-    narrow = pick(docs, doc_id=doc_id, source=source, text=text).select(
+    extra = {"odds": odds} if odds else {}
+    narrow = pick(docs, doc_id=doc_id, source=source, text=text, **extra).select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("bigint").alias("size"),
-        hash_unit(seed, "doc_id", F.md5(F.col("text").cast("binary"))).alias("u"), F.monotonically_increasing_id().alias("row"))
+        hash_unit(seed, "doc_id", F.md5(F.col("text").cast("binary"))).alias("u"), F.monotonically_increasing_id().alias("row"),
+        *[F.when(F.col(c) > 0, F.col(c).cast("double")).otherwise(0.0).alias(c) for c in extra])
     return _taken(materialise(narrow), weights, limit)
 
 
+#: The largest inclusion probability of a document whose odds would give more.
+MOST_LIKELY = 1 - 1e-6
+
+
+def _inclusion(rows: DataFrame) -> DataFrame:
+    """Add ``chance``: the fraction of the source, or in proportion to the odds with the fraction as its mean over the words."""
+    if "odds" not in rows.columns:
+        return rows.withColumn("chance", F.col("fraction"))
+    means = rows.groupBy(F.col("source").alias("of")).agg(
+        F.try_divide(F.sum(F.col("odds") * F.col("size")), F.sum("size")).alias("mean"))
+    scaled = F.col("fraction") * F.try_divide(F.col("odds"), F.col("mean"))
+    return rows.join(means, F.col("source").eqNullSafe(F.col("of"))).withColumn(
+        "chance", F.coalesce(F.least(scaled, F.lit(MOST_LIKELY)), F.lit(0.0))).drop("of", "mean")
+
+
 def _taken(rows: DataFrame, weights, limit) -> DataFrame:
     """Add target and copies to (row, source, size, u) rows."""
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -115,8 +137,8 @@ def _taken(rows: DataFrame, weights, limit) -> DataFrame:
         F.col("source").alias("of"), "source_size", "target", F.floor("ratio").cast("bigint").alias("whole"),
         (F.col("ratio") - F.floor("ratio")).alias("fraction")))
     all_rows = rows.join(plan, rows["source"].eqNullSafe(plan["of"])).drop("of")
-    candidates = materialise(all_rows.where((F.col("fraction") > 0) & (F.col("size") > 0)).select(
-        "source", "size", "row", pareto_key(F.col("u"), F.col("fraction")).alias("key")))
+    candidates = materialise(_inclusion(all_rows.where((F.col("fraction") > 0) & (F.col("size") > 0))).where("chance > 0").select(
+        "source", "size", "row", pareto_key(F.col("u"), F.col("chance")).alias("key")))
     budget = plan.where("fraction > 0").select(
         F.col("of").alias("source"), (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget"))
     extra = lowest_until(candidates, "source", "key", "size", budget, ("row",)).withColumn("extra", F.lit(1))

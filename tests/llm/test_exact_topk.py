@@ -66,3 +66,9 @@ def test_few_rows(spark):
     check(spark, [(0, [1.0])])
     check(spark, [(0, [1.0]), (1, [2.0])])
     check(spark, [(1, [1.0]), (2, [2.0])])
+
+
+def test_blocks_of_empty_vectors_only(spark):
+    """Empty vectors score 0, also when a block holds nothing else."""
+    check(spark, [(i, []) for i in range(0, 120, 10)])
+    check(spark, [(i, []) for i in range(0, 60, 10)] + vectors(5, 3, 2))

@@ -93,6 +93,23 @@ def test_mix(spark, monkeypatch, ranked):
     assert counts == {r["doc_id"]: r["copies"] for r in got if r["copies"]}
 
 
+def test_higher_odds_are_taken_more_often(spark):
+    """With odds, the chance of a further copy follows them, and the mix still meets its targets."""
+    rows = [(i, "w " * (5 + i % 7), "ab"[i % 2], 1.0 + 3.0 * (i % 3 == 0) if i % 5 else None) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, worth double")
+    got = {r["doc_id"]: r for r in mixing.plan_mix(docs, weights=(1, 2), odds="worth").collect()}
+    for source in "ab":
+        of = [r for r in rows if r[2] == source]
+        whole = min(got[r[0]]["copies"] for r in of)
+        extra = {name: np.mean([got[r[0]]["copies"] - whole for r in of if r[3] == worth]) for name, worth in (("none", None), ("low", 1.0), ("high", 4.0))}
+        assert extra["none"] == 0 and extra["high"] > 2 * extra["low"] > 0
+        taken, target = sum(got[r[0]]["taken"] for r in of), got[of[0][0]]["target"]
+        assert abs(taken - target) <= 12
+    even = {r["doc_id"]: r["copies"] for r in mixing.plan_mix(docs).collect()}
+    same = {r["doc_id"]: r["copies"] for r in mixing.plan_mix(docs.withColumn("worth", F.lit(2.5)), odds="worth").collect()}
+    assert even == same
+
+
 def test_mix_of_awkward_rows(spark):
     docs = awkward(spark, extra=True)
     assert mixing.plan_mix(docs).count() == docs.count()
