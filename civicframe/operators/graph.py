@@ -210,17 +210,17 @@ def sample_sources(g: Graph, k: int, seed: str) -> DataFrame:
 SOURCES_PER_ROW, LINKS_AT_A_TIME = 256, 16_384
 
 
-def _matrix(column, width: int) -> np.ndarray:
+def unpacked(column, width: int) -> np.ndarray:
     """Packed rows of doubles as a matrix; null rows are zero."""
     zero = bytes(8 * width)
     return np.frombuffer(b"".join(zero if x is None else x for x in column.to_pylist()), np.float64).reshape(-1, width)
 
 
-def _packed(matrix: np.ndarray) -> pa.Array:
+def packed(matrix: np.ndarray) -> pa.Array:
     return pa.array([row.tobytes() for row in matrix], pa.binary())
 
 
-def _batches(df: DataFrame, schema: str, step: Callable[[pa.RecordBatch], list]) -> DataFrame:
+def batchwise(df: DataFrame, schema: str, step: Callable[[pa.RecordBatch], list]) -> DataFrame:
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
@@ -231,41 +231,51 @@ def _batches(df: DataFrame, schema: str, step: Callable[[pa.RecordBatch], list])
     return df.mapInArrow(run, schema)
 
 
-def _sent_along(rows: DataFrame, width: int, id_type: str) -> DataFrame:
-    """(block, x, links) to (block, id, x): the sum of the packed rows over the links that lead to a vertex.
+def sent_along(rows: DataFrame, width: int, id_type: str, weighted: bool = False) -> DataFrame:
+    """(block, x, links) to (block, id, x): the sum of the packed rows over the links that lead to a vertex, times their weights
+    if ``weighted``.
 
-    A link is read once for all sources of a block. Links of a batch that lead to one vertex are summed before they leave it.
+    A link is read once for all numbers of a row. Links of a batch that lead to one vertex are summed before they leave it.
     """
 
     def step(batch: pa.RecordBatch) -> list:
-        block, x, links = batch["block"].to_numpy(), _matrix(batch["x"], width), batch["links"]
+        block, x, links = batch["block"].to_numpy(), unpacked(batch["x"], width), batch["links"]
         of = np.repeat(np.arange(len(block)), np.diff(links.offsets.to_numpy()))
         ids, to = np.unique(links.flatten().field("dst").to_numpy(zero_copy_only=False), return_inverse=True)
         key = block[of].astype(np.int64) * max(1, len(ids)) + to
         order = np.argsort(key, kind="stable")
         of, to, key = of[order], to[order], key[order]
+        weights = links.flatten().field("w").to_numpy()[order] if weighted else None
         heads = np.flatnonzero(np.diff(key, prepend=-1))
         out = np.zeros((len(heads), width))
         place = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(to))))
         for at in range(0, len(to), LINKS_AT_A_TIME):
             own = place[at:at + LINKS_AT_A_TIME]
             first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            out[own[first]] += np.add.reduceat(x[of[at:at + LINKS_AT_A_TIME]], first, axis=0)
-        return [pa.array(block[of[heads]]), pa.array(ids[to[heads]]), _packed(out)]
+            sent = x[of[at:at + LINKS_AT_A_TIME]]
+            if weighted:
+                sent *= weights[at:at + LINKS_AT_A_TIME, None]
+            out[own[first]] += np.add.reduceat(sent, first, axis=0)
+        return [pa.array(block[of[heads]]), pa.array(ids[to[heads]], links.type.value_type.field("dst").type), packed(out)]
 
-    return _summed(_batches(rows, f"block int, id {id_type}, x binary", step), width, id_type)
+    return summed(batchwise(rows, f"block int, id {id_type}, x binary", step), width, id_type)
 
 
-def _summed(rows: DataFrame, width: int, id_type: str) -> DataFrame:
+def summed(rows: DataFrame, width: int, id_type: str) -> DataFrame:
     """(block, id, x) with the packed rows of equal (block, id) added up."""
     dealt = rows.repartition(shuffle_width(rows.sparkSession), "block", "id").sortWithinPartitions("block", "id")
 
     def run(batches):
-        held = None  # the last key of a batch may go on in the next
+        held, kind = None, None  # the last key of a batch may go on in the next
+
+        def row(held):
+            return pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int32()), pa.array([held[1]], kind), packed(held[2][None])], names=["block", "id", "x"])
+
         for batch in batches:
             if not len(batch):
                 continue
-            block, key, x = batch["block"].to_numpy(), batch["id"].to_numpy(zero_copy_only=False), _matrix(batch["x"], width)
+            kind = batch["id"].type
+            block, key, x = batch["block"].to_numpy(), batch["id"].to_numpy(zero_copy_only=False), unpacked(batch["x"], width)
             first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])]))
             sums = np.add.reduceat(x, first, axis=0)
             block, key = block[first], key[first]
@@ -273,11 +283,11 @@ def _summed(rows: DataFrame, width: int, id_type: str) -> DataFrame:
                 if held[0] == block[0] and held[1] == key[0]:
                     sums[0] += held[2]
                 else:
-                    yield pa.RecordBatch.from_arrays([pa.array([held[0]]), pa.array([held[1]]), _packed(held[2][None])], names=["block", "id", "x"])
-            yield pa.RecordBatch.from_arrays([pa.array(block[:-1]), pa.array(key[:-1]), _packed(sums[:-1])], names=["block", "id", "x"])
+                    yield row(held)
+            yield pa.RecordBatch.from_arrays([pa.array(block[:-1]), pa.array(key[:-1], kind), packed(sums[:-1])], names=["block", "id", "x"])
             held = block[-1], key[-1], sums[-1]
         if held is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([held[0]]), pa.array([held[1]]), _packed(held[2][None])], names=["block", "id", "x"])
+            yield row(held)
 
     return dealt.mapInArrow(run, f"block int, id {id_type}, x binary")
 
@@ -307,43 +317,43 @@ def betweenness(g: Graph, k: int = 200, seed: str = "betweenness", sources_per_r
             edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")))
 
         def unseen(batch: pa.RecordBatch) -> list:
-            x = _matrix(batch["x"], width).copy()
+            x = unpacked(batch["x"], width).copy()
             for c in batch.schema.names:
                 if c.startswith("seen"):
-                    x[_matrix(batch[c], width) > 0] = 0
+                    x[unpacked(batch[c], width) > 0] = 0
             keep = np.flatnonzero(x.any(axis=1))
-            return [batch["block"].take(pa.array(keep)), batch["id"].take(pa.array(keep)), _packed(x[keep])]
+            return [batch["block"].take(pa.array(keep)), batch["id"].take(pa.array(keep)), packed(x[keep])]
 
         reached = levels[0]
         while True:
-            steps = _sent_along(links.beside(levels[-1]), width, kind)
+            steps = sent_along(links.beside(levels[-1]), width, kind)
             for i, earlier in enumerate([reached] if g.directed else levels[-2:]):
                 steps = steps.join(earlier.withColumnRenamed("x", f"seen{i}"), ["block", "id"], "left")
-            fresh, size = materialise_observed(_batches(steps, schema, unseen), n=F.count(F.lit(1)))
+            fresh, size = materialise_observed(batchwise(steps, schema, unseen), n=F.count(F.lit(1)))
             if not size["n"]:
                 break
             levels.append(fresh)
             if g.directed:
-                reached = materialise(_summed(reached.unionByName(fresh), width, kind))
+                reached = materialise(summed(reached.unionByName(fresh), width, kind))
 
         def shares(batch: pa.RecordBatch) -> list:
-            sigma, delta = _matrix(batch["sigma"], width), _matrix(batch["delta"], width)
-            return [batch["block"], batch["id"], _packed(np.divide(1 + delta, sigma, out=np.zeros_like(sigma), where=sigma > 0))]
+            sigma, delta = unpacked(batch["sigma"], width), unpacked(batch["delta"], width)
+            return [batch["block"], batch["id"], packed(np.divide(1 + delta, sigma, out=np.zeros_like(sigma), where=sigma > 0))]
 
         def owed(batch: pa.RecordBatch) -> list:
-            return [batch["block"], batch["id"], batch["sigma"], _packed(_matrix(batch["sigma"], width) * _matrix(batch["x"], width))]
+            return [batch["block"], batch["id"], batch["sigma"], packed(unpacked(batch["sigma"], width) * unpacked(batch["x"], width))]
 
         def total(batch: pa.RecordBatch) -> list:
-            return [batch["id"], pa.array(_matrix(batch["delta"], width).sum(axis=1))]
+            return [batch["id"], pa.array(unpacked(batch["delta"], width).sum(axis=1))]
 
         later = levels[-1].select("block", "id", F.col("x").alias("sigma"), F.lit(None).cast("binary").alias("delta"))
         totals = None
         for depth in range(len(levels) - 1, 0, -1):
-            found = _batches(later.select("id", "delta"), f"id {kind}, delta double", total)
+            found = batchwise(later.select("id", "delta"), f"id {kind}, delta double", total)
             totals = found if totals is None else totals.unionByName(found)
-            flow = _sent_along(back.beside(_batches(later, schema, shares)), width, kind)
+            flow = sent_along(back.beside(batchwise(later, schema, shares)), width, kind)
             earlier = levels[depth - 1].withColumnRenamed("x", "sigma").join(flow, ["block", "id"], "left")
-            later = materialise(_batches(earlier, f"block int, id {kind}, sigma binary, delta binary", owed))
+            later = materialise(batchwise(earlier, f"block int, id {kind}, sigma binary, delta binary", owed))
     scale = (n / len(chosen)) / ((n - 1) * (n - 2)) if n > 2 else 1.0
     if totals is None:
         return g.vertices.withColumn("betweenness", F.lit(0.0))

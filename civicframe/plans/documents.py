@@ -82,10 +82,8 @@ def document_vectors(t, size=100):
 
 @query("j8_word_vectors")
 def _(t):
-    model, _docs = document_vectors(t)
-    from pyspark.ml.functions import vector_to_array
-
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    words, _docs = document_vectors(t)
+    return words.select("word", "vector")
 
 
 @query("j9_mean_vectors", "SELECT label, CAST(i - 1 AS INT) AS dim, ROUND(AVG(embedding[i]::DOUBLE), 9) AS x FROM embeddings, range(1, 65) AS g(i) GROUP BY 1, 2")
@@ -95,13 +93,13 @@ def _(t):
 
 @query("j9_document_vectors")
 def _(t):
-    _model, docs = document_vectors(t)
+    _words, docs = document_vectors(t)
     return docs.select("doc_id", "vector")
 
 
 @query("j10_ridge_on_vectors")
 def _(t):
-    _model, docs = document_vectors(t)
+    _words, docs = document_vectors(t)
     rows = rel.random_split(docs.select("doc_id", "vector", "y"), "doc_id", {"train": 0.75, "test": 0.25}, "ridge")
     return models.ridge_evaluation(rows, "y", "vector", "split", alpha=1.0)
 
