@@ -41,9 +41,11 @@ class GridCells:
         low = (self.origin + cells * self.width)[:, None, :]
         high = low + self.width - 1
         entry = self.entries[None]
-        near = np.maximum(np.maximum(low - entry, entry - high), 0)
         far = np.maximum(np.abs(entry - low), np.abs(entry - high))
-        return (near**2).sum(axis=2) <= (far**2).sum(axis=2).min(axis=1)[:, None]
+        best = self.entries[(far**2).sum(axis=2).argmin(axis=1)][:, None, :]
+        # How much farther than ``best`` an entry is changes linearly along each component: it is least at an end of the box.
+        ahead = np.minimum((low - entry) ** 2 - (low - best) ** 2, (high - entry) ** 2 - (high - best) ** 2)
+        return ahead.sum(axis=2) <= 0
 
     def _masks_of(self, cells: np.ndarray) -> np.ndarray:
         keys = [c.tobytes() for c in cells]
@@ -92,7 +94,7 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
 
 def _parts(batch: pa.RecordBatch, books: np.ndarray) -> np.ndarray:
     parts, _, size = books.shape
-    return _matrix(batch["v"], parts * size).reshape(-1, parts, size)
+    return _matrix(batch["v"], parts * size).reshape(len(batch), parts, size)
 
 
 def refined(rows: DataFrame, books: np.ndarray) -> np.ndarray:
@@ -120,7 +122,7 @@ def refined(rows: DataFrame, books: np.ndarray) -> np.ndarray:
     sent = rows.select("v").mapInArrow(run, "entry bigint, place bigint, total bigint")
     totals = sent.groupBy("entry", "place").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"))
     found = {(r["entry"], r["place"]): int(r["total"]) for r in totals.collect()}  # parts x entries x (size + 1) numbers
-    out = books.copy().reshape(-1, size)
+    out = books.copy().reshape(parts * entries, size)
     for e in range(parts * entries):
         if n := found.get((e, 0), 0):
             out[e] = [found[e, i + 1] // n for i in range(size)]
