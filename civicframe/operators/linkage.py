@@ -40,6 +40,10 @@ def block_report(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return both.withColumn("n_pairs", F.col("n_a") * F.col("n_b"))
 
 
+#: Records of a large block that meet on either side at a time.
+ROWS_PER_SALT = 2_000
+
+
 def candidate_pairs(a: DataFrame, b: DataFrame, key: str, block: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """All pairs of records in the same block: the block, and key and fields of both sides. Null blocks pair with nothing."""
     fields = [f for f in fields if f not in block]
@@ -48,7 +52,9 @@ def candidate_pairs(a: DataFrame, b: DataFrame, key: str, block: Sequence[str],
         cols = {f: f"{f}_{name}" for f in (key, *fields)}
         return df.na.drop(subset=list(block)).select(*block, *cols).withColumnsRenamed(cols)
 
-    return scalable.salted_join(side(a, "a"), side(b, "b"), list(block))
+    left, right, on = scalable.salted(side(a, "a"), side(b, "b"), list(block), ROWS_PER_SALT)
+    left, right = scalable.dealt_out(left, right, on)
+    return left.join(right, on).drop(*on[len(block):])
 
 
 @dataclass(frozen=True)
