@@ -9,6 +9,7 @@ from civicframe.operators import graph as gr
 from civicframe.operators import relational as rel
 from civicframe.operators import review, scalable
 from civicframe.plans.registry import query
+from civicframe.session import materialise
 
 # Customers (even numbers) and suppliers (odd numbers), linked by all order lines.
 LINKS = """links AS (SELECT o_custkey * 2 AS c, l_suppkey * 2 + 1 AS s FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
@@ -164,7 +165,8 @@ def _(t):
     from civicframe.operators import models
 
     g = trade_graph(t).staged()
-    wide = gr.feature_vectors(gr.propagate(g, node_features(g), 2), [0, 1, 2, 3])
+    # Written once: the split and the training read the vectors many times.
+    wide = materialise(gr.feature_vectors(gr.propagate(g, node_features(g), 2), [0, 1, 2, 3]))
     rows = rel.random_split(wide.withColumn("label", (F.col("id") % 2).cast("int")), "id", {"train": 0.6, "val": 0.2, "test": 0.2}, "nodes")
     return models.logistic_accuracy(rows, "features", "label", "split")
 

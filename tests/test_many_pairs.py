@@ -5,8 +5,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from civicframe.operators import linkage, scalable, spatial, textual
+from civicframe.operators import linkage, models, scalable, spatial, textual
 from civicframe.operators import relational as rel
+from civicframe.plans import catalog
 
 
 def test_left_rows_of_a_full_key_are_dealt(spark):
@@ -82,3 +83,19 @@ def test_texts_are_cut_once(spark):
     assert {r["term"]: r["df"] for r in with_df.collect()} == {"aa": 2, "dd": 2}
     assert sorted(textual.tfidf(with_df, "d", 4).select("d", "term", "tfidf").collect(), key=str) == sorted(
         textual.tfidf(counts, "d", 4).select("d", "term", "tfidf").collect(), key=str)
+
+
+def test_propagated_vectors_are_written_once(spark, monkeypatch, tmp_path):
+    """The split and the training read a table, not the joins along the links."""
+    made = {
+        "lineitem": ([(i, i % 7, float(i % 5)) for i in range(200)], "l_orderkey long, l_suppkey long, l_quantity double"),
+        "orders": ([(i, i % 40) for i in range(200)], "o_orderkey long, o_custkey long"),
+        "customer": ([(i,) for i in range(40)], "c_custkey long"),
+        "supplier": ([(i,) for i in range(7)], "s_suppkey long")}
+    for name, (rows, schema) in made.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    seen, accuracy = [], models.logistic_accuracy
+    monkeypatch.setattr(models, "logistic_accuracy", lambda rows, *names: seen.append(rows) or accuracy(rows, *names))
+    found = catalog.queries()["l11_propagated_classifier"](spark, str(tmp_path))
+    assert sum(r["n"] for r in found.collect()) == 47
+    assert "dim#" not in seen[0]._jdf.queryExecution().analyzed().toString()
