@@ -158,3 +158,17 @@ def test_empty_table_and_ids(spark):
     assert rows_of(sfx.remove_copies(empty(spark))) == []
     with pytest.raises(ValueError, match="whole numbers"):
         sfx.remove_copies(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+def test_a_slice_answers_homes_not_documents(spark, monkeypatch):
+    """The rows that slices answer with follow the number of slices, however many documents share strings, and each document gets one row."""
+    rng = random.Random(3)
+    draw = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [draw(150) for _ in range(40)]
+    rows = [(i, " ".join(draw(20) + rng.choice(passages) for _ in range(6))) for i in range(400)]
+    keyed = sfx._keyed(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7), "doc_id", "text").select("id", "salt", "text")
+    slices, seen, kept = sfx.shuffle_partitions(spark), [], sfx._by_document
+    monkeypatch.setattr(sfx, "_by_document", lambda replies: seen.append(replies) or kept(replies))
+    found = sfx._by_slice(sfx._parsed(keyed, 100, slices), sfx._judged).select("id", "salt").collect()
+    assert seen[0].count() <= slices * slices
+    assert len(found) == len(set(found)) and len(found) > 300
