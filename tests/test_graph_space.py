@@ -320,3 +320,29 @@ def test_components_across_tiles(spark, tile):
                         queue.append((a, b))
     got = {(r["raster_id"], r["row"], r["col"]): tuple(r["component"]) for r in sp.components(pixels, F.col("on"), tile).collect()}
     assert got == expected
+
+
+@pytest.mark.parametrize("room, held", [(4096, 1 << 27), (3, 1 << 27), (4096, 64)])
+def test_a_step_sends_each_sum_once_for_each_bucket(spark, monkeypatch, room, held):
+    """Not once for each task: with 16 shuffle partitions the links lie in 2 buckets of 8 columns."""
+    pairs = [(a, 1000 + b) for a in range(60) for b in range(60) if (a * b) % 7 != 3]
+    g = gr.build_graph(spark.createDataFrame(pairs, "a long, b long"), "a", "b")
+    values = g.vertices.select(F.lit(0).alias("block"), "id", "id").toDF("block", "id", "v")
+    values = gr.batchwise(values, "block int, id bigint, x binary", lambda b: [
+        b["block"], b["id"], gr.packed(np.stack([b["v"].to_numpy(), np.ones(len(b))], axis=1).astype(float))])
+    whole, partial = gr.summed, []
+    monkeypatch.setattr(gr, "summed", lambda rows, *rest: partial.append(rows) or whole(rows, *rest))
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        with gr.link_grid(g.edges, room) as links:
+            sums = {r["id"]: np.frombuffer(r["x"]).tolist() for r in gr.sent_along(links.beside(values), 2, "bigint", held=held).collect()}
+            sent = partial[0].count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    expected = {}
+    for a, b in pairs + [(b, a) for a, b in pairs]:
+        s = expected.setdefault(a, [0.0, 0.0])
+        s[0], s[1] = s[0] + b, s[1] + 1
+    assert sums == expected
+    assert held < 1 << 27 or sent <= 2 * len(expected)
