@@ -23,7 +23,7 @@ from civicframe.functions.hashing import HASH_SPACE, hash48, hash48_second
 
 BITS = HASH_SPACE.bit_length() - 1
 #: Numbers of rows x replicates that a task works out at a time.
-CELLS = 1 << 21
+CELLS = 1 << 18
 #: Rows that share the bits at the cuts, over all replicates, that are ranked; more are narrowed down further.
 RANKED = 1_000_000
 #: Cuts (blocks x replicates) whose states the driver holds and a task counts.

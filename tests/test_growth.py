@@ -1,8 +1,13 @@
 """Steps that must not send or hold more than the input asks for."""
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
+from civicframe.functions.hashing import hash48
+from civicframe.operators import graph as gr
 from civicframe.operators import textual
+from civicframe.operators import replicates as rp
 from civicframe.operators import topics as tp
 
 
@@ -28,3 +33,24 @@ def test_models_share_counts(spark):
     for least in (2, 5):
         own, shared = (textual.topic_model(docs, "d", "t", k=2, min_df=least, iterations=2, stop=[], counts=c) for c in (None, counts))
         assert sorted(own.weights.collect()) == sorted(shared.weights.collect())
+
+
+def test_a_round_of_moves_reads_no_links_of_the_resting_half(spark):
+    links = [(a, b) for a in range(12) for b in range(12) if a != b and a // 4 == b // 4]
+    edges = spark.createDataFrame(links, "src long, dst long")
+    moves = hash48("s-0", "src") % 2 == 0
+    strength = spark.createDataFrame([(v, 3.0) for v in range(12)], "id long, k double")
+    labels = strength.select("id", F.col("id").alias("community"))
+    whole = gr._move_round(edges.withColumn("w", F.lit(1.0)), strength, labels, 36.0, "s", 0)
+    half = gr._move_round(edges.withColumn("w", F.when(moves, 1.0).otherwise(F.raise_error(F.lit("read")).cast("double"))), strength, labels, 36.0, "s", 0)
+    found = sorted(whole.collect())
+    assert found == sorted(half.collect()) and len(found) == 12
+    resting = {r["src"] for r in edges.where(~moves).collect()}
+    assert any(r["moved"] for r in found) and all(r["id"] == r["community"] and not r["moved"] for r in found if r["id"] in resting)
+
+
+def test_replicates_are_worked_out_in_small_matrices():
+    """An executor runs a worker for each core, so what one holds counts several times."""
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(10_000)), pa.array(np.arange(10_000) * 7)], names=["h1", "h2"])
+    parts = list(rp._numbers(batch, 500))
+    assert sum(len(n) for _, n in parts) == 10_000 and max(n.nbytes for _, n in parts) <= 1 << 21
