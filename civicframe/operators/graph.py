@@ -16,9 +16,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicframe.functions.hashing import hash48
 from civicframe.operators import relational as rel
@@ -178,6 +180,151 @@ def link_grid(edges: DataFrame, links_per_row: int = LINKS_PER_ROW) -> Iterator[
         yield LinkGrid(table, columns)
 
 
+#: Links of a cell, at most about, and vertices of a unit.
+LINKS_PER_CELL, VERTICES_PER_UNIT = 1 << 22, 1 << 16
+#: What a step leaves of each unit: its numbers, which of its vertices have one, the sum of the numbers and that of their squares.
+VALUES = "unit int, x binary, there binary, total double, squares double"
+
+
+def _values(unit: int, x: np.ndarray, there: np.ndarray) -> dict[str, list]:
+    return {"unit": [unit], "x": [x.tobytes()], "there": [there.tobytes()], "total": [float(x.sum())], "squares": [float(x @ x)]}
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+@dataclass(frozen=True)
+class LinkCells:
+    """The links of a graph in a square of cells, for steps that carry one number for each vertex.
+
+    Vertices are dealt by a hash into units, and the units in turn to the rows and to the columns of the square. A cell has the links from the
+    vertices of its row to those of its column, as places among them. A step sends the numbers of a unit to the cells of its row and the sums
+    of a cell to the units of its column: twice ``side`` numbers for each vertex, however many links it has. Links never move.
+    """
+
+    units: DataFrame  # unit, ids, copies
+    cells: DataFrame  # cell, units and sizes of its column, src, dst, w
+    side: int
+
+    def start(self, x: float) -> DataFrame:
+        """``x`` for every vertex of the graph, none for others that links lead to."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for unit, copies in zip(batch["unit"].to_pylist(), batch["copies"], strict=True):
+                    n = copies.values.to_numpy()
+                    yield pa.RecordBatch.from_pydict(_values(unit, n * x, (n > 0).astype(np.uint8)), schema=target)
+
+        target = _arrow_schema(VALUES)
+        return self.units.select("unit", "copies").mapInArrow(run, VALUES)
+
+    def pulled(self, values: DataFrame, base: float = 0.0, scale: float = 1.0) -> DataFrame:
+        """``base`` and ``scale`` times the sum of weight * x over the links that lead to a vertex; it has one if such a link starts at one that has."""
+        side, parts_schema, target = self.side, _arrow_schema("unit int, x binary, there binary"), _arrow_schema(VALUES)
+        sent = values.select("unit", "x", "there", F.explode(F.transform(
+            F.sequence(F.lit(0), F.lit(side - 1)), lambda c: F.pmod("unit", F.lit(side)) * side + c)).alias("of"))
+
+        def part(cell: pa.Table, own: pa.Table) -> pa.Table:
+            if not len(cell) or not len(own):
+                return parts_schema.empty_table()
+            own = own.sort_by("unit")
+            x, there = _joined(own["x"], np.float64), _joined(own["there"], np.uint8).astype(bool)
+            src, dst, w = (_joined(cell[c], k) for c, k in (("src", np.int32), ("dst", np.int32), ("w", np.float64)))
+            ends = np.cumsum(cell["sizes"][0].values.to_numpy())
+            sums, reached = np.bincount(dst, x[src] * w, minlength=ends[-1]), np.zeros(ends[-1], np.uint8)
+            reached[dst if there.all() else dst[there[src]]] = 1
+            return pa.table({"unit": cell["units"][0].values, "x": [v.tobytes() for v in np.split(sums, ends[:-1])],
+                             "there": [v.tobytes() for v in np.split(reached, ends[:-1])]}, schema=parts_schema)
+
+        def add(parts: pa.Table) -> pa.Table:
+            x, there = 0.0, np.uint8(0)
+            for sums, reached in zip(parts["x"].to_pylist(), parts["there"].to_pylist(), strict=True):
+                x, there = x + np.frombuffer(sums, np.float64), there | np.frombuffer(reached, np.uint8)
+            return pa.table(_values(parts["unit"][0].as_py(), np.where(there > 0, base + scale * x, 0.0), there), schema=target)
+
+        parts = self.cells.groupBy("cell").cogroup(sent.groupBy("of")).applyInArrow(part, "unit int, x binary, there binary")
+        return parts.groupBy("unit").applyInArrow(add, VALUES)
+
+    def both(self, values: DataFrame, start: DataFrame, scale: float = 1.0, start_scale: float = 1.0) -> DataFrame:
+        """``values`` of the vertices that have one in ``start`` too; ``gap`` and ``most`` are the sum and the largest of their changes, each side scaled."""
+        schema = VALUES + ", gap double, most double"
+        target = _arrow_schema(schema)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for unit, x, there, x0, there0 in zip(*(batch[c].to_pylist() for c in ("unit", "x", "there", "x0", "there0")), strict=True):
+                    kept = np.frombuffer(there, np.uint8) & np.frombuffer(there0, np.uint8)
+                    x = np.where(kept > 0, np.frombuffer(x, np.float64), 0.0)
+                    change = np.abs(scale * x - start_scale * np.frombuffer(x0, np.float64)) * kept
+                    gaps = {"gap": [float(change.sum())], "most": [float(change.max(initial=0.0))]}
+                    yield pa.RecordBatch.from_pydict(_values(unit, x, kept) | gaps, schema=target)
+
+        before = start.select("unit", F.col("x").alias("x0"), F.col("there").alias("there0"))
+        return values.select("unit", "x", "there").join(before, "unit").mapInArrow(run, schema)
+
+    def rows(self, values: DataFrame) -> DataFrame:
+        """(id, x) of the vertices that have a number."""
+        target = T.StructType([T.StructField("id", self.units.schema["ids"].dataType.elementType), T.StructField("x", T.DoubleType())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if len(batch):
+                    there = pa.array(_joined(batch["there"], np.uint8) > 0)
+                    x = pa.array(_joined(batch["x"], np.float64))
+                    yield pa.RecordBatch.from_arrays([batch["ids"].flatten().filter(there), x.filter(there)], names=["id", "x"])
+
+        return self.units.select("unit", "ids").join(values.select("unit", "x", "there"), "unit").mapInArrow(run, target)
+
+
+def _arrow_schema(schema: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "binary": pa.binary(), "double": pa.float64()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))])
+
+
+@contextlib.contextmanager
+def link_cells(edges: DataFrame, vertices: DataFrame, n_links: int, n_vertices: int) -> Iterator[LinkCells]:
+    """Edges (src, dst, w) as :class:`LinkCells`, to be used inside the block."""
+    side = math.ceil(math.sqrt(max(shuffle_width(edges.sparkSession), n_links / LINKS_PER_CELL)))
+    n_units = side * max(1, math.ceil(n_vertices / side / VERTICES_PER_UNIT))
+    edges = edges.where(F.col("src").isNotNull())
+    own = vertices.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
+    led_to = edges.select(F.col("dst").alias("id")).distinct().withColumn("copies", F.lit(0).cast("bigint"))
+    ids = own.unionByName(led_to).groupBy("id").agg(F.sum("copies").alias("copies"))
+    kind = dict(ids.dtypes)["id"]
+
+    def unit(c: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(c).cast(kind)), F.lit(n_units)).cast("int")
+
+    listed = ids.groupBy(unit("id").alias("unit")).agg(F.collect_list(F.struct("id", "copies")).alias("l"))
+    units = materialise(listed.select("unit", F.col("l.id").alias("ids"), F.col("l.copies").alias("copies")))
+    schema = "cell int, units array<int>, sizes array<int>, src binary, dst binary, w binary"
+
+    def place(key: tuple, links: pa.Table, around: pa.Table) -> pa.Table:
+        if not len(links):
+            return pa.table({c: [] for c in ("cell", "units", "sizes", "src", "dst", "w")})
+        around, out = around.sort_by("unit"), {"cell": pa.array([key[0].as_py()], pa.int32())}
+        for end in ("src", "dst"):  # the units of the row, and those of the column, which stay
+            own = around.filter(pc.equal(around["end"], end))
+            lists = own["ids"].combine_chunks()
+            at = pc.index_in(links[end], value_set=lists.flatten()).to_numpy()
+            out[end] = pa.array([at.astype(np.int32).tobytes()], pa.binary())
+        out["units"] = pa.array([own["unit"].to_pylist()], pa.list_(pa.int32()))
+        out["sizes"] = pa.array([pc.list_value_length(lists).to_pylist()], pa.list_(pa.int32()))
+        out["w"] = pa.array([links["w"].to_numpy().tobytes()], pa.binary())
+        return pa.table({c: out[c] for c in ("cell", "units", "sizes", "src", "dst", "w")})
+
+    dealt = edges.select((F.pmod(unit("src"), F.lit(side)) * side + F.pmod(unit("dst"), F.lit(side))).alias("cell"),
+                         F.col("src").cast(kind).alias("src"), F.col("dst").cast(kind).alias("dst"), "w")
+    at, others = F.pmod("unit", F.lit(side)), F.sequence(F.lit(0), F.lit(side - 1))
+    ends = F.concat(F.transform(others, lambda o: F.struct((at * side + o).alias("cell"), F.lit("src").alias("end"))),
+                    F.transform(others, lambda o: F.struct((o * side + at).alias("cell"), F.lit("dst").alias("end"))))
+    around = units.select("unit", "ids", F.inline(ends))
+    placed = dealt.groupBy("cell").cogroup(around.groupBy("cell")).applyInArrow(place, schema)
+    with Bucketed(placed, "cell") as cells:
+        yield LinkCells(units, cells, side)
+
+
 def _with_loops(edges: DataFrame, vertices: DataFrame, weight: float) -> DataFrame:
     """Edges with a link from every vertex to itself, so that what a vertex keeps in a step comes in with its links' sums."""
     own = vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(weight).alias("w"))
@@ -190,30 +337,28 @@ def pagerank(g: Graph, damping: float = 0.85, iterations: int | None = None, tol
 
     That spreading only scales the solution of r = (1 - d) / n + d P'r, so it is left out of the steps and the result is
     scaled to sum 1. Steps go ``relax`` of the way, which damps the swing between the sides of bipartite graphs. They end
-    when the ranks of a job's steps change by at most ``tol`` in all, or after ``iterations``. Several steps make one job, and
-    a step is one shuffle of partial sums.
+    when the ranks of a job's steps change by at most ``tol`` in all, or after ``iterations``. Several steps make one job.
     """
     out = g.edges.groupBy("src").agg(F.sum("w").alias("__out"))
     edges = g.edges.join(out, "src").select("src", "dst", (F.lit(relax * damping) * F.col("w") / F.col("__out")).alias("w"))
     n = g.vertices.count()
     base = relax * (1 - damping) / n if n else 0.0
-    ranks = g.vertices.select("id", F.lit(1.0 / max(n, 1)).alias("x"))
     done, total = 0, 1.0
-    with packed_links(_with_loops(edges, g.vertices, 1 - relax)) as links:
+    with link_cells(_with_loops(edges, g.vertices, 1 - relax), g.vertices, g.edges.count() + n, n) as cells:
+        ranks = cells.start(1.0 / max(n, 1))
         while n and (iterations is None or done < iterations):
             steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
-            start = ranks.select("id", F.col("x").alias("__start"))
+            start = ranks
             for _ in range(steps):
-                ranks = links.pulled(ranks).select("id", (F.lit(base) + F.col("pulled")).alias("x"))
+                ranks = cells.pulled(ranks, base)
             if iterations is None:
-                ranks = ranks.join(start, "id").select("id", "x", F.abs(F.col("x") - F.col("__start")).alias("gap"))
-                ranks, seen = materialise_observed(ranks, gap=F.sum("gap"), total=F.sum("x"))
+                ranks, seen = materialise_observed(cells.both(ranks, start), gap=F.sum("gap"), total=F.sum("total"))
             else:
-                ranks, seen = materialise_observed(ranks, total=F.sum("x"))
+                ranks, seen = materialise_observed(ranks, total=F.sum("total"))
             done, total = done + steps, seen["total"]
             if iterations is None and seen["gap"] <= tol:
                 break
-    return ranks.select("id", (F.col("x") / F.lit(total)).alias("rank"))
+    return cells.rows(ranks).select("id", (F.col("x") / F.lit(total)).alias("rank"))
 
 
 def eigenvector(g: Graph, iterations: int | None = None, tol: float = 1e-10, steps_per_job: int = 8) -> DataFrame:
@@ -226,21 +371,21 @@ def eigenvector(g: Graph, iterations: int | None = None, tol: float = 1e-10, ste
     strength = edges.groupBy("src").agg(F.sum("w").alias("s"))
     shift = (strength.agg(F.sum(F.col("s") * F.col("s")) / F.sum("s")).first()[0] or 0.0) / 2
     n = g.vertices.count()
-    x, norm, done = g.vertices.withColumn("x", F.lit(1.0 / math.sqrt(max(n, 1)))), 1.0, 0
-    with packed_links(_with_loops(edges, g.vertices, shift)) as links:
+    norm, done = 1.0, 0
+    with link_cells(_with_loops(edges, g.vertices, shift), g.vertices, g.edges.count() + n, n) as cells:
+        x = cells.start(1.0 / math.sqrt(max(n, 1)))
         while n and shift and (iterations is None or done < iterations):
             steps = steps_per_job if iterations is None else min(steps_per_job, iterations - done)
-            y = x.select("id", (F.col("x") / F.lit(norm)).alias("x"))
-            start = y.select("id", F.col("x").alias("__start"))
-            for _ in range(steps):
-                y = links.pulled(y).select("id", F.col("pulled").alias("x"))
+            start, y, before = x, x, norm
+            for step in range(steps):
+                y = cells.pulled(y, scale=1 / norm if step == 0 else 1.0)
             # The squared length is taken while the vector is written; it scales the next reading.
-            y = y.join(start, "id") if iterations is None else y
-            x, seen = materialise_observed(y, ss=F.sum(F.col("x") * F.col("x")))
+            y = cells.both(y, start) if iterations is None else y
+            x, seen = materialise_observed(y, ss=F.sum("squares"))
             norm, done = math.sqrt(seen["ss"]), done + steps
-            if iterations is None and x.agg(F.max(F.abs(F.col("x") / norm - F.col("__start")))).first()[0] <= tol:
+            if iterations is None and cells.both(x, start, 1 / norm, 1 / before).agg(F.max("most")).first()[0] <= tol:
                 break
-    return x.select("id", (F.col("x") / F.lit(norm)).alias("centrality"))
+    return cells.rows(x).select("id", (F.col("x") / F.lit(norm)).alias("centrality"))
 
 
 def sample_sources(g: Graph, k: int, seed: str) -> DataFrame:
